@@ -191,14 +191,18 @@ def pit_join(
     Versions of an id are folded into one sorted array (an id has at most one version per calendar
     day, which bounds the array), so the join is one-to-one on the id, never multiplies facts, and
     a binary search finds the version. A hot id's facts are split by the adaptive skew join, each
-    part meeting a single dimension row.
+    part meeting a single dimension row. That split needs both join inputs to come straight from
+    an exchange; joining on the id and its hash keeps Spark from reusing the fold's partitioning
+    in place of one.
     """
     if end not in ("date", "closed_ts"):
         raise ValueError(f"end must be 'date' or 'closed_ts', not {end!r}")
+    fields = list(dict.fromkeys([FROM, TO, *take]))
     folded = (
         dim.groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct(FROM, TO, *take))).alias("_versions"))
+        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_versions"))
         .withColumn("_steps", _halvings(F.size("_versions")))
+        .withColumn("_hash", F.xxhash64(key))
     )
     moment = day(F.col(at))
 
@@ -207,11 +211,13 @@ def pit_join(
         return F.when(starts <= moment, position + step).otherwise(position)
 
     started = F.aggregate("_steps", F.lit(0), advance)
-    hit = F.get("_versions", started - 1)
+    hit = F.get("_versions", F.col("_started") - 1)
     instant = moment if end == "date" else F.col(at).cast("timestamp_ntz")
     limit = hit[TO] if end == "date" else hit[TO].cast("timestamp_ntz")
     found = (
-        fact.join(folded, key, how)
+        fact.withColumn("_hash", F.xxhash64(key))
+        .join(folded, [key, "_hash"], how)
+        .withColumn("_started", started)
         .withColumn("_hit", F.when(instant <= limit, hit))
         .select(*fact.columns, "_hit")
     )

@@ -10,7 +10,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from medalake.operators.calendar import calendar_dim, date_range, span_of
 from medalake.operators.clean import CleanSpec
@@ -18,6 +17,7 @@ from medalake.operators.scd import scd2_build
 from medalake.operators.star import Star
 from medalake.plans.gold import build_dims, build_fact, segment_log
 from medalake.plans.silver import build_silver
+from medalake.session import stage
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -42,8 +42,7 @@ EPOCH = date(1990, 1, 1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    schema = StructType.fromDDL(SCHEMAS[name])
-    return spark.read.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def cancelled() -> Column:
@@ -132,28 +131,33 @@ def brand_number() -> Column:
     return F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
 
 
-def lines_star(spark: SparkSession, sf_dir: str) -> Star:
-    """Order lines as bookings, parts as flights, brands as routes."""
+def lines_star(spark: SparkSession, sf_dir: str, routes: bool = True) -> Star:
+    """Order lines as bookings, parts as flights, brands as routes.
+
+    Without ``routes`` the fact has no route key and so needs no join with parts.
+    """
     lineitem, orders, part, customer = (
         table(spark, sf_dir, t) for t in ("lineitem", "orders", "part", "customer")
     )
-    fact = (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("reserva_id"),
-            F.to_date("o_orderdate").alias("tiempo_sk"),
-            F.col("l_partkey").alias("vuelo_sk"),
-            F.col("p_brand").alias("ruta_sk"),
-            F.col("o_custkey").alias("pasajero_sk"),
-            F.col("o_orderpriority").alias("canal_sk"),
-            F.col("o_orderdate").alias("fecha_reserva"),
-            F.col("l_extendedprice").alias("precio_pagado"),
-            F.col("l_quantity").alias("asientos_reservados"),
-            F.col("l_discount").alias("descuento_aplicado"),
-            lead_days().alias("dias_anticipacion"),
-            cancelled().alias("es_cancelada"),
-        )
+    booked = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    route_key = []
+    if routes:
+        brand = part.select("p_partkey", "p_brand")
+        booked = booked.join(brand, F.col("l_partkey") == F.col("p_partkey"))
+        route_key = [F.col("p_brand").alias("ruta_sk")]
+    fact = booked.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("reserva_id"),
+        F.to_date("o_orderdate").alias("tiempo_sk"),
+        F.col("l_partkey").alias("vuelo_sk"),
+        *route_key,
+        F.col("o_custkey").alias("pasajero_sk"),
+        F.col("o_orderpriority").alias("canal_sk"),
+        F.col("o_orderdate").alias("fecha_reserva"),
+        F.col("l_extendedprice").alias("precio_pagado"),
+        F.col("l_quantity").alias("asientos_reservados"),
+        F.col("l_discount").alias("descuento_aplicado"),
+        lead_days().alias("dias_anticipacion"),
+        cancelled().alias("es_cancelada"),
     )
     vuelo = flights(part, lineitem).select(
         F.col("p_partkey").alias("vuelo_sk"),
@@ -288,7 +292,15 @@ def segment_changes(silver: dict[str, DataFrame]) -> DataFrame:
 
 
 def gold_star(spark: SparkSession, sf_dir: str, orphans: str = "drop") -> Star:
-    """The whole star from the raw tables, as one lazy plan."""
+    """The whole star from the raw tables.
+
+    Silver and the dimensions are staged as the layers of a refresh are, since bounds, segments,
+    keys and the fact all read them; the fact itself stays lazy.
+    """
     silver = build_silver(bronze(spark, sf_dir))
+    used = ("reservas", "vuelos", "rutas", "canales", "pasajeros")
+    silver = {name: stage(silver[name]) for name in used}
     dims = build_dims(silver, segment_changes(silver), EPOCH)
+    dims = {name: stage(dim) for name, dim in dims.items()}
     return Star(build_fact(silver["reservas"], Star(None, **dims), orphans), **dims)
+

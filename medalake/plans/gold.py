@@ -13,6 +13,7 @@ from medalake.operators.checks import Check
 from medalake.operators.keys import surrogate_key
 from medalake.operators.scd import DW_EPOCH, pit_join, scd2_from_base, single_version
 from medalake.operators.star import Star, lookup, resolve_orphans
+from medalake.session import stage
 
 FACT_KEYS = ("tiempo_sk", "vuelo_sk", "ruta_sk", "pasajero_sk", "canal_sk")
 FACT_COLUMNS = (
@@ -99,6 +100,8 @@ def build_dim_pasajero(
             promotion=PROMOTION if promote else None,
             fallback=PROMOTION_FALLBACK if promote else None,
         )
+        # Numbering reads its input several times; the chain of versions is built once.
+        versions = stage(versions)
     return surrogate_key(versions, "pasajero_sk", ["pasajero_id", "valido_desde"])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,17 +40,28 @@ def local_session(cores: int | str = "*", app: str = "medalake", **conf: str) ->
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably so that a lost executor never replays its whole history.
+def _shared_folder(spark: SparkSession) -> str:
+    """Folder for staged tables: the one the cluster names, else a scratch folder in local mode."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    own = tempfile.mkdtemp(prefix="medalake-")
+    spark.conf.set("spark.checkpoint.dir", own)
+    return own
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``; only where that is unset
-    (a test on one machine) is a scratch folder made.
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a table in the shared folder and read it back.
+
+    For frames several later passes read. A lost executor then re-reads a file instead of
+    replaying the history, each pass reads only the columns it needs, and joins see measured
+    sizes. The table goes away with the application.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="medalake-checkpoint-"))
-    return df.checkpoint(eager=True)
+    path = f"{_shared_folder(spark)}/medalake-stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 
 def layer_path(root: str, layer: str, table: str) -> str:
@@ -13,7 +12,7 @@ def layer_path(root: str, layer: str, table: str) -> str:
 
 
 def read_layer(
-    spark: SparkSession, root: str, layer: str, table: str, schema: StructType | None = None
+    spark: SparkSession, root: str, layer: str, table: str, schema: str | None = None
 ) -> DataFrame:
     """One table of a layer. A declared schema skips footer inference."""
     reader = spark.read if schema is None else spark.read.schema(schema)

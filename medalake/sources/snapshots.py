@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from medalake.schemas import AUDIT
 from medalake.sources.layers import layer_path
@@ -47,7 +46,7 @@ def read_snapshot(
     root: str,
     table: str,
     label: str | None = None,
-    schema: StructType | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
     """One snapshot, the latest unless named. Only its own directory is listed and read."""
     if label is None:
@@ -57,5 +56,5 @@ def read_snapshot(
         label = labels[-1]
     reader = spark.read
     if schema is not None:
-        reader = reader.schema(StructType(schema.fields + AUDIT.fields))
+        reader = reader.schema(f"{schema}, {AUDIT}")
     return reader.parquet(f"{layer_path(root, 'bronze', table)}/{SNAPSHOT}={label}")
