@@ -32,6 +32,16 @@ def money_avg(c: Column) -> Column:
     return F.try_divide(money_sum(c), F.count(c))
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """Round a double half away from zero on the scaled double, as SQL engines on C doubles do.
+
+    Spark's ``round`` goes through the decimal text of the number and so turns 1.005 into 1.01,
+    although the double is below the half.
+    """
+    scale = float(10**digits)
+    return F.round(c * scale) / scale
+
+
 def percent(part: Column, whole: Column, digits: int) -> Column:
     """``100 * part / whole`` rounded; null when ``whole`` is zero."""
-    return F.round(F.try_divide(part.cast("double") * 100, whole.cast("double")), digits)
+    return rounded(F.try_divide(part.cast("double") * 100, whole.cast("double")), digits)

@@ -58,7 +58,8 @@ def conform(df: DataFrame, spec: CleanSpec, flags: bool = False) -> DataFrame:
 
 
 def clean(df: DataFrame, spec: CleanSpec) -> DataFrame:
-    """The silver rows. Filters on source columns reach the scan; one shuffle, for the dedupe."""
+    """The silver rows, in one pass with one shuffle, for the dedupe. Checks on columns taken as
+    they are reach the scan; checks on cast columns run right above it."""
     out = conform(df, spec)
     if spec.not_null:
         out = out.na.drop(subset=list(spec.not_null))

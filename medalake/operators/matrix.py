@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from medalake.functions.numbers import rounded
+
 
 def pivot_matrix(
     cells: DataFrame, rows: Sequence[str], column: str, value: str, labels: Mapping[object, str]
@@ -39,9 +41,9 @@ def linear_trend(periods: DataFrame, order: Sequence[str], value: str, digits: i
         .withColumn("pendiente", F.regr_slope(y, x).over(whole))
         .withColumn("intercepto", F.regr_intercept(y, x).over(whole))
         .withColumn(
-            "ajuste", F.round(F.col("intercepto") + F.col("pendiente") * F.col("_x"), digits)
+            "ajuste", rounded(F.col("intercepto") + F.col("pendiente") * F.col("_x"), digits)
         )
-        .withColumn("pendiente", F.round("pendiente", digits))
-        .withColumn("intercepto", F.round("intercepto", digits))
+        .withColumn("pendiente", rounded(F.col("pendiente"), digits))
+        .withColumn("intercepto", rounded(F.col("intercepto"), digits))
         .drop("_x")
     )

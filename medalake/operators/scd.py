@@ -130,13 +130,14 @@ def scd2_apply(
     touched = updates.select(key).distinct()
     ids = [sk] if sk else []
     state = [key, *tracked, *carry]
+    at = updates.schema[effective].dataType
     known = (
         dim.join(touched, key, "left_semi")
-        .select(*state, F.col(FROM).alias(effective), *ids)
+        .select(*state, F.col(FROM).cast(at).alias(effective), *ids)
         .withColumn("_batch", F.lit(0))
     )
     fresh = updates.select(*dict.fromkeys([*state, effective, *order_by]))
-    fresh = fresh.withColumn(effective, day(F.col(effective))).withColumn("_batch", F.lit(1))
+    fresh = fresh.withColumn("_batch", F.lit(1))
     log = known.unionByName(fresh, allowMissingColumns=True)
     rebuilt = scd2_build(
         log, key, tracked, effective, order_by=["_batch", *order_by], carry=[*carry, *ids]
@@ -144,7 +145,7 @@ def scd2_apply(
     if sk is None:
         return dim.join(touched, key, "left_anti").select(*rebuilt.columns).unionByName(rebuilt)
     # A same-day correction replaces the state of an existing version; it keeps that version's key.
-    old_keys = known.select(key, F.col(effective).alias(FROM), F.col(sk).alias("_old"))
+    old_keys = known.select(key, day(F.col(effective)).alias(FROM), F.col(sk).alias("_old"))
     rebuilt = (
         rebuilt.join(old_keys, [key, FROM], "left")
         .withColumn(sk, F.coalesce(sk, "_old"))

@@ -78,7 +78,10 @@ def resolve_orphans(fact: DataFrame, keys: Sequence[str], policy: str = "drop")
     """Facts whose lookups all succeeded (``drop``), all facts (``keep``), or an error on the
     first orphan met while running (``fail``)."""
     if policy == "drop":
-        return fact.na.drop(how="any", subset=list(keys))
+        # One predicate per key: each turns its left lookup into an inner join.
+        for k in keys:
+            fact = fact.where(F.col(k).isNotNull())
+        return fact
     if policy == "keep":
         return fact
     if policy == "fail":

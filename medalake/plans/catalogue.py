@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from medalake.functions.dates import day, month_label
-from medalake.functions.numbers import money_avg, money_sum, percent
+from medalake.functions.numbers import money_avg, money_sum, percent, rounded
 from medalake.functions.text import map_values
 from medalake.operators.calendar import bounded
 from medalake.operators.matrix import linear_trend, pivot_matrix, top_k
@@ -115,8 +115,8 @@ def lead_time(star: Star) -> DataFrame:
         .groupBy("es_temporada_alta", "segmento")
         .agg(
             _n().alias("reservas"),
-            F.round(F.avg("dias_anticipacion"), 1).alias("dias_anticipacion_avg"),
-            F.round(money_avg(F.col(PRICE)), 0).alias("ticket_promedio"),
+            rounded(F.avg("dias_anticipacion"), 1).alias("dias_anticipacion_avg"),
+            rounded(money_avg(F.col(PRICE)), 0).alias("ticket_promedio"),
         )
         .orderBy(F.desc("es_temporada_alta"), F.desc("dias_anticipacion_avg"), "segmento")
     )
@@ -187,8 +187,8 @@ def kpi_row(star: Star) -> DataFrame:
     price, lead = (F.when(confirmed, F.col(c)) for c in (PRICE, "dias_anticipacion"))
     return star.fact.agg(
         percent(_cancelled(), _n(), 2).alias("tasa_cancelacion_pct"),
-        F.round(money_avg(price), 0).alias("ticket_promedio"),
-        F.round(F.avg(lead), 1).alias("ventana_media_dias"),
+        rounded(money_avg(price), 0).alias("ticket_promedio"),
+        rounded(F.avg(lead), 1).alias("ventana_media_dias"),
         (money_sum(price) / BILLION).alias("ingresos_total_B_COP"),
         _n().alias("total_reservas"),
         F.count_if(confirmed).alias("confirmadas"),
@@ -273,7 +273,7 @@ def card_monthly_revenue(view: DataFrame) -> DataFrame:
 def card_lead_and_cancelled(view: DataFrame) -> DataFrame:
     """Mean lead time and number of cancelled bookings, from the wide view."""
     return view.agg(
-        F.round(F.avg("dias_anticipacion"), 4).alias("dias_anticipacion_avg"),
+        rounded(F.avg("dias_anticipacion"), 4).alias("dias_anticipacion_avg"),
         F.count_if(F.col("es_cancelada") == 1).alias("canceladas"),
     )
 

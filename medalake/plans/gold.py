@@ -124,7 +124,8 @@ def build_fact(
     fact = lookup(fact, star_dims.canal, "canal_id", ["canal_sk"])
     fact = lookup(fact, flights, "vuelo_id", ["vuelo_sk", "ruta_sk"])
     fact = pit_join(
-        fact, star_dims.pasajero, "pasajero_id", "fecha_reserva", ["pasajero_sk"], end=end
+        fact, star_dims.pasajero, "pasajero_id", "fecha_reserva", ["pasajero_sk"], end=end,
+        how="inner" if orphans == "drop" else "left",
     )
     return resolve_orphans(fact.select(*FACT_COLUMNS), FACT_KEYS, orphans)
 

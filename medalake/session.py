@@ -42,13 +42,14 @@ def local_session(cores: int | str = "*", app: str = "medalake", **conf: str) ->
 
 def _shared_folder(spark: SparkSession) -> str:
     """Folder for staged tables: the one the cluster names, else a scratch folder in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     own = tempfile.mkdtemp(prefix="medalake-")
-    spark.conf.set("spark.checkpoint.dir", own)
+    context.setCheckpointDir(own)
     return own
 
 
