@@ -11,13 +11,13 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from medalake.operators.calendar import calendar_dim, date_range, span_of
+from medalake.operators.calendar import calendar_dim, span_of
 from medalake.operators.clean import CleanSpec
 from medalake.operators.scd import scd2_build
 from medalake.operators.star import Star
-from medalake.plans.gold import build_dims, build_fact, segment_log
+from medalake.plans.gold import DIMS, build_dim_table, build_fact, segment_log
 from medalake.plans.silver import build_silver
-from medalake.session import stage
+from medalake.session import concurrently, stage, stage_all
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -291,6 +291,17 @@ def segment_changes(silver: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def gold_dim(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One dimension from the raw tables. Inputs that numbering reads repeatedly are staged."""
+    silver = build_silver(bronze(spark, sf_dir))
+    if name in ("vuelo", "ruta", "canal"):
+        table_name = {"vuelo": "vuelos", "ruta": "rutas", "canal": "canales"}[name]
+        return build_dim_table(name, {table_name: stage(silver[table_name])})
+    if name == "pasajero":
+        return build_dim_table(name, silver, segment_changes(silver), EPOCH)
+    return build_dim_table(name, silver)
+
+
 def gold_star(spark: SparkSession, sf_dir: str, orphans: str = "drop") -> Star:
     """The whole star from the raw tables.
 
@@ -299,8 +310,10 @@ def gold_star(spark: SparkSession, sf_dir: str, orphans: str = "drop") -> Star:
     """
     silver = build_silver(bronze(spark, sf_dir))
     used = ("reservas", "vuelos", "rutas", "canales", "pasajeros")
-    silver = {name: stage(silver[name]) for name in used}
-    dims = build_dims(silver, segment_changes(silver), EPOCH)
-    dims = {name: stage(dim) for name, dim in dims.items()}
+    silver = stage_all({name: silver[name] for name in used})
+    changes = segment_changes(silver)
+    dims = concurrently(
+        [lambda n=n: stage(build_dim_table(n, silver, changes, EPOCH)) for n in DIMS]
+    )
+    dims = dict(zip(DIMS, dims))
     return Star(build_fact(silver["reservas"], Star(None, **dims), orphans), **dims)
-

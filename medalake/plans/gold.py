@@ -15,6 +15,7 @@ from medalake.operators.scd import DW_EPOCH, pit_join, scd2_from_base, single_ve
 from medalake.operators.star import Star, lookup, resolve_orphans
 from medalake.session import stage
 
+DIMS = ("tiempo", "vuelo", "ruta", "canal", "pasajero")
 FACT_KEYS = ("tiempo_sk", "vuelo_sk", "ruta_sk", "pasajero_sk", "canal_sk")
 FACT_COLUMNS = (
     "reserva_id", *FACT_KEYS, "fecha_reserva", "fecha_vuelo_pretendida", "precio_pagado",
@@ -130,19 +131,25 @@ def build_fact(
     return resolve_orphans(fact.select(*FACT_COLUMNS), FACT_KEYS, orphans)
 
 
-def build_dims(
+def build_dim_table(
+    name: str,
     silver: Mapping[str, DataFrame],
     changes: DataFrame | None = None,
     epoch: date = DW_EPOCH,
     week_start: str = "monday",
-) -> dict[str, DataFrame]:
-    return {
-        "tiempo": build_dim_tiempo(silver["reservas"], silver["vuelos"], week_start),
-        "vuelo": build_dim_vuelo(silver["vuelos"]),
-        "ruta": build_dim_ruta(silver["rutas"]),
-        "canal": build_dim_canal(silver["canales"]),
-        "pasajero": build_dim_pasajero(silver["pasajeros"], changes, epoch),
-    }
+) -> DataFrame:
+    """One dimension of the star from the silver tables it needs."""
+    if name == "tiempo":
+        return build_dim_tiempo(silver["reservas"], silver["vuelos"], week_start)
+    if name == "vuelo":
+        return build_dim_vuelo(silver["vuelos"])
+    if name == "ruta":
+        return build_dim_ruta(silver["rutas"])
+    if name == "canal":
+        return build_dim_canal(silver["canales"])
+    if name == "pasajero":
+        return build_dim_pasajero(silver["pasajeros"], changes, epoch)
+    raise ValueError(f"no dimension called {name!r}")
 
 
 # Segment rule: more than this many bookings within the trailing window of days is frequent.

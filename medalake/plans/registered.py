@@ -21,7 +21,7 @@ from medalake.operators.star import (
     Star, lookup, orphan_counts, resolve_orphans, wide_view,
 )
 from medalake.plans import catalogue as cat, fixture as fx
-from medalake.plans.gold import GOLD_CHECKS, rolling_bookings
+from medalake.plans.gold import DIMS, GOLD_CHECKS, rolling_bookings
 from medalake.plans.silver import SPECS, silver_table
 from medalake.session import stage
 
@@ -545,12 +545,17 @@ def booking_ledger(spark, sf):
     return quality_ledger(fx.bronze(spark, sf)["reservas"], SPECS["reservas"])
 
 
-def _gold(name: str) -> Query:
-    return lambda spark, sf: fx.gold_star(spark, sf).tables()[name]
+def _gold_dim(name: str) -> Query:
+    return lambda spark, sf: fx.gold_dim(spark, sf, name)
 
 
-for _name in ("dim_tiempo", "dim_vuelo", "dim_ruta", "dim_canal", "dim_pasajero", "fact_reservas"):
-    _registry[f"gold_{_name}"] = _gold(_name)
+for _name in DIMS:
+    _registry[f"gold_dim_{_name}"] = _gold_dim(_name)
+
+
+@register
+def gold_fact_reservas(spark, sf):
+    return fx.gold_star(spark, sf).fact
 
 
 @register

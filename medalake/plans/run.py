@@ -12,13 +12,13 @@ from medalake.operators.clean import quality_ledger, quality_summary
 from medalake.operators.scd import DW_EPOCH, scd2_stats
 from medalake.operators.star import Star
 from medalake.plans import catalogue, silver as silver_plan
-from medalake.plans.gold import GOLD_CHECKS, build_dims, build_fact
+from medalake.plans.gold import DIMS, GOLD_CHECKS, build_dim_table, build_fact
 from medalake.schemas import BRONZE, TABLES
+from medalake.session import concurrently
 from medalake.sources.jdbc import JdbcSplit, read_jdbc
 from medalake.sources.layers import read_layer, write_extract, write_layer
 from medalake.sources.snapshots import read_snapshot, write_snapshot
 
-DIMS = ("tiempo", "vuelo", "ruta", "canal", "pasajero")
 MONTH = "anio_mes"
 
 Changes = Callable[[Mapping[str, DataFrame]], DataFrame | None]
@@ -37,16 +37,21 @@ def jdbc_source(
 
 def land(source: Mapping[str, DataFrame], root: str, name: str, at: datetime) -> str:
     """Extract: every source table as a bronze snapshot."""
-    labels = {write_snapshot(df, root, table, name, at) for table, df in source.items()}
-    return labels.pop()
+    labels = concurrently(
+        [lambda t=t, df=df: write_snapshot(df, root, t, name, at) for t, df in source.items()]
+    )
+    return labels[0]
 
 
 def refresh_silver(spark: SparkSession, root: str, on_error: str = "null") -> None:
     """Clean the latest snapshots."""
-    for table in TABLES:
+
+    def refresh(table: str) -> None:
         bronze = read_snapshot(spark, root, table)
         write_layer(silver_plan.silver_table(table, bronze, on_error), root, "silver", table)
 
+    concurrently([lambda t=t: refresh(t) for t in TABLES])
+
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {t: read_layer(spark, root, "silver", t) for t in TABLES}
@@ -63,9 +68,12 @@ def refresh_gold(
     """Model silver as a star. Dimensions are written first, so the fact reads stored keys and
     measured sizes; the fact is laid out by booking month for partition pruning."""
     silver = read_silver(spark, root)
-    dims = build_dims(silver, changes(silver) if changes else None, epoch)
-    for name in DIMS:
-        write_layer(dims[name], root, "gold", f"dim_{name}")
+    changed = changes(silver) if changes else None
+
+    def refresh(name: str) -> None:
+        write_layer(build_dim_table(name, silver, changed, epoch), root, "gold", f"dim_{name}")
+
+    concurrently([lambda n=n: refresh(n) for n in DIMS])
     stored = {name: read_layer(spark, root, "gold", f"dim_{name}") for name in DIMS}
     fact = build_fact(silver["reservas"], Star(None, **stored), orphans, end)
     by_month = fact.withColumn(MONTH, F.date_format("fecha_reserva", "yyyy-MM"))

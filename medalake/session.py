@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +68,16 @@ def stage(df: DataFrame) -> DataFrame:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def concurrently(actions: Iterable[Callable[[], object]]) -> list:
+    """Submit independent Spark actions together, so that small jobs fill idle executors."""
+    todo = list(actions)
+    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
+        return [job.result() for job in [pool.submit(action) for action in todo]]
+
+
+def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``stage`` several frames that do not depend on each other."""
+    staged = concurrently([lambda df=df: stage(df) for df in frames.values()])
+    return dict(zip(frames, staged))

@@ -6,7 +6,6 @@ from collections import Counter, defaultdict
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 import bookings
 from medalake.operators.star import orphan_counts, wide_view
