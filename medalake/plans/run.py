@@ -15,7 +15,7 @@ from medalake.plans import catalogue, silver as silver_plan
 from medalake.plans.gold import DIMS, GOLD_CHECKS, build_dim_table, build_fact
 from medalake.schemas import BRONZE, TABLES
 from medalake.session import concurrently
-from medalake.sources.jdbc import JdbcSplit, read_jdbc
+from medalake.sources.jdbc import Split, read_jdbc
 from medalake.sources.layers import read_layer, write_extract, write_layer
 from medalake.sources.snapshots import read_snapshot, write_snapshot
 
@@ -24,15 +24,33 @@ MONTH = "anio_mes"
 Changes = Callable[[Mapping[str, DataFrame]], DataFrame | None]
 
 
+# Catalogue tables of a handful of rows; all others need a split to be read in parallel.
+SMALL_TABLES = ("rutas", "canales")
+
+
 def parquet_source(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {t: spark.read.schema(BRONZE[t]).parquet(f"{root.rstrip('/')}/{t}") for t in TABLES}
 
 
 def jdbc_source(
-    spark: SparkSession, url: str, splits: Mapping[str, JdbcSplit] | None = None, **extra: str
+    spark: SparkSession, url: str, splits: Mapping[str, Split], **properties: str
+) -> dict[str, DataFrame]:
+    return {
+        t: read_jdbc(spark, url, t, splits.get(t), small=t in SMALL_TABLES, **properties)
+        for t in TABLES
+    }
+
+
+def open_source(
+    spark: SparkSession, mode: str, location: str, splits: Mapping[str, Split] | None = None,
+    **properties: str,
 ) -> dict[str, DataFrame]:
-    splits = splits or {}
-    return {t: read_jdbc(spark, url, t, splits.get(t), **extra) for t in TABLES}
+    """The six source tables from Parquet folders or over JDBC."""
+    if mode == "parquet":
+        return parquet_source(spark, location)
+    if mode == "jdbc":
+        return jdbc_source(spark, location, splits or {}, **properties)
+    raise ValueError(f"mode must be 'parquet' or 'jdbc', not {mode!r}")
 
 
 def land(source: Mapping[str, DataFrame], root: str, name: str, at: datetime) -> str:

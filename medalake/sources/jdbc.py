@@ -1,17 +1,20 @@
-"""Relational extract over JDBC."""
+"""Relational extract over JDBC, read by many tasks."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+FETCH_SIZE = 10_000
+
 
 @dataclass(frozen=True)
-class JdbcSplit:
-    """How to read a table in parallel: ranges of a numeric, date or timestamp column.
+class RangeSplit:
+    """Ranges of a numeric, date or timestamp column.
 
-    The bounds only shape the ranges; rows outside them are still read.
+    The bounds only shape the ranges; rows outside them, and nulls, are still read.
     """
 
     column: str
@@ -20,29 +23,66 @@ class JdbcSplit:
     partitions: int
 
 
-def jdbc_options(
-    url: str,
-    table: str,
-    split: JdbcSplit | None = None,
-    fetch_size: int = 10_000,
-    **extra: str,
-) -> dict[str, str]:
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **extra}
-    if split is not None:
-        options |= {
-            "partitionColumn": split.column,
-            "lowerBound": split.lower,
-            "upperBound": split.upper,
-            "numPartitions": str(split.partitions),
-        }
-    return options
+@dataclass(frozen=True)
+class KeySplit:
+    """Ranges of a text key between sorted cut points."""
+
+    column: str
+    cuts: Sequence[str]
+
+    def predicates(self) -> list[str]:
+        quoted = ["'" + c.replace("'", "''") + "'" for c in sorted(self.cuts)]
+        if not quoted:
+            return ["1 = 1"]
+        first = f"{self.column} < {quoted[0]} OR {self.column} IS NULL"
+        middle = [
+            f"{self.column} >= {lo} AND {self.column} < {hi}"
+            for lo, hi in zip(quoted, quoted[1:])
+        ]
+        return [first, *middle, f"{self.column} >= {quoted[-1]}"]
+
+
+Split = RangeSplit | KeySplit
+
+
+def range_options(split: RangeSplit) -> dict[str, str]:
+    return {
+        "partitionColumn": split.column,
+        "lowerBound": split.lower,
+        "upperBound": split.upper,
+        "numPartitions": str(split.partitions),
+    }
+
+
+def bounds_query(table: str, column: str) -> str:
+    """Subquery the database answers with one row (lo, hi)."""
+    return f"(SELECT min({column}) AS lo, max({column}) AS hi FROM {table}) bounds"
+
+
+def measure_split(
+    spark: SparkSession, url: str, table: str, column: str, partitions: int, **properties: str
+) -> RangeSplit:
+    """A split over the actual range of ``column``; only its two ends reach the driver."""
+    row = spark.read.jdbc(url, bounds_query(table, column), properties=properties).first()
+    return RangeSplit(column, str(row[0]), str(row[1]), partitions)
 
 
 def read_jdbc(
-    spark: SparkSession, url: str, table: str, split: JdbcSplit | None = None, **extra: str
+    spark: SparkSession,
+    url: str,
+    table: str,
+    split: Split | None = None,
+    small: bool = False,
+    **properties: str,
 ) -> DataFrame:
-    """A whole table. Without a split one connection reads all of it: give large tables one.
-
-    Filters and column selections on the result are pushed to the database by Spark.
-    """
-    return spark.read.format("jdbc").options(**jdbc_options(url, table, split, **extra)).load()
+    """A whole table. Without a split one task would read all of it, which only a table declared
+    ``small`` may do. Filters and column selections on the result reach the database."""
+    if split is None and not small:
+        raise ValueError(f"give {table} a split, or declare it small")
+    properties = {"fetchsize": str(FETCH_SIZE), **properties}
+    if isinstance(split, KeySplit):
+        return spark.read.jdbc(url, table, predicates=split.predicates(), properties=properties)
+    options = {"url": url, "dbtable": table, **properties}
+    if split is not None:
+        options |= range_options(split)
+    return spark.read.format("jdbc").options(**options).load()

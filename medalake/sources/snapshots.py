@@ -21,7 +21,7 @@ def write_snapshot(df: DataFrame, root: str, table: str, source: str, at: dateti
     """Land a table as one snapshot. A rerun within the same minute replaces that snapshot only."""
     label = snapshot_label(at)
     (
-        df.withColumn("_extraido_en", F.lit(at).cast("timestamp_ntz"))
+        df.withColumn("_extraido_en", F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"))
         .withColumn("_fuente", F.lit(source))
         .withColumn(SNAPSHOT, F.lit(label))
         .write.mode("overwrite")

@@ -3,8 +3,13 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+import bookings
 from medalake.session import stage
-from medalake.sources.jdbc import JdbcSplit, jdbc_options
+from medalake.plans import run
+from medalake.schemas import BRONZE
+from medalake.sources.jdbc import (
+    KeySplit, RangeSplit, bounds_query, range_options, read_jdbc,
+)
 from medalake.sources.layers import read_layer, write_extract, write_layer
 from medalake.sources.snapshots import (
     list_snapshots, read_snapshot, snapshot_label, write_snapshot,
@@ -66,12 +71,30 @@ def test_stage_reads_back_from_the_shared_folder(spark):
     assert "ReadSchema: struct<id:bigint>" in plan
 
 
-def test_jdbc_options():
-    plain = jdbc_options("jdbc:postgresql://h/db", "reservas", user="u")
-    assert plain == {
-        "url": "jdbc:postgresql://h/db", "dbtable": "reservas", "fetchsize": "10000", "user": "u",
+def test_jdbc_splits(spark):
+    """What is sent to a database; none is opened here."""
+    split = RangeSplit("fecha_reserva", "2024-01-01", "2025-01-01", 64)
+    assert range_options(split) == {
+        "partitionColumn": "fecha_reserva", "lowerBound": "2024-01-01",
+        "upperBound": "2025-01-01", "numPartitions": "64",
     }
-    split = JdbcSplit("fecha_reserva", "2024-01-01", "2025-01-01", 64)
-    options = jdbc_options("jdbc:x", "reservas", split)
-    assert (options["partitionColumn"], options["numPartitions"]) == ("fecha_reserva", "64")
-    assert (options["lowerBound"], options["upperBound"]) == ("2024-01-01", "2025-01-01")
+    assert bounds_query("t", "c") == "(SELECT min(c) AS lo, max(c) AS hi FROM t) bounds"
+    with pytest.raises(ValueError, match="split"):
+        read_jdbc(spark, "jdbc:none", "reservas")
+    with pytest.raises(ValueError, match="mode"):
+        run.open_source(spark, "csv", "x")
+
+
+def test_key_ranges_cover_every_row_once(spark):
+    predicates = KeySplit("k", ["m", "c", "o'x"]).predicates()
+    df = spark.createDataFrame([(x,) for x in ["a", "c", "d", "m", "o'x", "z", None]], "k string")
+    parts = [df.where(p).count() for p in predicates]
+    assert len(parts) == 4 and sum(parts) == 7
+    assert KeySplit("k", []).predicates() == ["1 = 1"]
+
+
+def test_parquet_source(spark, root):
+    for name, df in bookings.source(spark).items():
+        df.write.parquet(f"{root}/{name}")
+    tables = run.open_source(spark, "parquet", root)
+    assert set(tables) == set(BRONZE) and tables["reservas"].count() > bookings.N
