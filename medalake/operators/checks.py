@@ -61,7 +61,9 @@ def unique(df: DataFrame, check: Check) -> DataFrame:
 def relationships(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
     """Child rows whose non-null reference has no parent.
 
-    References are counted per value before the anti join, so a popular value is one row by then.
+    References are counted per value first, so where the parent is too large to broadcast only
+    one row per value and task is shuffled to meet it. (Spark itself moves the anti join below the
+    count when the parent is small enough.)
     """
     references = (
         child.select(F.col(check.column).alias("_ref"))

@@ -157,11 +157,12 @@ def day_hour_matrix(star: Star) -> DataFrame:
     cells = _day_hour(star, ["dia_nombre"])
     matrix = pivot_matrix(cells, ["dia_nombre"], "hora", "reservas", hours).na.fill(0)
     names = F.array(*[F.lit(name) for name in WEEKDAYS])
-    spine = star.fact.sparkSession.range(len(WEEKDAYS)).select(
+    # Seven rows on either side, whatever the fact: one partition and a broadcast.
+    spine = star.fact.sparkSession.range(0, len(WEEKDAYS), numPartitions=1).select(
         F.col("id").alias("_orden"), F.get(names, F.col("id").cast("int")).alias("dia_nombre")
     )
     return (
-        spine.join(matrix, "dia_nombre", "left")
+        spine.join(F.broadcast(matrix), "dia_nombre", "left")
         .orderBy("_orden")
         .select(map_values(F.col("dia_nombre"), WEEKDAYS).alias("dia"), *hours.values())
     )

@@ -396,7 +396,8 @@ def scd2_build(spark, sf):
 @register("scd2_apply")
 def _scd2_incremental(spark, sf):
     events = fx.table(spark, sf, "events")
-    first = fx.event_versions(events.where(F.col("ts") < F.lit(SPLIT_DAY)))
+    # The dimension an increment meets is a stored table.
+    first = stage(fx.event_versions(events.where(F.col("ts") < F.lit(SPLIT_DAY))))
     later = events.where(F.col("ts") >= F.lit(SPLIT_DAY))
     return scd2_apply(
         first, later, "user_id", ["event_type"], "ts", order_by=["ts", "event_id"]

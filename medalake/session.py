@@ -24,6 +24,14 @@ SQL_DEFAULTS = {
 }
 
 
+def submitted_session(app: str = "medalake") -> SparkSession:
+    """The session of a submitted job: master and resources come from the submitter."""
+    builder = SparkSession.builder.appName(app)
+    for key, value in SQL_DEFAULTS.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def local_session(cores: int | str = "*", app: str = "medalake", **conf: str) -> SparkSession:
     """A single-JVM session for tests and benches; clusters bring their own session."""
     cores_text = str(cores)

@@ -246,3 +246,13 @@ def test_silver_same_for_any_layout(spark, data, shuffle_partitions):
         silver = build_silver({"reservas": bookings.source(spark, data)["reservas"].repartition(n)})
         seen.add(str(sorted(map(tuple, silver["reservas"].collect()), key=repr)))
     assert len(seen) == 1
+
+
+def test_command_line(spark, data, tmp_path, capsys):
+    from medalake.__main__ import main
+
+    for name, df in bookings.source(spark, data).items():
+        df.write.parquet(f"{tmp_path}/oltp/{name}")
+    main(["--location", f"{tmp_path}/oltp", "--root", f"{tmp_path}/lake", "--since", "2024-06-01"])
+    printed = capsys.readouterr().out
+    assert "precio_no_positivo" in printed and "ocupacion_pct" in printed
