@@ -46,15 +46,17 @@ def cast_column(df: DataFrame, name: str, to: str, on_error: str) -> Column:
 
 def conform(df: DataFrame, spec: CleanSpec, flags: bool = False) -> DataFrame:
     """Normalised text, cast types and defaults; ``flags`` adds ``_null_<column>`` per default."""
-    typed = df.withColumns(
-        {
-            **{c: _TEXT[how](F.col(c)) for c, how in spec.text.items()},
-            **{c: cast_column(df, c, to, spec.on_error) for c, to in spec.casts.items()},
-        }
+    typed = df.withColumns({c: _TEXT[how](F.col(c)) for c, how in spec.text.items()})
+    typed = typed.withColumns(
+        {c: cast_column(typed, c, to, spec.on_error) for c, to in spec.casts.items()}
     )
     if flags:
         typed = typed.withColumns({f"_null_{c}": F.col(c).isNull() for c in spec.defaults})
-    return typed.fillna(dict(spec.defaults)) if spec.defaults else typed
+    filled = {
+        c: F.coalesce(F.col(c), F.lit(v).cast(typed.schema[c].dataType))
+        for c, v in spec.defaults.items()
+    }
+    return typed.withColumns(filled) if filled else typed
 
 
 def clean(df: DataFrame, spec: CleanSpec) -> DataFrame:

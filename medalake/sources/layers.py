@@ -56,24 +56,31 @@ def save_tables(tables: Mapping[str, DataFrame], database: str | None = None) ->
     return counts
 
 
-def create_star_view(spark: SparkSession, name: str = "v_reservas_full", temporary: bool = False):
-    """Wide view over persisted star tables."""
+def create_star_view(
+    spark: SparkSession,
+    name: str = "v_reservas_full",
+    database: str | None = None,
+    temporary: bool = False,
+) -> None:
+    """Wide view over the star's tables: persisted ones of ``database``, or temporary views."""
+    prefix = f"{database}." if database else ""
     kind = "TEMPORARY VIEW" if temporary else "VIEW"
+    target = name if temporary else f"{prefix}{name}"
     spark.sql(f"""
-        CREATE OR REPLACE {kind} {name} AS
+        CREATE OR REPLACE {kind} {target} AS
         SELECT reserva_id, precio_pagado, asientos_reservados, descuento_aplicado,
                dias_anticipacion, es_cancelada, fecha_reserva, hour(fecha_reserva) AS hora,
-               dim_tiempo.fecha, anio, mes, mes_nombre, dia_nombre, es_temporada_alta,
+               t.fecha, anio, mes, mes_nombre, dia_nombre, es_temporada_alta,
                numero_vuelo, aeronave, capacidad_asientos,
                origen_iata, destino_iata, internacional_flag,
                concat(origen_iata, '→', destino_iata) AS ruta,
                segmento, pais_residencia, nombre AS canal, digital_flag
-        FROM fact_reservas
-             INNER JOIN dim_tiempo USING (tiempo_sk)
-             INNER JOIN dim_vuelo USING (vuelo_sk)
-             INNER JOIN dim_ruta USING (ruta_sk)
-             INNER JOIN dim_pasajero USING (pasajero_sk)
-             INNER JOIN dim_canal USING (canal_sk)
+        FROM {prefix}fact_reservas
+             INNER JOIN {prefix}dim_tiempo t USING (tiempo_sk)
+             INNER JOIN {prefix}dim_vuelo USING (vuelo_sk)
+             INNER JOIN {prefix}dim_ruta USING (ruta_sk)
+             INNER JOIN {prefix}dim_pasajero USING (pasajero_sk)
+             INNER JOIN {prefix}dim_canal USING (canal_sk)
     """)
 
 

@@ -89,6 +89,18 @@ def test_strict_mode_raises(bronze):
         clean(bronze, strict).collect()
 
 
+def test_text_then_cast_then_default(spark):
+    spec = CleanSpec(
+        key=["k"], text={"n": "strip"}, casts={"n": "int", "d": "date"},
+        defaults={"n": 9, "t": "?"},
+    )
+    df = spark.createDataFrame(
+        [(1, "\t7\n", "2024-01-02", None), (2, "x", "no", "a")], "k int, n string, d string, t string"
+    )
+    out = {r.k: (r.n, str(r.d), r.t) for r in clean(df, spec).collect()}
+    assert out == {1: (7, "2024-01-02", "?"), 2: (9, "None", "a")}
+
+
 def test_dedupe_ignores_layout(spark, shuffle_partitions):
     rng = random.Random(3)
     # One key holds a third of the rows; ties on the order column are common.

@@ -202,6 +202,8 @@ def test_persisted_tables(spark, star, facts):
         counts = {r.tabla: r.filas for r in save_tables(star.tables(), "reporte").collect()}
     assert counts["fact_reservas"] == len(facts) and counts["dim_canal"] == 4
     assert len(counts) == 6
+    create_star_view(spark, database="reporte")
+    assert spark.table("reporte.v_reservas_full").count() == len(facts)
 
 
 def test_extract_is_json(root, facts):

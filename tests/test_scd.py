@@ -8,6 +8,7 @@ from medalake.operators.scd import (
     pit_join, scd2_apply, scd2_build, scd2_from_base, scd2_stats, single_version,
 )
 from medalake.operators.keys import surrogate_key
+from medalake.operators.star import lookup
 
 OPEN = date(9999, 12, 31)
 LOG = "id int, at timestamp_ntz, seq int, state string"
@@ -195,8 +196,8 @@ def test_point_in_time_against_brute_force(spark, end):
     assert got == want
 
 
-def test_hot_id_is_split(spark):
-    """With a third of the facts on one id, the adaptive join splits that id's partition."""
+@pytest.fixture
+def small_partitions_are_skewed(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -206,22 +207,31 @@ def test_hot_id_is_split(spark):
         "spark.sql.shuffle.partitions": "16",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        n = 120_000
-        facts = spark.range(n, numPartitions=16).select(
-            F.col("id").cast("int").alias("fid"),
-            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).cast("int").alias("id"),
-            F.lit(ts(20)).cast("timestamp_ntz").alias("at"),
-        )
-        log = spark.range(1000).select(
-            F.col("id").cast("int"), F.lit(ts(1)).cast("timestamp_ntz").alias("at"),
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("kind", ["point in time", "lookup"])
+def test_hot_id_is_split(spark, small_partitions_are_skewed, kind):
+    """With a third of the facts on one id, the adaptive join splits that id's partition."""
+    n = 120_000
+    facts = spark.range(n, numPartitions=16).select(
+        F.col("id").cast("int").alias("fid"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).cast("int").alias("id"),
+        F.lit("2024-01-20").cast("timestamp_ntz").alias("at"),
+    )
+    ids = spark.range(1000).select(F.col("id").cast("int"))
+    if kind == "lookup":
+        out = lookup(facts, ids.withColumn("sk", F.col("id") + 1), "id", ["sk"])
+    else:
+        log = ids.select(
+            "id", F.lit("2024-01-01").cast("timestamp_ntz").alias("at"),
             F.lit(0).alias("seq"), F.lit("n").alias("state"),
         )
         out = pit_join(facts, build(log), "id", "at", ["state"])
-        assert len(out.collect()) == n
-        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    rows = out.collect()
+    assert len(rows) == n and all(r[-1] is not None for r in rows)
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
