@@ -45,15 +45,14 @@ def _cut_points(df: DataFrame, key: Column, buckets: int) -> DataFrame:
 def _with_bucket(df: DataFrame, key: Column, cuts: DataFrame, buckets: int) -> DataFrame:
     """Bucket = number of cut points below the key, found by an unrolled binary search."""
     # A scalar subquery of at most MAX_BUCKETS cut points: it does not grow with the data.
-    out = df.select("*", key.alias("_k"), cuts.scalar().alias("_cuts"), F.lit(0).alias("_bucket"))
-    step = buckets // 2
+    # Each step of the search refers to the one before it in the same SELECT.
+    steps, below, step = [], "0", buckets // 2
     while step >= 1:
-        passed = F.get("_cuts", F.col("_bucket") + (step - 1)) < F.col("_k")
-        out = out.withColumn(
-            "_bucket", F.col("_bucket") + F.when(passed, F.lit(step)).otherwise(F.lit(0))
-        )
-        step //= 2
-    return out.drop("_cuts", "_k")
+        found = f"CASE WHEN get(_cuts, {below} + {step - 1}) < _k THEN {step} ELSE 0 END"
+        steps.append(F.expr(f"{below} + {found} AS _below_{step}"))
+        below, step = f"_below_{step}", step // 2
+    searched = df.select("*", key.alias("_k"), cuts.scalar().alias("_cuts"), *steps)
+    return searched.select(*df.columns, F.col(below).alias("_bucket"))
 
 
 def surrogate_key(

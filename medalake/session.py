@@ -21,6 +21,8 @@ SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.ansi.enabled": "true",
+    # Recording the call site of every column expression costs more than small queries themselves.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
