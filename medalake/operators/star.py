@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
 from medalake.operators.calendar import bounded
 
 
+# Partition column of a stored fact: booking month as ``YYYY-MM``.
+MONTH = "anio_mes"
+
+
 @dataclass(frozen=True)
 class Star:
     """One fact and its dimensions, joined on ``tiempo_sk``, ``vuelo_sk``, ``ruta_sk``,
@@ -38,6 +43,14 @@ class Star:
     def where(self, condition) -> "Star":
         return replace(self, fact=self.fact.where(condition))
 
+    def booked_since(self, since: date) -> "Star":
+        """Facts booked on or after a day. The bound is put on the fact itself rather than on the
+        calendar, so that it prunes month partitions and Parquet row groups."""
+        fact = self.fact.where(F.col("fecha_reserva") >= F.lit(since))
+        if MONTH in fact.columns:
+            fact = fact.where(F.col(MONTH) >= since.strftime("%Y-%m"))
+        return replace(self, fact=fact)
+
     def tables(self) -> dict[str, DataFrame]:
         named = {"fact_reservas": self.fact}
         for name in ("tiempo", "vuelo", "ruta", "canal", "pasajero"):
@@ -109,7 +122,7 @@ def wide_view(star: Star) -> DataFrame:
         "reserva_id", "precio_pagado", "asientos_reservados", "descuento_aplicado",
         "dias_anticipacion", "es_cancelada", "fecha_reserva",
         F.hour("fecha_reserva").alias("hora"),
-        star.tiempo["fecha"], "anio", "mes", "mes_nombre", "dia_nombre", "es_temporada_alta",
+        "fecha", "anio", "mes", "mes_nombre", "dia_nombre", "es_temporada_alta",
         "numero_vuelo", "aeronave", "capacidad_asientos",
         "origen_iata", "destino_iata", "internacional_flag", route_label().alias("ruta"),
         "segmento", "pais_residencia",

@@ -67,15 +67,15 @@ def seat_utilisation(star: Star, since: date) -> DataFrame:
 
     Sales are summed per route and capacity per route before the two meet.
     """
-    recent = bounded(star.tiempo.where(F.col("fecha") >= F.lit(since)))
+    recent = bounded(star.tiempo.where(F.col("fecha") >= F.lit(since)).select("fecha"))
     sold = (
-        star.where(CONFIRMED).fact.join(recent.select("tiempo_sk"), "tiempo_sk")
+        star.booked_since(since).where(CONFIRMED).fact
         .groupBy("ruta_sk").agg(F.sum("asientos_reservados").alias("asientos_vendidos"))
         .join(star.ruta, "ruta_sk")
     )
     flights = star.vuelo.withColumn("fecha", day(F.col("fecha_vuelo")))
     capacity = (
-        flights.join(recent.select("fecha"), "fecha")
+        flights.join(recent, "fecha")
         .groupBy("ruta_id").agg(F.sum("capacidad_asientos").alias("asientos_disponibles"))
     )
     return (
@@ -253,9 +253,8 @@ def full_scan(fact: DataFrame) -> DataFrame:
 
 def route_count_since(star: Star, since: date) -> DataFrame:
     """Bookings per route since a date."""
-    recent = bounded(star.tiempo.where(F.col("fecha") >= F.lit(since)).select("tiempo_sk"))
     return (
-        star.fact.join(recent, "tiempo_sk")
+        star.booked_since(since).fact
         .groupBy("ruta_sk").agg(_n().alias("n"))
         .join(star.ruta, "ruta_sk")
         .groupBy(route_label().alias("ruta")).agg(F.sum("n").alias("reservas"))

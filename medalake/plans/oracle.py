@@ -714,6 +714,57 @@ Q["gold_lead_time"] = f"""
     FROM fact_reservas JOIN dim_tiempo USING (tiempo_sk) JOIN dim_pasajero USING (pasajero_sk)
     WHERE es_cancelada = 0 GROUP BY ALL"""
 
+Q["gold_conversion"] = f"""
+    WITH {GOLD}
+    SELECT nombre AS canal, digital_flag, COUNT(*) AS total_reservas,
+           {_big('SUM(1 - es_cancelada)')} AS confirmadas,
+           {_big('SUM(es_cancelada)')} AS canceladas,
+           {_pct('SUM(1 - es_cancelada)', 'COUNT(*)', 2)} AS conversion_pct,
+           {_money('precio_pagado')} AS ingresos_cop
+    FROM fact_reservas JOIN dim_canal USING (canal_sk) GROUP BY nombre, digital_flag"""
+Q["gold_top_routes"] = f"""
+    WITH {GOLD}
+    SELECT origen_iata || '→' || destino_iata AS ruta, internacional_flag,
+           {_money('precio_pagado')} / 1e6 AS "ingresos_M_COP",
+           {_big('SUM(asientos_reservados)')} AS asientos
+    FROM fact_reservas JOIN dim_ruta USING (ruta_sk) WHERE es_cancelada = 0
+    GROUP BY ALL ORDER BY 3 DESC, ruta LIMIT 10"""
+Q["gold_kpi_row"] = f"""
+    WITH {GOLD}, confirmed AS (SELECT * FROM fact_reservas WHERE es_cancelada = 0)
+    SELECT (SELECT {_pct('SUM(es_cancelada)', 'COUNT(*)', 2)} FROM fact_reservas)
+               AS tasa_cancelacion_pct,
+           (SELECT ROUND({_mean('precio_pagado')}, 0) FROM confirmed) AS ticket_promedio,
+           (SELECT ROUND(AVG(dias_anticipacion), 1) FROM confirmed) AS ventana_media_dias,
+           (SELECT {_money('precio_pagado')} / 1e9 FROM confirmed) AS "ingresos_total_B_COP",
+           (SELECT COUNT(*) FROM fact_reservas) AS total_reservas,
+           (SELECT COUNT(*) FROM confirmed) AS confirmadas"""
+_SEGMENT_SHARES = ", ".join(
+    f"ROUND(CAST(SUM(1 - es_cancelada) FILTER (WHERE segmento = '{s}') AS DOUBLE) * 100"
+    f" / NULLIF(COUNT(*) FILTER (WHERE segmento = '{s}'), 0), 1) AS {s}"
+    for s in ("frecuente", "automobile", "building", "furniture", "household", "machinery")
+)
+Q["gold_channel_segment"] = f"""
+    WITH {GOLD}
+    SELECT nombre AS canal, {_SEGMENT_SHARES}
+    FROM fact_reservas JOIN dim_canal USING (canal_sk) JOIN dim_pasajero USING (pasajero_sk)
+    GROUP BY nombre"""
+Q["gold_route_count_since"] = f"""
+    WITH {GOLD}
+    SELECT origen_iata || '→' || destino_iata AS ruta, COUNT(*) AS reservas
+    FROM fact_reservas JOIN dim_ruta USING (ruta_sk) JOIN dim_tiempo USING (tiempo_sk)
+    WHERE fecha >= DATE '2000-01-01' GROUP BY 1"""
+Q["gold_wide_view"] = f"""
+    WITH {GOLD}
+    SELECT reserva_id, precio_pagado, asientos_reservados, descuento_aplicado,
+           dias_anticipacion, es_cancelada, fecha_reserva,
+           CAST(hour(fecha_reserva) AS INTEGER) AS hora, fecha, anio, mes, mes_nombre, dia_nombre,
+           es_temporada_alta, numero_vuelo, aeronave, capacidad_asientos, origen_iata,
+           destino_iata, internacional_flag, origen_iata || '→' || destino_iata AS ruta,
+           segmento, pais_residencia, nombre AS canal, digital_flag
+    FROM fact_reservas JOIN dim_tiempo USING (tiempo_sk) JOIN dim_vuelo USING (vuelo_sk)
+         JOIN dim_ruta USING (ruta_sk) JOIN dim_pasajero USING (pasajero_sk)
+         JOIN dim_canal USING (canal_sk)"""
+
 _DIM_KEYS = {
     "dim_tiempo": ("tiempo_sk", "fecha"), "dim_vuelo": ("vuelo_sk", "vuelo_id"),
     "dim_ruta": ("ruta_sk", "ruta_id"), "dim_canal": ("canal_sk", "canal_id"),

@@ -559,21 +559,24 @@ def gold_fact_reservas(spark, sf):
     return fx.gold_star(spark, sf).fact
 
 
-@register
-def gold_monthly(spark, sf):
-    return cat.monthly_revenue(fx.gold_star(spark, sf))
-
-
-@register
-def gold_utilisation(spark, sf):
-    return cat.seat_utilisation(fx.gold_star(spark, sf), SINCE)
-
-
-@register
-def gold_lead_time(spark, sf):
-    return cat.lead_time(fx.gold_star(spark, sf))
-
-
-@register
-def gold_checks(spark, sf):
-    return run_checks(fx.gold_star(spark, sf).tables(), GOLD_CHECKS)
+GOLD_SEGMENTS = ("frecuente", *(s.lower() for s in fx.SEGMENTS))
+GOLD_QUERIES = {
+    "gold_monthly": cat.monthly_revenue,
+    "gold_utilisation": lambda star: cat.seat_utilisation(star, SINCE),
+    "gold_conversion": cat.channel_conversion,
+    "gold_lead_time": cat.lead_time,
+    "gold_top_routes": cat.top_routes,
+    "gold_kpi_row": cat.kpi_row,
+    "gold_channel_segment": lambda star: cat.channel_segment_matrix(star, GOLD_SEGMENTS),
+    "gold_route_count_since": lambda star: cat.route_count_since(star, SINCE),
+    "gold_wide_view": wide_view,
+    "gold_checks": lambda star: run_checks(star.tables(), GOLD_CHECKS),
+}
+
+
+def _on_gold(query) -> Query:
+    return lambda spark, sf: query(fx.gold_star(spark, sf))
+
+
+for _name, _query in GOLD_QUERIES.items():
+    _registry[_name] = _on_gold(_query)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from medalake.operators.checks import run_checks
 from medalake.operators.clean import quality_ledger, quality_summary
 from medalake.operators.scd import DW_EPOCH, scd2_stats
-from medalake.operators.star import Star
+from medalake.operators.star import MONTH, Star
 from medalake.plans import catalogue, silver as silver_plan
 from medalake.plans.gold import DIMS, GOLD_CHECKS, build_dim_table, build_fact
 from medalake.schemas import BRONZE, TABLES
@@ -19,7 +19,6 @@ from medalake.sources.jdbc import Split, read_jdbc
 from medalake.sources.layers import read_layer, write_extract, write_layer
 from medalake.sources.snapshots import read_snapshot, write_snapshot
 
-MONTH = "anio_mes"
 
 Changes = Callable[[Mapping[str, DataFrame]], DataFrame | None]
 

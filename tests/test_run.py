@@ -223,6 +223,10 @@ def test_fact_is_laid_out_by_month(spark, star, root):
     assert len(months) == 12
     plan = star.fact.where("anio_mes = '2024-03'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(anio_mes" in plan
+    recent = star.booked_since(date(2024, 6, 15))
+    plan = recent.fact._jdf.queryExecution().executedPlan().toString()
+    assert "(anio_mes" in plan and ">= 2024-06)" in plan
+    assert recent.fact.count() == star.fact.where("fecha_reserva >= '2024-06-15'").count()
 
 
 def test_second_run_replaces_and_keeps_old_snapshots(spark, star, root, data, facts):
