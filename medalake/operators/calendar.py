@@ -32,8 +32,9 @@ def span_of(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def date_spine(bounds: DataFrame, name: str = "fecha") -> DataFrame:
-    """Every day between ``lo`` and ``hi``, ends included."""
-    return bounds.select(F.explode(F.sequence("lo", "hi")).alias(name))
+    """Every day from ``lo`` to ``hi``, ends included, beside ``lo``; none if ``lo`` is later."""
+    days = F.when(F.col("lo") <= F.col("hi"), F.sequence("lo", "hi"))
+    return bounds.select("lo", F.explode(days).alias(name))
 
 
 def calendar_dim(bounds: DataFrame, week_start: str = "monday") -> DataFrame:
@@ -42,21 +43,18 @@ def calendar_dim(bounds: DataFrame, week_start: str = "monday") -> DataFrame:
     The spine has no holes, so the key is the day's distance from the first day; no sort needed.
     """
     d, dow = F.col("fecha"), weekday(F.col("fecha"), week_start)
-    return (
-        bounds.select("lo", F.explode(F.sequence("lo", "hi")).alias("fecha"))
-        .select(
-            (F.datediff("fecha", "lo") + 1).cast("bigint").alias("tiempo_sk"),
-            "fecha",
-            F.year(d).alias("anio"),
-            F.quarter(d).alias("trimestre"),
-            F.month(d).alias("mes"),
-            F.date_format(d, "MMMM").alias("mes_nombre"),
-            F.dayofmonth(d).alias("dia"),
-            dow.alias("dia_semana"),
-            F.date_format(d, "EEEE").alias("dia_nombre"),
-            (F.weekday(d) >= 5).alias("es_fin_semana"),
-            F.month(d).isin(*HIGH_SEASON_MONTHS).alias("es_temporada_alta"),
-        )
+    return date_spine(bounds).select(
+        (F.datediff("fecha", "lo") + 1).cast("bigint").alias("tiempo_sk"),
+        "fecha",
+        F.year(d).alias("anio"),
+        F.quarter(d).alias("trimestre"),
+        F.month(d).alias("mes"),
+        F.date_format(d, "MMMM").alias("mes_nombre"),
+        F.dayofmonth(d).alias("dia"),
+        dow.alias("dia_semana"),
+        F.date_format(d, "EEEE").alias("dia_nombre"),
+        (F.weekday(d) >= 5).alias("es_fin_semana"),
+        F.month(d).isin(*HIGH_SEASON_MONTHS).alias("es_temporada_alta"),
     )
 
 

@@ -75,7 +75,7 @@ def lookup(
     keys = {f"_on_{i}": (f, d) for i, (f, d) in enumerate(pairs.items())}
     side = dim.select(*[F.col(d).alias(k) for k, (_, d) in keys.items()], *take)
     side = F.broadcast(side) if small else side
-    match = [fact[f] == side[k] for k, (f, _) in keys.items()]
+    match = [F.col(f) == F.col(k) for k, (f, _) in keys.items()]
     return fact.join(side, match, "left").drop(*keys)
 
 

@@ -279,7 +279,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def segment_changes(silver: dict[str, DataFrame]) -> DataFrame:
-    """Passengers turn ``frecuente`` by the trailing-year rule and fall back to their own segment."""
+    """Passengers turn ``frecuente`` by the trailing-year rule, else keep their own segment."""
     own = silver["pasajeros"].select("pasajero_id", F.col("segmento").alias("_own"))
     log = segment_log(silver["reservas"], "pasajero_id", "fecha_reserva")
     return log.join(own, "pasajero_id").select(

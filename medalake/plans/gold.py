@@ -89,8 +89,11 @@ def build_dim_canal(canales: DataFrame) -> DataFrame:
 def build_dim_pasajero(
     pasajeros: DataFrame, changes: DataFrame | None = None, epoch: date = DW_EPOCH
 ) -> DataFrame:
-    """Type-2 dimension. ``changes`` holds (pasajero_id, fecha_cambio) and, unless segments are to
-    follow the promotion map, the new ``segmento``. Without changes: one version each."""
+    """Type-2 dimension, one version each without ``changes``.
+
+    ``changes`` holds (pasajero_id, fecha_cambio) and, unless segments are to follow the promotion
+    map, the new ``segmento``.
+    """
     base = pasajeros.select("pasajero_id", "segmento", "pais_residencia", "fecha_alta")
     if changes is None:
         versions = single_version(base, epoch)

@@ -281,7 +281,9 @@ Q["quality_summary"] = f"""
            {_pct('s.n', 'b.n', 1)} AS pct_retenido, total AS monto_total
     FROM b, s"""
 
-GAPPED = "SELECT * REPLACE (nullif(o_orderpriority, '4-NOT SPECIFIED') AS o_orderpriority) FROM orders"
+GAPPED = """
+    SELECT * REPLACE (nullif(o_orderpriority, '4-NOT SPECIFIED') AS o_orderpriority)
+    FROM orders"""
 Q["filter_not_null"] = f"SELECT * FROM ({GAPPED}) WHERE o_orderpriority IS NOT NULL"
 Q["filter_ne_nullsafe"] = f"SELECT * FROM ({GAPPED}) WHERE o_orderpriority IS DISTINCT FROM '5-LOW'"
 Q["filter_positive"] = "SELECT * FROM customer WHERE c_acctbal > 0"

@@ -321,7 +321,8 @@ def two_hop_lookup(spark, sf):
 def _event_fact(spark, sf):
     events, customers = fx.table(spark, sf, "events"), fx.table(spark, sf, "customer")
     calendar = calendar_dim(span_of(events, "ts"))
-    versions = surrogate_key(stage(fx.event_versions(events)), "version_sk", ["user_id", "valido_desde"])
+    history = stage(fx.event_versions(events))
+    versions = surrogate_key(history, "version_sk", ["user_id", "valido_desde"])
     kinds = surrogate_key(stage(events.select("event_type").distinct()), "tipo_sk", ["event_type"])
     homes = surrogate_key(customers.select("c_custkey", "c_nationkey"), "cliente_sk", ["c_custkey"])
     nations = surrogate_key(

@@ -74,7 +74,8 @@ def test_calendar(spark):
     assert (sunday.dia_semana, sunday.es_fin_semana) == (6, True)
     assert (new_year.anio, new_year.trimestre, new_year.es_temporada_alta) == (2024, 1, True)
     assert by_day[date(2023, 12, 31)].trimestre == 4
-    sundays = {r.fecha: r.dia_semana for r in calendar_dim(span_of(df, "a", "b"), "sunday").collect()}
+    from_sunday = calendar_dim(span_of(df, "a", "b"), "sunday").collect()
+    sundays = {r.fecha: r.dia_semana for r in from_sunday}
     assert sundays[date(2024, 3, 3)] == 0
 
 
@@ -84,5 +85,7 @@ def test_date_range_over_frames(spark):
     assert tuple(date_range((a, "x", "y"), (b, "z", "z")).first()) == (
         date(2024, 1, 2), date(2024, 1, 9),
     )
+    backwards = spark.createDataFrame([(date(2024, 1, 5), date(2024, 1, 2))], "x date, y date")
+    assert calendar_dim(date_range((backwards, "x", "y"))).count() == 0
     nothing = calendar_dim(date_range((a.where("x > y"), "x", "y")))
     assert nothing.count() == 0
