@@ -12,7 +12,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from medalake.functions.dates import day, month_label
-from medalake.functions.numbers import money_avg, money_sum, percent, rounded
+from medalake.functions.numbers import (
+    ONE_UNIT, money_avg, money_sum, money_units, percent, rounded,
+)
 from medalake.functions.text import map_values
 from medalake.operators.calendar import bounded
 from medalake.operators.matrix import linear_trend, pivot_matrix, top_k
@@ -141,11 +143,11 @@ def top_routes(star: Star, k: int = 10) -> DataFrame:
     """Routes by confirmed revenue in millions, with seats."""
     routes = (
         star.where(CONFIRMED).fact.groupBy("ruta_sk")
-        .agg(F.sum(F.col(PRICE).cast("decimal(18,4)")).alias("ingresos"),
+        .agg(F.sum(money_units(F.col(PRICE))).alias("_units"),
              F.sum("asientos_reservados").alias("asientos"))
         .join(star.ruta, "ruta_sk")
         .groupBy(route_label().alias("ruta"), "internacional_flag")
-        .agg((F.sum("ingresos").cast("double") / MILLION).alias("ingresos_M_COP"),
+        .agg(((F.sum("_units") * F.lit(ONE_UNIT)).cast("double") / MILLION).alias("ingresos_M_COP"),
              F.sum("asientos").alias("asientos"))
     )
     return top_k(routes, k, F.desc("ingresos_M_COP"), F.asc("ruta"))
