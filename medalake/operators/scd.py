@@ -198,30 +198,37 @@ def pit_join(
     """
     if end not in ("date", "closed_ts"):
         raise ValueError(f"end must be 'date' or 'closed_ts', not {end!r}")
-    fields = list(dict.fromkeys([FROM, TO, *take]))
+    # Version columns carry a prefix, so that they cannot meet a fact column of the same name.
+    fields = {c: f"_v_{c}" for c in dict.fromkeys([FROM, TO, *take])}
+    start, last = fields[FROM], fields[TO]
     folded = (
         dim.groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_versions"))
+        .agg(
+            F.array_sort(
+                F.collect_list(F.struct(*[F.col(c).alias(v) for c, v in fields.items()]))
+            ).alias("_versions")
+        )
         .withColumn("_steps", _halvings(F.size("_versions")))
         .withColumn("_hash", F.xxhash64(key))
     )
     moment = day(F.col(at))
 
     def advance(position: Column, step: Column) -> Column:
-        starts = F.get("_versions", position + step - 1)[FROM]
+        starts = F.get("_versions", position + step - 1)[start]
         return F.when(starts <= moment, position + step).otherwise(position)
 
     started = F.aggregate("_steps", F.lit(0), advance)
     hit = F.get("_versions", F.col("_started") - 1)
     instant = moment if end == "date" else F.col(at).cast("timestamp_ntz")
-    limit = hit[TO] if end == "date" else hit[TO].cast("timestamp_ntz")
+    limit = hit[last] if end == "date" else hit[last].cast("timestamp_ntz")
+    # Unfolding the hit as rows, zero or one per fact, keeps a filter on it from being copied
+    # below the search.
     found = (
         fact.withColumn("_hash", F.xxhash64(key))
         .join(folded, [key, "_hash"], how)
         .withColumn("_started", started)
-        .withColumn("_hit", F.when(instant <= limit, hit))
-        .select(*fact.columns, "_hit")
+        .select(*fact.columns, F.inline_outer(F.when(instant <= limit, F.array(hit))))
     )
     if how == "inner":
-        found = found.where(F.col("_hit").isNotNull())
-    return found.select(*fact.columns, *[F.col("_hit")[c].alias(c) for c in take])
+        found = found.where(F.col(start).isNotNull())
+    return found.select(*fact.columns, *[F.col(fields[c]).alias(c) for c in take])
