@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 @dataclass(frozen=True)
@@ -25,12 +24,13 @@ class Check:
         return self.column if isinstance(self.column, str) else "+".join(self.column)
 
 
-def _result(frame: DataFrame, check: Check, failures: str) -> DataFrame:
-    return frame.select(
+def _result(frame: DataFrame, check: Check, failures: Column) -> DataFrame:
+    """One row (prueba, tabla, columna, fallos)."""
+    return frame.agg(
         F.lit(check.kind).alias("prueba"),
         F.lit(check.table).alias("tabla"),
         F.lit(check.label).alias("columna"),
-        F.col(failures).alias("fallos"),
+        failures.alias("fallos"),
     )
 
 
@@ -52,10 +52,11 @@ def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
 def unique(df: DataFrame, check: Check) -> DataFrame:
     """Values that occur more than once; null is no value. Counted before the shuffle."""
     keys = [check.column] if isinstance(check.column, str) else list(check.column)
-    repeated = (
-        df.na.drop(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    )
-    return _result(repeated.agg(F.count(F.lit(1)).alias("fallos")), check, "fallos")
+    repeated = F.col("_n") > 1
+    for k in keys:
+        repeated = repeated & F.col(k).isNotNull()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return _result(counts, check, F.count_if(repeated))
 
 
 def relationships(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
@@ -65,15 +66,22 @@ def relationships(child: DataFrame, parent: DataFrame, check: Check) -> DataFram
     one row per value and task is shuffled to meet it. (Spark itself moves the anti join below the
     count when the parent is small enough.)
     """
-    references = (
-        child.select(F.col(check.column).alias("_ref"))
-        .where(F.col("_ref").isNotNull())
-        .groupBy("_ref")
-        .agg(F.count(F.lit(1)).alias("n"))
+    references = child.groupBy(F.col(check.column).alias("_ref")).agg(
+        F.count(F.lit(1)).alias("_n")
     )
     known = parent.select(F.col(check.parent_column).alias("_ref"))
-    lost = references.join(known, "_ref", "left_anti")
-    return _result(lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("fallos")), check, "fallos")
+    lost = F.sum(F.when(F.col("_ref").isNotNull(), F.col("_n")))
+    return _result(
+        references.join(known, "_ref", "left_anti"), check, F.coalesce(lost, F.lit(0))
+    )
+
+
+def _stack(frames: list[DataFrame]) -> DataFrame:
+    """Union in halves: a chain would have Spark analyse the growing union at every link."""
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return _stack(frames[:middle]).union(_stack(frames[middle:]))
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
@@ -87,4 +95,4 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
             parts.append(unique(tables[c.table], c))
         elif c.kind == "relationships":
             parts.append(relationships(tables[c.table], tables[c.parent], c))
-    return reduce(DataFrame.unionByName, parts)
+    return _stack(parts)

@@ -81,6 +81,7 @@ def refresh_gold(
     epoch: date = DW_EPOCH,
     orphans: str = "drop",
     end: str = "date",
+    week_start: str = "monday",
 ) -> None:
     """Model silver as a star. Dimensions are written first, so the fact reads stored keys and
     measured sizes; the fact is laid out by booking month for partition pruning."""
@@ -88,7 +89,8 @@ def refresh_gold(
     changed = changes(silver) if changes else None
 
     def refresh(name: str) -> None:
-        write_layer(build_dim_table(name, silver, changed, epoch), root, "gold", f"dim_{name}")
+        dim = build_dim_table(name, silver, changed, epoch, week_start)
+        write_layer(dim, root, "gold", f"dim_{name}")
 
     concurrently([lambda n=n: refresh(n) for n in DIMS])
     stored = {name: read_layer(spark, root, "gold", f"dim_{name}") for name in DIMS}
