@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medalake.llm import sharding
+from medalake.llm import divergence, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op4_jump_shards": sharding.op4_jump_shards,
+        "op8_divergence_rules": divergence.op8_divergence_rules,
     }
 
 
