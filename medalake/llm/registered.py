@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medalake.llm import divergence, sharding
+from medalake.llm import divergence, overlap, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +15,12 @@ def queries() -> dict[str, Query]:
     return {
         "op4_jump_shards": sharding.op4_jump_shards,
         "op8_divergence_rules": divergence.op8_divergence_rules,
+        "op10_t_occurrence": overlap.op10_t_occurrence,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_jump_shards": sharding.OP4_SQL,
+        "op10_t_occurrence": overlap.OP10_SQL,
     }
