@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medalake.llm import divergence, overlap, sharding
+from medalake.llm import divergence, lengths, overlap, packing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_first_fit_packing": packing.op3_first_fit_packing,
         "op4_jump_shards": sharding.op4_jump_shards,
         "op8_divergence_rules": divergence.op8_divergence_rules,
+        "op9_length_sums": lengths.op9_length_sums,
         "op10_t_occurrence": overlap.op10_t_occurrence,
     }
 
