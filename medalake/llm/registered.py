@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medalake.llm import divergence, lengths, overlap, packing, sharding
+from medalake.llm import divergence, lengths, overlap, packing, sharding, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op3_first_fit_packing": packing.op3_first_fit_packing,
         "op4_jump_shards": sharding.op4_jump_shards,
+        "op7_suffix_arrays": suffixes.op7_suffix_arrays,
         "op8_divergence_rules": divergence.op8_divergence_rules,
         "op9_length_sums": lengths.op9_length_sums,
         "op10_t_occurrence": overlap.op10_t_occurrence,
@@ -24,5 +25,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_jump_shards": sharding.OP4_SQL,
+        "op7_suffix_arrays": suffixes.OP7_SQL,
         "op10_t_occurrence": overlap.OP10_SQL,
     }
