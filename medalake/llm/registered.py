@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medalake.llm import divergence, lengths, overlap, packing, sharding, suffixes
+from medalake.llm import divergence, lengths, overlap, packing, sharding, suffixes, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_wrapper_text": wrappers.op1_wrapper_text,
         "op3_first_fit_packing": packing.op3_first_fit_packing,
         "op4_jump_shards": sharding.op4_jump_shards,
         "op7_suffix_arrays": suffixes.op7_suffix_arrays,
