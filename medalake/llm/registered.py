@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medalake.llm import divergence, lengths, overlap, packing, sharding, suffixes, wrappers
+from medalake.llm import divergence, lengths, overlap, packing, sharding, suffixes, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op1_wrapper_text": wrappers.op1_wrapper_text,
         "op3_first_fit_packing": packing.op3_first_fit_packing,
         "op4_jump_shards": sharding.op4_jump_shards,
+        "op5_boundary_chain": warc.op5_boundary_chain,
         "op7_suffix_arrays": suffixes.op7_suffix_arrays,
         "op8_divergence_rules": divergence.op8_divergence_rules,
         "op9_length_sums": lengths.op9_length_sums,
@@ -26,6 +27,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_jump_shards": sharding.OP4_SQL,
+        "op5_boundary_chain": warc.OP5_SQL,
         "op7_suffix_arrays": suffixes.OP7_SQL,
         "op10_t_occurrence": overlap.OP10_SQL,
     }
