@@ -20,7 +20,7 @@ SYMBOLS = "#*$%&|<>"
 STOPS = ".,;:!?"
 DIGITS = "0123456789"
 
-COMMON_WORDS = 24
+COMMON_WORDS = 16
 # A language needs this many words and this share of all words to have a reference. The share
 # bounds the number of references, so that the reference table can be broadcast.
 MIN_REFERENCE_WORDS = 2_000
@@ -28,8 +28,8 @@ MIN_REFERENCE_SHARE = 0.001
 # Below these lengths a histogram says nothing about its text.
 MIN_CHARS = 200
 MIN_WORDS = 50
-MAX_CHAR_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.45
+MAX_CHAR_DISTANCE = 0.28
+MAX_WORD_DISTANCE = 0.40
 # Up to so many repeated windows, positions are found by membership instead of by sorting.
 FEW_REPEATS = 12
 
@@ -48,18 +48,24 @@ def _without(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def class_counts(text: Column, n_chars: Column) -> Column:
-    """Characters by class: lower-case and other letters, capitals, digits, stops, the rest."""
-    letters = F.length(F.regexp_replace(text, r"\P{L}+", ""))
-    capitals = F.length(F.regexp_replace(text, r"\P{Lu}+", ""))
+def uncommon_characters(text: Column) -> Column:
+    """The text without white space and small letters: what the rarer classes are counted in."""
+    return F.regexp_replace(text, r"[\x20\x09-\x0D\p{L}&&[^\p{Lu}]]+", "")
+
+
+def class_counts(uncommon: Column, n_chars: Column) -> Column:
+    """Characters by class: small and other letters, capitals, digits, stops, the rest.
+
+    ``uncommon`` is short, so that only one pass over the text is needed for all classes.
+    """
     parts = F.struct(
-        letters.alias("letters"), capitals.alias("capitals"),
-        _without(text, DIGITS).alias("digits"), _without(text, STOPS).alias("stops"),
-        n_chars.alias("n"),
+        F.length(F.regexp_replace(uncommon, r"\P{Lu}+", "")).alias("capitals"),
+        _without(uncommon, DIGITS).alias("digits"), _without(uncommon, STOPS).alias("stops"),
+        F.length(uncommon).alias("uncommon"), n_chars.alias("n"),
     )
     return _let(parts, lambda p: F.array(
-        p["letters"] - p["capitals"], p["capitals"], p["digits"], p["stops"],
-        p["n"] - p["letters"] - p["digits"] - p["stops"],
+        p["n"] - p["uncommon"], p["capitals"], p["digits"], p["stops"],
+        p["uncommon"] - p["capitals"] - p["digits"] - p["stops"],
     ))
 
 
@@ -140,7 +146,7 @@ def language_references(df: DataFrame, lang: str, text: str) -> DataFrame:
         F.explode(words_of(whole_text(text))).alias("word"),
     )
     counted = stage(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
-    classes = class_counts(F.col("word"), F.length("word"))
+    classes = class_counts(uncommon_characters(F.col("word")), F.length("word"))
     sums = [F.sum(F.col("n") * F.get("c", F.lit(k))).alias(f"c{k}") for k in range(5)]
     totals = (
         counted.withColumn("c", classes).groupBy("lang").agg(F.sum("n").alias("words"), *sums)
@@ -194,20 +200,21 @@ def judge(
     rows = df.select(
         key, *keep, F.coalesce(F.col(lang), F.lit("")).alias("_lang"),
         whole_text(text).alias("_text"), words_of(whole_text(text)).alias("_words"),
+        uncommon_characters(whole_text(text)).alias("_uncommon"),
     ).join(F.broadcast(references.withColumnRenamed("lang", "_lang")), "_lang", "left")
     value = F.col("_text")
-    word_chars = F.length(F.regexp_replace(value, f"{SPACE}+", ""))
+    word_chars = F.length(F.array_join("_words", ""))
     lines = F.filter(F.split(value, "\n", -1), lambda x: x.rlike(NOT_SPACE))
     figures = rows.select(
         key, *keep,
         F.size("_words").cast("bigint").alias("n_words"),
         word_chars.cast("bigint").alias("word_chars"),
-        _without(value, SYMBOLS).cast("bigint").alias("n_symbols"),
+        _without(F.col("_uncommon"), SYMBOLS).cast("bigint").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint")
         .alias("n_dup_lines"),
         repeated_words(F.col("_words")).cast("bigint").alias("n_repeat_words"),
         F.when(F.length(value) >= MIN_CHARS, divergence(
-            class_counts(value, word_chars), F.col("class_shares")
+            class_counts(F.col("_uncommon"), word_chars), F.col("class_shares")
         )).alias("class_distance"),
         F.when(F.size("_words") >= MIN_WORDS, divergence(
             common_counts(F.col("_words"), F.col("common")), F.col("word_shares")
