@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medalake.llm import divergence, lengths, overlap, packing, sharding, suffixes, warc, wrappers
+from medalake.llm import divergence, lengths, overlap, packing, sharding, suffixes, toxicity, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_wrapper_text": wrappers.op1_wrapper_text,
+        "op2_noisy_channel": toxicity.op2_noisy_channel,
         "op3_first_fit_packing": packing.op3_first_fit_packing,
         "op4_jump_shards": sharding.op4_jump_shards,
         "op5_boundary_chain": warc.op5_boundary_chain,
