@@ -239,7 +239,10 @@ def op8_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def filter_documents(docs: DataFrame) -> DataFrame:
+def filter_documents(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that pass the rules, with their own columns."""
-    verdicts = judge(docs, keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return verdicts.where("kept").select(*docs.columns)
+    whole = docs.select(
+        F.col(text).alias("text"), F.col(lang).alias("lang"),
+        F.struct(*[F.col(c) for c in docs.columns]).alias("document"),
+    )
+    return judge(whole, key="document").where("kept").select("document.*")

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medalake.llm import divergence, lengths, overlap, packing, sharding, suffixes, toxicity, warc, wrappers
+import corpus_pipeline
+from medalake.llm import divergence, lengths, overlap, packing, resampling, sharding, suffixes, toxicity, warc, wrappers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,14 +19,17 @@ def queries() -> dict[str, Query]:
         "op3_first_fit_packing": packing.op3_first_fit_packing,
         "op4_jump_shards": sharding.op4_jump_shards,
         "op5_boundary_chain": warc.op5_boundary_chain,
+        "op6_importance_resampling": resampling.op6_importance_resampling,
         "op7_suffix_arrays": suffixes.op7_suffix_arrays,
         "op8_divergence_rules": divergence.op8_divergence_rules,
         "op9_length_sums": lengths.op9_length_sums,
         "op10_t_occurrence": overlap.op10_t_occurrence,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    """SQL of the queries that SQL can express; tests hold the others against brute force."""
     return {
         "op4_jump_shards": sharding.OP4_SQL,
         "op5_boundary_chain": warc.OP5_SQL,

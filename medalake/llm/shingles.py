@@ -62,8 +62,9 @@ def _block_hashes(pieces: list[bytes], counts: np.ndarray, size: int) -> list[np
     return np.split(hashes, offsets[1:])
 
 
-def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text; none for a null text or one without words.
+def ngram_hashes(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+    """The hashes of every run of ``size`` words of each text in order, with repeats; of all its
+    words, if it has fewer; none for a null text or one without words.
 
     Long texts are hashed in slices that overlap by ``size - 1`` words, so memory is bounded by
     the block size and the longest text's words.
@@ -96,4 +97,9 @@ def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
                 flush()
     flush()
     none = np.empty(0, np.uint64)
-    return [np.unique(np.concatenate(h) if len(h) > 1 else h[0]) if h else none for h in found]
+    return [(np.concatenate(h) if len(h) > 1 else h[0]) if h else none for h in found]
+
+
+def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    return [np.unique(h) for h in ngram_hashes(texts, size)]

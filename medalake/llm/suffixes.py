@@ -349,14 +349,17 @@ def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are not contaminated, with their own columns.
 
-    Verdicts are a function of the text, so they come back to the rows by id and text hash.
+    A verdict is a function of the text, so it comes back to all rows of that text by its hash,
+    whatever their ids.
     """
-    known = docs.select("doc_id", "text")
-    dirty = contamination(known, benchmark).where("contaminated").select("doc_id").distinct()
-    return docs.join(dirty, "doc_id", "left_anti")
+    key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    known = docs.select(key.alias("text_key"), F.col(text).alias("text"))
+    dirty = contamination(known, benchmark, "text_key").where("contaminated")
+    dirty = dirty.select(F.col("text_key").alias("_dirty_text")).distinct()
+    return docs.join(dirty, key == F.col("_dirty_text"), "left_anti")
 
 
 OP7_SQL = r"""
