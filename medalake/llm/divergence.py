@@ -74,10 +74,10 @@ def repeated_words(words: Column) -> Column:
 
     Windows are compared by 64-bit hashes. Texts without a repeat need no positions.
     """
-    hashes = F.when(F.size(words) >= 3, F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(words) - 3, F.lit(0))),
-        lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)),
-    )).otherwise(F.array().cast("array<bigint>"))
+    hashes = _let(words, lambda w: F.when(F.size(w) >= 3, F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(w) - 3, F.lit(0))),
+        lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)),
+    )).otherwise(F.array().cast("array<bigint>")))
 
     def by_membership(h: Column, repeats: Column) -> Column:
         at = F.transform(h, lambda x, i: F.when(F.array_contains(repeats, x), i))
@@ -110,25 +110,31 @@ def repeated_words(words: Column) -> Column:
 
 def divergence(counts: Column, shares: Column) -> Column:
     """Jensen-Shannon distance (0 to 1) of a histogram of counts from shares that add up to 1."""
-    total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, c: a + c).cast("double")
 
     def half(x: Column, y: Column) -> Column:
         return F.when(x > 0, x * F.log2(x * 2 / (x + y))).otherwise(0.0)
 
-    def of(n: Column) -> Column:
-        terms = F.zip_with(counts, shares, lambda c, q: _let(
-            c.cast("double") / n, lambda p: half(p, q) + half(q, p)
-        ))
+    def term(p: Column, q: Column) -> Column:
+        return half(p, q) + half(q, p)
+
+    def of(c: Column, n: Column) -> Column:
+        terms = F.zip_with(c, shares, lambda x, q: _let(x / n, lambda p: term(p, q)))
         return F.sqrt(F.greatest(
             F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, t: a + t) / 2
         ))
 
-    return F.when(total > 0, _let(total, of))
+    def whole(c: Column) -> Column:
+        total = F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x).cast("double")
+        return _let(total, lambda n: F.when(n > 0, of(c, n)))
+
+    return _let(counts, whole)
 
 
 def common_counts(words: Column, common: Column) -> Column:
     """How often each common word occurs among ``words``, and last how many are others."""
-    hits = F.transform(common, lambda w: F.size(words) - F.size(F.array_remove(words, w)))
+    hits = _let(words, lambda every: F.transform(
+        common, lambda w: F.size(every) - F.size(F.array_remove(every, w))
+    ))
     return _let(hits, lambda h: F.concat(h, F.array(
         F.size(words) - F.aggregate(h, F.lit(0), lambda a, c: a + c)
     )))
@@ -224,8 +230,9 @@ def judge(
     near = (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CHAR_DISTANCE) & (
         F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE
     )
+    # One condition, not a conjunction: a filter on it stays where the figures are at hand.
     return figures.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & near
+        "kept", F.when(F.col("base_failed"), False).otherwise(near)
     )
 
 
