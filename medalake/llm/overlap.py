@@ -32,7 +32,7 @@ CHUNK_DOCS = (1 << 16) - 1
 COMMON_IN_CHUNK = 16
 BUCKET_BYTES = 8 << 20
 MIN_BUCKETS = 64
-GROUP = 512
+GROUP = 128
 # Weight of a probe of a long list against a step of the heap, as in the method's cost formula.
 PROBE_COST = 0.0085
 # Up to so many ids of documents to look up are broadcast (16 bytes each); beyond, a join shuffles.
