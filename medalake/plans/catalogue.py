@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from medalake.functions.dates import day, month_label
 from medalake.functions.numbers import (
-    ONE_UNIT, money_avg, money_sum, money_units, percent, rounded,
+    from_units, money_avg, money_sum, money_units, percent, rounded,
 )
 from medalake.functions.text import map_values
 from medalake.operators.calendar import bounded
@@ -29,7 +29,7 @@ WEEKDAYS = {
     "Monday": "Lun", "Tuesday": "Mar", "Wednesday": "Mié", "Thursday": "Jue",
     "Friday": "Vie", "Saturday": "Sáb", "Sunday": "Dom",
 }
-PEAK_DAYS = (0, 4, 5, 6)
+PEAK_DAYS = ("Monday", "Friday", "Saturday", "Sunday")
 
 
 def _n() -> Column:
@@ -44,10 +44,6 @@ def _cancelled() -> Column:
     return _flag_sum(F.col("es_cancelada"))
 
 
-def _confirmed() -> Column:
-    return _flag_sum(1 - F.col("es_cancelada"))
-
-
 def monthly_revenue(star: Star) -> DataFrame:
     """Bookings, revenue, mean price and cancellations by month, over all bookings."""
     return (
@@ -94,17 +90,29 @@ def seat_utilisation(star: Star, since: date) -> DataFrame:
     )
 
 
+def _counted(facts: DataFrame, *keys: str) -> DataFrame:
+    """Bookings, cancellations and money units per combination of keys."""
+    return facts.groupBy(*keys).agg(
+        _n().alias("_n"), _cancelled().alias("_cancelled"),
+        F.sum(money_units(F.col(PRICE))).cast("decimal(38,0)").alias("_units"),
+    )
+
+
 def channel_conversion(star: Star) -> DataFrame:
-    """Confirmed against cancelled per channel; revenue over all bookings."""
+    """Confirmed against cancelled per channel; revenue over all bookings.
+
+    Facts are counted per channel key before they meet the channels, so no fact is shuffled by a
+    key of a handful of values.
+    """
+    counted = _counted(star.fact, "canal_sk").join(star.canal, "canal_sk")
     return (
-        star.with_dims("canal")
-        .groupBy(F.col("nombre").alias("canal"), "digital_flag")
+        counted.groupBy(F.col("nombre").alias("canal"), "digital_flag")
         .agg(
-            _n().alias("total_reservas"),
-            _confirmed().alias("confirmadas"),
-            _cancelled().alias("canceladas"),
-            percent(_confirmed(), _n(), 2).alias("conversion_pct"),
-            money_sum(F.col(PRICE)).alias("ingresos_cop"),
+            F.sum("_n").alias("total_reservas"),
+            (F.sum("_n") - F.sum("_cancelled")).alias("confirmadas"),
+            F.sum("_cancelled").alias("canceladas"),
+            percent(F.sum("_n") - F.sum("_cancelled"), F.sum("_n"), 2).alias("conversion_pct"),
+            from_units(F.sum("_units")).cast("double").alias("ingresos_cop"),
         )
         .orderBy(F.desc("ingresos_cop"), "canal")
     )
@@ -124,7 +132,7 @@ def lead_time(star: Star) -> DataFrame:
     )
 
 
-def _day_hour(star: Star, keys: Sequence[str] = ("dia_semana", "dia_nombre")) -> DataFrame:
+def _day_hour(star: Star, keys: Sequence[str]) -> DataFrame:
     return (
         star.with_dims("tiempo")
         .groupBy(*keys, F.hour("fecha_reserva").alias("hora"))
@@ -133,9 +141,13 @@ def _day_hour(star: Star, keys: Sequence[str] = ("dia_semana", "dia_nombre")) ->
 
 
 def booking_peaks(star: Star, k: int = 15) -> DataFrame:
-    """Busiest weekday and hour cells among the peak days; ties by weekday then hour."""
-    cells = _day_hour(star).where(F.col("dia_semana").isin(*PEAK_DAYS))
-    best = top_k(cells, k, F.desc("reservas"), F.asc("dia_semana"), F.asc("hora"))
+    """Busiest weekday and hour cells among the peak days; ties by weekday from Monday, then hour.
+
+    Days go by name: their numbers depend on where the calendar's week starts.
+    """
+    cells = _day_hour(star, ["dia_nombre"]).where(F.col("dia_nombre").isin(*PEAK_DAYS))
+    order = F.array_position(F.array(*[F.lit(d) for d in WEEKDAYS]), F.col("dia_nombre"))
+    best = top_k(cells, k, F.desc("reservas"), order.asc(), F.asc("hora"))
     return best.select("dia_nombre", "hora", "reservas")
 
 
@@ -147,7 +159,7 @@ def top_routes(star: Star, k: int = 10) -> DataFrame:
              F.sum("asientos_reservados").alias("asientos"))
         .join(star.ruta, "ruta_sk")
         .groupBy(route_label().alias("ruta"), "internacional_flag")
-        .agg(((F.sum("_units") * F.lit(ONE_UNIT)).cast("double") / MILLION).alias("ingresos_M_COP"),
+        .agg((from_units(F.sum("_units")).cast("double") / MILLION).alias("ingresos_M_COP"),
              F.sum("asientos").alias("asientos"))
     )
     return top_k(routes, k, F.desc("ingresos_M_COP"), F.asc("ruta"))
@@ -199,30 +211,36 @@ def kpi_row(star: Star) -> DataFrame:
 
 
 def _channel_segment(star: Star, *aggregates: Column) -> DataFrame:
+    """Aggregates of ``_counted`` by channel and segment; only the passengers meet whole facts."""
+    counted = _counted(star.with_dims("pasajero"), "canal_sk", "segmento")
     return (
-        star.with_dims("canal", "pasajero")
+        counted.join(star.canal, "canal_sk")
         .groupBy(F.col("nombre").alias("canal"), "segmento")
         .agg(*aggregates)
     )
 
 
+def _conversion() -> Column:
+    return percent(F.sum("_n") - F.sum("_cancelled"), F.sum("_n"), 1)
+
+
 def channel_segment_conversion(star: Star) -> DataFrame:
     """Conversion % and bookings per channel and segment, in long form."""
     return _channel_segment(
-        star, percent(_confirmed(), _n(), 1).alias("conversion_pct"), _n().alias("total")
+        star, _conversion().alias("conversion_pct"), F.sum("_n").alias("total")
     ).orderBy("canal", "segmento")
 
 
 def channel_segment_matrix(star: Star, segments: Sequence[str]) -> DataFrame:
     """Conversion % with one column per segment; combinations without bookings are null."""
-    cells = _channel_segment(star, percent(_confirmed(), _n(), 1).alias("v"))
+    cells = _channel_segment(star, _conversion().alias("v"))
     columns = {s: s.lower() for s in segments}
     return pivot_matrix(cells, ["canal"], "segmento", "v", columns).orderBy("canal")
 
 
 def channel_segment_revenue(star: Star, segments: Sequence[str]) -> DataFrame:
     """Revenue over all bookings with one column per segment."""
-    cells = _channel_segment(star, money_sum(F.col(PRICE)).alias("v"))
+    cells = _channel_segment(star, from_units(F.sum("_units")).cast("double").alias("v"))
     columns = {s: s.lower() for s in segments}
     return pivot_matrix(cells, ["canal"], "segmento", "v", columns).orderBy("canal")
 

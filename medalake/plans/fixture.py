@@ -11,7 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from medalake.operators.calendar import calendar_dim, span_of
+from medalake.operators.calendar import calendar_dim, date_range, span_of
 from medalake.operators.clean import CleanSpec
 from medalake.operators.scd import scd2_build
 from medalake.operators.star import Star
@@ -58,9 +58,9 @@ def named_priority() -> Column:
     return F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED"))
 
 
-def day_keyed(bounds: DataFrame) -> DataFrame:
+def day_keyed(bounds: DataFrame, week_start: str = "monday") -> DataFrame:
     """Calendar whose key is the date itself, for facts that carry a date and no surrogate key."""
-    return calendar_dim(bounds).withColumn("tiempo_sk", F.col("fecha"))
+    return calendar_dim(bounds, week_start).withColumn("tiempo_sk", F.col("fecha"))
 
 
 def channels(orders: DataFrame) -> DataFrame:
@@ -182,7 +182,10 @@ def lines_star(spark: SparkSession, sf_dir: str, routes: bool = True) -> Star:
     )
     return Star(
         fact,
-        tiempo=day_keyed(span_of(orders, "o_orderdate")),
+        # Capacity counts by flight date, so the calendar covers bookings and flights.
+        tiempo=day_keyed(date_range(
+            (orders, "o_orderdate", "o_orderdate"), (lineitem, "l_shipdate", "l_shipdate")
+        )),
         vuelo=vuelo,
         ruta=ruta,
         pasajero=pasajero,

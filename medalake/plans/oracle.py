@@ -108,9 +108,7 @@ Q["q2_utilisation"] = f"""
     ),
     capacity AS (
         SELECT p_brand, SUM(p_size) AS seats FROM part JOIN departures ON p_partkey = l_partkey
-        WHERE departure >= DATE '2000-01-01'
-          AND CAST(departure AS DATE) <= (SELECT CAST(MAX(o_orderdate) AS DATE) FROM orders)
-        GROUP BY p_brand
+        WHERE departure >= DATE '2000-01-01' GROUP BY p_brand
     )
     SELECT origin || '→' || target AS ruta, intl AS internacional_flag,
            sold AS asientos_vendidos, {_big('seats')} AS asientos_disponibles,
@@ -141,6 +139,19 @@ Q["q5_peaks"] = """
         ORDER BY reservas DESC, dow, hora LIMIT 15
     )"""
 
+Q["q5_peaks_sunday"] = Q["q5_peaks"]
+
+Q["money_fine_scale"] = """
+    SELECT l_returnflag,
+           CAST(SUM(CAST(l_extendedprice / 10000 AS DECIMAL(38,6))) AS DOUBLE) AS amount,
+           CAST(0 AS BIGINT) AS misfits
+    FROM lineitem GROUP BY l_returnflag"""
+
+Q["money_large"] = """
+    SELECT o_orderstatus,
+           CAST(SUM(CAST(o_totalprice * 1e12 AS DECIMAL(38,4))) AS VARCHAR) AS amount
+    FROM orders GROUP BY o_orderstatus"""
+
 Q["topk_routes"] = f"""
     WITH {BOOKED}
     SELECT ruta, intl AS internacional_flag, {_money('o_totalprice')} / 1e6 AS "ingresos_M_COP",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from medalake.functions import as_double, as_int, lower_strip, map_values, strip, upper_strip
 from medalake.functions.dates import weekday
+from medalake.functions.numbers import from_units, money_misfits, money_sum, money_units
 from medalake.operators.calendar import bounded, calendar_dim, date_range, span_of
 from medalake.operators.checks import Check, run_checks
 from medalake.operators.clean import clean, quality_ledger, quality_summary
@@ -67,14 +68,14 @@ def q4_lead_time(spark, sf):
     return cat.lead_time(fx.lines_star(spark, sf, routes=False))
 
 
-def _events_star(spark, sf) -> Star:
+def _events_star(spark, sf, week_start: str = "monday") -> Star:
     events = fx.table(spark, sf, "events")
     fact = events.select(
         F.col("event_id").alias("reserva_id"),
         F.to_date("ts").alias("tiempo_sk"),
         F.col("ts").alias("fecha_reserva"),
     )
-    return Star(fact, tiempo=fx.day_keyed(span_of(events, "ts")))
+    return Star(fact, tiempo=fx.day_keyed(span_of(events, "ts"), week_start))
 
 
 @register
@@ -82,6 +83,30 @@ def q5_peaks(spark, sf):
     return cat.booking_peaks(_events_star(spark, sf))
 
 
+@register
+def q5_peaks_sunday(spark, sf):
+    """The same cells over a calendar whose weeks start on Sunday."""
+    return cat.booking_peaks(_events_star(spark, sf, "sunday"))
+
+
+@register
+def money_fine_scale(spark, sf):
+    """Sums of amounts with six decimals, their scale declared; none of them misses the scale."""
+    price = F.col("l_extendedprice") / 10_000
+    return fx.table(spark, sf, "lineitem").groupBy("l_returnflag").agg(
+        money_sum(price, 6).alias("amount"), money_misfits(price, 6).alias("misfits")
+    )
+
+
+@register
+def money_large(spark, sf):
+    """Sums of amounts far beyond what 64 bits of units hold, as exact decimal text."""
+    price = F.col("o_totalprice") * 1e12
+    return fx.table(spark, sf, "orders").groupBy("o_orderstatus").agg(
+        from_units(F.sum(money_units(price))).cast("decimal(38,4)").cast("string").alias("amount")
+    )
+
+
 @register
 def topk_routes(spark, sf):
     return cat.top_routes(fx.with_route(spark, sf, fx.orders_star(spark, sf)))
@@ -280,8 +305,7 @@ def dim_calendar(spark, sf):
 def weekday_conventions(spark, sf):
     """Weekday from Monday and from Sunday, and days covered by the least and greatest date."""
     lines, orders = fx.table(spark, sf, "lineitem"), fx.table(spark, sf, "orders")
-    booked = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    span = span_of(booked.select("o_orderdate", "l_shipdate"), "o_orderdate", "l_shipdate")
+    span = date_range((orders, "o_orderdate", "o_orderdate"), (lines, "l_shipdate", "l_shipdate"))
     return calendar_dim(span, week_start="sunday").select(
         "fecha",
         F.col("dia_semana").alias("desde_domingo"),
