@@ -25,25 +25,27 @@ SEQUENCE = 2048
 END_ID = 1
 GROUP_PIECES = 4096
 SEED = 7
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 SLICE_DOCS = 256
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
-# A stop after a small letter and before white space is a token of its own, as it would be inside.
-STOP = re.compile(rb"(?<=[a-z])[.,](?=[ \t\n\v\f\r]|\Z)")
+# Signs that end a word after a letter are one token of their own, as they would be in place.
+TAIL = re.compile(
+    rb"(.*(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)", re.S
+)
 
 
 def _words(text: bytes | None) -> list[bytes]:
     """Parts of the text that have the same ids alone as in place, spelled as alike as possible.
 
-    Capitals A-Z become small, as the tokenizer does itself. A text that may hold the name of a
-    special token, which must be spelled in small letters, only splits at white space.
+    Capitals A-Z become small, as the tokenizer does itself, but not where the text may hold the
+    name of a special token, which must be spelled in small letters.
     """
-    if not text or b"<|" in text:
-        return text.split() if text else []
-    return STOP.sub(rb" \g<0>", text.lower()).split()
+    if not text:
+        return []
+    return text.split() if b"<|" in text else text.lower().split()
 
 
 class WordIds(dict):
@@ -51,30 +53,62 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins text across it, so a text's ids are those of
     its words one after another. Words split at ASCII white space only; any other stays inside.
+    Words that were not met for long are let go: a full table becomes the older one, from which
+    words are taken over as they occur.
     """
 
     def __init__(self, path: str):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        self.older: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHED_WORDS:
+        """Make all of ``words`` known."""
+        if len(self) + len(words) > CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
-            new = list(words)
+        unknown: set[bytes] = set()
+        tailed: list[tuple[bytes, bytes, bytes]] = []
+        older = self.older
+        for word in words:
+            if word in self:
+                continue
+            if word in older:
+                self[word] = older[word]
+                continue
+            parts = TAIL.fullmatch(word) if b"<|" not in word else None
+            if parts is None:
+                unknown.add(word)
+                continue
+            stem, tail = parts.groups()
+            tailed.append((word, stem, tail))
+            unknown.update(x for x in (stem, tail) if x not in self)
+        new = list(unknown)
         texts = [w.decode("utf-8", "replace") for w in new]
         for word, found in zip(
             new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ):
             self[word] = np.array(found.ids, "<u4").tobytes()
+        for word, stem, tail in tailed:
+            self[word] = self[stem] + self[tail]
+
+
+# A Python worker that runs several tasks keeps what it learned.
+_KNOWN: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    if path not in _KNOWN:
+        _KNOWN[path] = WordIds(path)
+    return _KNOWN[path]
 
 
 def _cut(path: str, keep_ids: bool):
     """Task: documents to pieces of at most a sequence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(path)
+        ids_of = word_ids(path)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_DOCS):
