@@ -7,19 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SAMPLE_PER_BUCKET = 16
-MAX_BUCKETS = 4096
+MIN_BUCKETS = 8
+# Rows in a bucket: one task sorts them. Their number grows with the root of the table's, so that
+# neither the buckets nor the cut points between them grow as fast as the table.
+LEAST_ROWS = 100_000
+ROWS_PER_ROOT = 10
 
 
-def _default_buckets(df: DataFrame) -> int:
-    wanted = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 8
-    while buckets < min(wanted, MAX_BUCKETS):
-        buckets *= 2
-    return buckets
+def _bucket_count(rows: Column) -> Column:
+    root = F.sqrt(rows.cast("double")) * ROWS_PER_ROOT
+    wanted = F.ceil(rows / F.greatest(F.lit(float(LEAST_ROWS)), root))
+    return F.greatest(F.lit(MIN_BUCKETS), wanted).cast("int")
 
 
-def _cut_points(df: DataFrame, key: Column, buckets: int) -> DataFrame:
-    """One row with a sorted array of ``buckets - 1`` cut points.
+def _cut_points(df: DataFrame, key: Column, buckets: int | None) -> DataFrame:
+    """One row with a sorted array of cut points, one less than buckets.
 
     The sample keeps the keys whose hash falls in one residue class, the class count growing with
     the table so that about ``SAMPLE_PER_BUCKET`` keys per bucket remain. It is uniform over
@@ -27,32 +29,38 @@ def _cut_points(df: DataFrame, key: Column, buckets: int) -> DataFrame:
     them yields the same final numbering.
     """
     rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    classes = F.greatest(F.lit(1), F.floor(rows / F.lit(SAMPLE_PER_BUCKET * buckets)))
+    count = F.lit(buckets) if buckets else _bucket_count(rows)
+    classes = F.greatest(F.lit(1), F.floor(rows / (count * SAMPLE_PER_BUCKET)))
     sample = (
-        df.select(key.alias("k"))
+        df.select(key.alias("k"), count.alias("n"))
         .where(F.pmod(F.xxhash64("k"), classes) == 0)
-        .agg(F.array_sort(F.collect_set("k")).alias("s"))
+        .agg(F.array_sort(F.collect_set("k")).alias("s"), F.max("n").alias("n"))
+    )
+    share = F.size("s") / F.col("n")
+    every = F.when(F.col("n") > 1, F.sequence(F.lit(1), F.col("n") - 1)).otherwise(
+        F.array().cast("array<int>")
     )
-    share = F.size("s") / F.lit(buckets)
     return sample.select(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(buckets - 1)),
-            lambda i: F.get("s", F.floor(i * share).cast("int")),
-        ).alias("_cuts")
+        F.transform(every, lambda i: F.get("s", F.floor(i * share).cast("int"))).alias("_cuts")
     )
 
 
-def _with_bucket(df: DataFrame, key: Column, cuts: DataFrame, buckets: int) -> DataFrame:
-    """Bucket = number of cut points below the key, found by an unrolled binary search."""
-    # A scalar subquery of at most MAX_BUCKETS cut points: it does not grow with the data.
-    # Each step of the search refers to the one before it in the same SELECT.
-    steps, below, step = [], "0", buckets // 2
-    while step >= 1:
-        found = f"CASE WHEN get(_cuts, {below} + {step - 1}) < _k THEN {step} ELSE 0 END"
-        steps.append(F.expr(f"{below} + {found} AS _below_{step}"))
-        below, step = f"_below_{step}", step // 2
-    searched = df.select("*", key.alias("_k"), cuts.scalar().alias("_cuts"), *steps)
-    return searched.select(*df.columns, F.col(below).alias("_bucket"))
+def _with_bucket(df: DataFrame, key: Column, cuts: DataFrame) -> DataFrame:
+    """Bucket = number of cut points below the key, found by binary search."""
+    searched = df.select("*", key.alias("_k"), cuts.scalar().alias("_cuts"))
+    steps = F.transform(
+        F.sequence(
+            F.ceil(F.log2(F.size("_cuts") + 1)).cast("int"), F.lit(0), F.lit(-1)
+        ),
+        lambda k: F.pow(F.lit(2), k).cast("int"),
+    )
+
+    def advance(below: Column, step: Column) -> Column:
+        return F.when(F.get("_cuts", below + step - 1) < F.col("_k"), below + step).otherwise(below)
+
+    return searched.select(
+        *df.columns, F.aggregate(steps, F.lit(0), advance).alias("_bucket")
+    )
 
 
 def surrogate_key(
@@ -61,6 +69,7 @@ def surrogate_key(
     order_by: Sequence[str],
     start: DataFrame | None = None,
     buckets: int | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Prepend ``name``: 1..n as bigint in the order of ``order_by``.
 
@@ -70,12 +79,17 @@ def surrogate_key(
     running size of the buckets before. Everything stays lazy and on executors.
 
     ``start``: optional one-row frame whose single column is the last key already in use.
+    ``small``: the caller declares a table of a handful of rows by construction, such as routes or
+    channels; it is numbered in one task without the passes that find and size the buckets.
     """
-    buckets = buckets or _default_buckets(df)
+    if small:
+        number = F.row_number().over(Window.orderBy(*order_by))
+        last = F.lit(0) if start is None else F.coalesce(start.scalar(), F.lit(0))
+        return df.select((number + last).cast("bigint").alias(name), *df.columns)
     key = F.struct(*[F.col(c) for c in order_by])
     cuts = _cut_points(df, key, buckets)
     # The size pass reads only the key columns.
-    sizes = _with_bucket(df.select(*order_by), key, cuts, buckets).groupBy("_bucket").count()
+    sizes = _with_bucket(df.select(*order_by), key, cuts).groupBy("_bucket").count()
     # At most ``buckets`` rows from here: one task and a broadcast are both bounded.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("count").over(before), F.lit(0))
@@ -85,7 +99,7 @@ def surrogate_key(
         offsets = offsets.select("_bucket", (F.col("_offset") + last).alias("_offset"))
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_by))
     return (
-        _with_bucket(df, key, cuts, buckets)
+        _with_bucket(df, key, cuts)
         .withColumn("_inside", inside)
         .join(F.broadcast(offsets), "_bucket")
         .select((F.col("_offset") + F.col("_inside")).cast("bigint").alias(name), *df.columns)

@@ -81,13 +81,21 @@ def changed_states(
     """Full rows for ids that change: ``base`` attributes with the new ``tracked`` value.
 
     ``changes`` holds (key, effective) and, unless a ``promotion`` map derives the new value from
-    the old one, the new value itself.
+    the old one, the new value itself. An id's n-th day with a change is promoted n times.
     """
-    new = map_values(F.col(tracked), promotion, fallback) if promotion else F.col("_new")
-    picked = [key, effective] if promotion else [key, effective, F.col(tracked).alias("_new")]
     others = [c for c in base.columns if c not in (key, tracked)]
-    return base.join(changes.select(*picked), key).select(
-        key, new.alias(tracked), *others, effective
+    if not promotion:
+        picked = changes.select(key, effective, F.col(tracked).alias("_new"))
+        return base.join(picked, key).select(key, F.col("_new").alias(tracked), *others, effective)
+    # One row per id and day at most, so a hot id's window is bounded by the calendar.
+    days = changes.select(key, day(F.col(effective)).alias(effective)).distinct()
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(effective))
+    promoted = F.aggregate(
+        F.sequence(F.lit(1), F.col("_nth")), F.col(tracked),
+        lambda value, _: map_values(value, promotion, fallback),
+    )
+    return base.join(days.withColumn("_nth", nth), key).select(
+        key, promoted.alias(tracked), *others, effective
     )
 
 
@@ -101,8 +109,17 @@ def scd2_from_base(
     promotion: Mapping[str, str] | None = None,
     fallback: str | None = None,
 ) -> DataFrame:
-    """Versions from a base table valid since ``epoch`` plus a change set."""
-    opening = base.withColumn(effective, F.lit(epoch)).withColumn("_seq", F.lit(0))
+    """Versions from a base table plus a change set.
+
+    The base state is valid from ``epoch`` on, or from the day before an id's first change if that
+    is no later than the epoch, so the base state never follows a change.
+    """
+    first = changes.groupBy(key).agg(F.min(day(F.col(effective))).alias("_first"))
+    since = F.least(F.lit(epoch), F.date_sub("_first", 1))
+    opening = (
+        base.join(first, key, "left").withColumn(effective, since).drop("_first")
+        .withColumn("_seq", F.lit(0))
+    )
     later = changed_states(base, changes, key, tracked, effective, promotion, fallback)
     later = later.withColumn(effective, day(F.col(effective))).withColumn("_seq", F.lit(1))
     carry = [c for c in base.columns if c not in (key, tracked)]
@@ -119,29 +136,45 @@ def scd2_apply(
     order_by: Sequence[str] = (),
     carry: Sequence[str] = (),
     sk: str | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Apply a batch of new states: close what changed, insert what is new.
 
-    Ids without updates pass through untouched. Versions of updated ids re-enter as log rows ahead
-    of the updates, so the outcome equals one build over the whole log, provided an id's batches
-    arrive in date order. With ``sk``, versions keep the key facts already refer to and new
+    Ids without updates pass through untouched. With ``history``, the log rows applied before,
+    updated ids are built anew from all their rows, so the outcome equals one build over the whole
+    log whatever order rows arrive in. Without it, versions of updated ids re-enter as log rows
+    ahead of the updates; that equals one build only if an id's batches arrive in date order, as
+    states that opened no version are not in the dimension, and a row before its id's current
+    version raises an error. With ``sk``, versions keep the key facts already refer to and new
     versions continue after the highest key.
     """
     touched = updates.select(key).distinct()
     ids = [sk] if sk else []
     state = [key, *tracked, *carry]
     at = updates.schema[effective].dataType
-    known = (
-        dim.join(touched, key, "left_semi")
-        .select(*state, F.col(FROM).cast(at).alias(effective), *ids)
-        .withColumn("_batch", F.lit(0))
-    )
-    fresh = updates.select(*dict.fromkeys([*state, effective, *order_by]))
-    fresh = fresh.withColumn("_batch", F.lit(1))
-    log = known.unionByName(fresh, allowMissingColumns=True)
-    rebuilt = scd2_build(
-        log, key, tracked, effective, order_by=["_batch", *order_by], carry=[*carry, *ids]
-    )
+    held = dim.join(touched, key, "left_semi")
+    known = held.select(*state, F.col(FROM).cast(at).alias(effective), *ids)
+    columns = list(dict.fromkeys([*state, effective, *order_by]))
+    fresh = updates.select(*columns)
+    if history is None:
+        started = held.groupBy(key).agg(F.max(FROM).alias("_started"))
+        late = F.raise_error(F.lit("a row before its id's current version needs the history"))
+        checked = F.when(day(F.col(effective)) < F.col("_started"), late.cast(at))
+        fresh = fresh.join(started, key, "left").select(
+            *[c for c in columns if c != effective],
+            checked.otherwise(F.col(effective)).alias(effective),
+        )
+        log = known.withColumn("_batch", F.lit(0)).unionByName(
+            fresh.withColumn("_batch", F.lit(1)), allowMissingColumns=True
+        )
+        rebuilt = scd2_build(
+            log, key, tracked, effective, order_by=["_batch", *order_by], carry=[*carry, *ids]
+        )
+    else:
+        log = history.join(touched, key, "left_semi").select(*columns).unionByName(fresh)
+        rebuilt = scd2_build(log, key, tracked, effective, order_by=order_by, carry=carry)
+        for c in ids:
+            rebuilt = rebuilt.withColumn(c, F.lit(None).cast(dim.schema[c].dataType))
     if sk is None:
         return dim.join(touched, key, "left_anti").select(*rebuilt.columns).unionByName(rebuilt)
     # A same-day correction replaces the state of an existing version; it keeps that version's key.

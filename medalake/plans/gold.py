@@ -16,6 +16,7 @@ from medalake.operators.star import Star, lookup, resolve_orphans
 from medalake.session import stage
 
 DIMS = ("tiempo", "vuelo", "ruta", "canal", "pasajero")
+# Keys, columns and declared tests of the star.
 FACT_KEYS = ("tiempo_sk", "vuelo_sk", "ruta_sk", "pasajero_sk", "canal_sk")
 FACT_COLUMNS = (
     "reserva_id", *FACT_KEYS, "fecha_reserva", "fecha_vuelo_pretendida", "precio_pagado",
@@ -52,9 +53,12 @@ GOLD_CHECKS = (
 )
 
 
-def build_dim(df: DataFrame, sk: str, natural_key: str, attributes: Sequence[str]) -> DataFrame:
-    """Type-1 dimension: chosen columns keyed in natural-key order."""
-    return surrogate_key(df.select(natural_key, *attributes), sk, [natural_key])
+def build_dim(
+    df: DataFrame, sk: str, natural_key: str, attributes: Sequence[str], small: bool = False
+) -> DataFrame:
+    """Type-1 dimension: chosen columns keyed in natural-key order. ``small`` declares a
+    catalogue table of a handful of rows."""
+    return surrogate_key(df.select(natural_key, *attributes), sk, [natural_key], small=small)
 
 
 def build_dim_tiempo(
@@ -79,11 +83,12 @@ def build_dim_ruta(rutas: DataFrame) -> DataFrame:
         "origen_iata", "origen_ciudad", "destino_iata", "destino_ciudad", "distancia_km",
         "internacional_flag",
     ]
-    return build_dim(rutas, "ruta_sk", "ruta_id", attributes)
+    return build_dim(rutas, "ruta_sk", "ruta_id", attributes, small=True)
 
 
 def build_dim_canal(canales: DataFrame) -> DataFrame:
-    return build_dim(canales, "canal_sk", "canal_id", ["nombre", "digital_flag", "categoria"])
+    attributes = ["nombre", "digital_flag", "categoria"]
+    return build_dim(canales, "canal_sk", "canal_id", attributes, small=True)
 
 
 def build_dim_pasajero(

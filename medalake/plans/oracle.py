@@ -447,6 +447,39 @@ Q["scd2_promote"] = """
     UNION ALL
     SELECT id, promoted, c_nationkey, day, DATE '9999-12-31', TRUE
     FROM effective WHERE day IS NOT NULL"""
+
+def _promoted(change_days: str, epoch: str) -> str:
+    """Versions of customers whose n-th change day promotes their segment n times."""
+    log = f"""
+        SELECT c_custkey AS id, CASE
+            WHEN COALESCE(nth, 0) = 0 THEN c_mktsegment
+            WHEN c_mktsegment = 'BUILDING' AND nth = 1 THEN 'HOUSEHOLD'
+            ELSE 'MACHINERY' END AS segmento, COALESCE(c.day, opening) AS day
+        FROM (
+            SELECT customer.*, LEAST(DATE '{epoch}',
+                COALESCE(CAST(first_day - INTERVAL 1 DAY AS DATE), DATE '{epoch}')) AS opening
+            FROM customer LEFT JOIN (
+                SELECT id, MIN(day) AS first_day FROM change_days GROUP BY id) ON id = c_custkey
+        ) LEFT JOIN (
+            SELECT id, NULL AS day, 0 AS nth FROM (SELECT DISTINCT id FROM change_days)
+            UNION ALL
+            SELECT id, day, ROW_NUMBER() OVER (PARTITION BY id ORDER BY day) FROM change_days
+        ) c ON c.id = c_custkey"""
+    return f"""
+    WITH change_days AS ({change_days}),
+    {_versions(log, 'id', 'segmento')}
+    SELECT v.*, c_nationkey FROM versions v JOIN customer ON c_custkey = v.id"""
+
+
+_CANCELLED_DAYS = """
+    SELECT DISTINCT o_custkey AS id, CAST(o_orderdate AS DATE) AS day
+    FROM orders WHERE o_orderstatus = 'F'"""
+Q["scd2_promote_many"] = _promoted(_CANCELLED_DAYS, "1990-01-01")
+Q["scd2_change_before_epoch"] = _promoted(
+    f"SELECT id, MIN(day) AS day FROM ({_CANCELLED_DAYS}) GROUP BY id", "1997-01-01"
+)
+Q["scd2_late_rows"] = Q["scd2_build"]
+
 _PIT = """
     SELECT event_id, events.user_id, ts, v.event_type AS estado, v.valido_desde
     FROM events {how} JOIN versions v ON events.user_id = v.user_id
