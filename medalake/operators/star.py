@@ -105,29 +105,49 @@ def resolve_orphans(fact: DataFrame, keys: Sequence[str], policy: str = "drop")
     raise ValueError(f"orphan policy must be drop, keep or fail, not {policy!r}")
 
 
-def orphan_counts(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: facts, orphans, and misses per key. Expects a fact built with ``keep``."""
-    misses = [F.count_if(F.col(k).isNull()).alias(f"sin_{k}") for k in keys]
-    return fact.agg(
+def orphan_measures(keys: Sequence[str]):
+    """Aggregates: facts, orphans, and misses per key."""
+    return [
         F.count(F.lit(1)).alias("filas"),
         F.count_if(orphan_flag(keys)).alias("huerfanas"),
-        *misses,
-    )
+        *[F.count_if(F.col(k).isNull()).alias(f"sin_{k}") for k in keys],
+    ]
 
 
-def wide_view(star: Star) -> DataFrame:
-    """Bookings with every reporting attribute already joined."""
-    joined = star.with_dims("tiempo", "vuelo", "ruta", "pasajero", "canal")
-    return joined.select(
+def orphan_counts(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of ``orphan_measures``. Expects a fact built with ``keep``."""
+    return fact.agg(*orphan_measures(keys))
+
+
+# Column of the wide view, and where it comes from. The names.
+WIDE_DIMS = ("tiempo", "vuelo", "ruta", "pasajero", "canal")
+WIDE_COLUMNS = {
+    **{c: f"fact.{c}" for c in (
         "reserva_id", "precio_pagado", "asientos_reservados", "descuento_aplicado",
         "dias_anticipacion", "es_cancelada", "fecha_reserva",
-        F.hour("fecha_reserva").alias("hora"),
+    )},
+    "hora": "hour(fact.fecha_reserva)",
+    **{c: f"tiempo.{c}" for c in (
         "fecha", "anio", "mes", "mes_nombre", "dia_nombre", "es_temporada_alta",
-        "numero_vuelo", "aeronave", "capacidad_asientos",
-        "origen_iata", "destino_iata", "internacional_flag", route_label().alias("ruta"),
-        "segmento", "pais_residencia",
-        F.col("nombre").alias("canal"), "digital_flag",
-    )
+    )},
+    **{c: f"vuelo.{c}" for c in ("numero_vuelo", "aeronave", "capacidad_asientos")},
+    **{c: f"ruta.{c}" for c in ("origen_iata", "destino_iata", "internacional_flag")},
+    "ruta": "concat(ruta.origen_iata, '→', ruta.destino_iata)",
+    "segmento": "pasajero.segmento",
+    "pais_residencia": "pasajero.pais_residencia",
+    "canal": "canal.nombre",
+    "digital_flag": "canal.digital_flag",
+}
+
+
+def wide_view(star: Star) -> DataFrame:
+    """Bookings with every reporting attribute already joined."""
+    joined = star.fact.alias("fact")
+    for name in WIDE_DIMS:
+        dim = getattr(star, name)
+        dim = (bounded(dim) if name == "tiempo" else dim).alias(name)
+        joined = joined.join(dim, F.col(f"fact.{name}_sk") == F.col(f"{name}.{name}_sk"))
+    return joined.select(*[F.expr(e).alias(c) for c, e in WIDE_COLUMNS.items()])
 
 
 def route_label():

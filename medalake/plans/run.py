@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import date, datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from medalake.operators.checks import run_checks
 from medalake.operators.clean import quality_ledger, quality_summary
 from medalake.operators.scd import DW_EPOCH, scd2_stats
-from medalake.operators.star import MONTH, Star
+from medalake.operators.star import MONTH, Star, orphan_measures, resolve_orphans
 from medalake.plans import catalogue, silver as silver_plan
-from medalake.plans.gold import DIMS, GOLD_CHECKS, build_dim_table, build_fact
+from medalake.plans.gold import DIMS, FACT_KEYS, GOLD_CHECKS, build_dim_table, build_fact
 from medalake.schemas import BRONZE, TABLES
 from medalake.session import concurrently
 from medalake.sources.jdbc import Split, read_jdbc
-from medalake.sources.layers import read_layer, write_extract, write_layer
+from medalake.sources.layers import (
+    current_version, mark_complete, read_layer, write_extract, write_layer,
+)
 from medalake.sources.snapshots import read_snapshot, write_snapshot
 
 
@@ -82,35 +85,62 @@ def refresh_gold(
     orphans: str = "drop",
     end: str = "date",
     week_start: str = "monday",
-) -> None:
-    """Model silver as a star. Dimensions are written first, so the fact reads stored keys and
-    measured sizes; the fact is laid out by booking month for partition pruning."""
+    version: str | None = None,
+) -> dict[str, int]:
+    """Model silver as a star, and return what ``orphan_counts`` counts of its fact.
+
+    Each refresh writes a version of its own and marks it complete as the last step; readers take
+    the newest complete one, so a refresh that fails half-way leaves the star before it in place.
+    Dimensions are written first, so the fact reads stored keys and measured sizes; the fact is
+    laid out by booking month for partition pruning. Bookings without a dimension row are counted
+    while the fact is written, whatever becomes of them, and the counts are kept beside it.
+    """
     silver = read_silver(spark, root)
     changed = changes(silver) if changes else None
+    version = version or datetime.now().strftime("%Y%m%d_%H%M%S_%f")
+    gold = f"gold/{version}"
 
     def refresh(name: str) -> None:
         dim = build_dim_table(name, silver, changed, epoch, week_start)
-        write_layer(dim, root, "gold", f"dim_{name}")
+        write_layer(dim, root, gold, f"dim_{name}")
 
     concurrently([lambda n=n: refresh(n) for n in DIMS])
-    stored = {name: read_layer(spark, root, "gold", f"dim_{name}") for name in DIMS}
-    fact = build_fact(silver["reservas"], Star(None, **stored), orphans, end)
+    stored = {name: read_layer(spark, root, gold, f"dim_{name}") for name in DIMS}
+    found = build_fact(silver["reservas"], Star(None, **stored), "keep", end)
+    seen = Observation()
+    fact = resolve_orphans(found.observe(seen, *orphan_measures(FACT_KEYS)), FACT_KEYS, orphans)
     by_month = fact.withColumn(MONTH, F.date_format("fecha_reserva", "yyyy-MM"))
-    write_layer(by_month, root, "gold", "fact_reservas", partition_by=[MONTH])
+    write_layer(by_month, root, gold, "fact_reservas", partition_by=[MONTH])
+    counts = dict(seen.get)
+    row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
+    write_layer(row, root, gold, "huerfanas")
+    mark_complete(spark, root, "gold", version)
+    return counts
+
+
+def read_gold(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """One table of the newest complete star."""
+    return read_layer(spark, root, f"gold/{current_version(spark, root, 'gold')}", table)
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
-    dims = {name: read_layer(spark, root, "gold", f"dim_{name}") for name in DIMS}
-    return Star(read_layer(spark, root, "gold", "fact_reservas"), **dims)
+    gold = f"gold/{current_version(spark, root, 'gold')}"
+    dims = {name: read_layer(spark, root, gold, f"dim_{name}") for name in DIMS}
+    return Star(read_layer(spark, root, gold, "fact_reservas"), **dims)
 
 
 def quality_report(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Ledger and summary of the booking table's cleaning."""
+    """Ledger and summary of the booking table's cleaning, and rows of every silver table."""
     bronze = read_snapshot(spark, root, "reservas")
-    silver = read_layer(spark, root, "silver", "reservas")
+    silver = read_silver(spark, root)
+    rows = [
+        df.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(t).alias("tabla"), "filas")
+        for t, df in silver.items()
+    ]
     return {
         "ledger": quality_ledger(bronze, silver_plan.SPECS["reservas"]),
-        "summary": quality_summary(bronze, silver, "precio_pagado"),
+        "summary": quality_summary(bronze, silver["reservas"], "precio_pagado"),
+        "rows": reduce(DataFrame.union, rows),
     }
 
 

@@ -25,24 +25,42 @@ class RangeSplit:
 
 @dataclass(frozen=True)
 class KeySplit:
-    """Ranges of a text key between sorted cut points."""
+    """Ranges of a text key between sorted cut points.
+
+    Cut points are sorted here by code point, so the database has to compare the same way, else
+    ranges overlap or leave gaps. Name a binary collation of the database in ``collation`` (such as
+    ``"C"`` or ``BINARY``), unless the column has one already; ``HashSplit`` needs no order.
+    """
 
     column: str
     cuts: Sequence[str]
+    collation: str | None = None
 
     def predicates(self) -> list[str]:
+        column = f"{self.column} COLLATE {self.collation}" if self.collation else self.column
         quoted = ["'" + c.replace("'", "''") + "'" for c in sorted(self.cuts)]
         if not quoted:
             return ["1 = 1"]
-        first = f"{self.column} < {quoted[0]} OR {self.column} IS NULL"
-        middle = [
-            f"{self.column} >= {lo} AND {self.column} < {hi}"
-            for lo, hi in zip(quoted, quoted[1:])
-        ]
-        return [first, *middle, f"{self.column} >= {quoted[-1]}"]
+        first = f"{column} < {quoted[0]} OR {self.column} IS NULL"
+        middle = [f"{column} >= {lo} AND {column} < {hi}" for lo, hi in zip(quoted, quoted[1:])]
+        return [first, *middle, f"{column} >= {quoted[-1]}"]
+
+
+@dataclass(frozen=True)
+class HashSplit:
+    """Residue classes of a whole-number expression that the database computes, such as its hash
+    of a key. Needs no order and no cut points; nulls go to the first class."""
+
+    expression: str
+    partitions: int
+
+    def predicates(self) -> list[str]:
+        n, e = self.partitions, self.expression
+        classes = [f"MOD(MOD({e}, {n}) + {n}, {n}) = {i}" for i in range(n)]
+        return [f"{classes[0]} OR ({e}) IS NULL", *classes[1:]]
 
 
-Split = RangeSplit | KeySplit
+Split = RangeSplit | KeySplit | HashSplit
 
 
 def range_options(split: RangeSplit) -> dict[str, str]:
@@ -80,7 +98,7 @@ def read_jdbc(
     if split is None and not small:
         raise ValueError(f"give {table} a split, or declare it small")
     properties = {"fetchsize": str(FETCH_SIZE), **properties}
-    if isinstance(split, KeySplit):
+    if isinstance(split, (KeySplit, HashSplit)):
         return spark.read.jdbc(url, table, predicates=split.predicates(), properties=properties)
     options = {"url": url, "dbtable": table, **properties}
     if split is not None:

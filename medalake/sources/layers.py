@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from medalake.operators.star import WIDE_COLUMNS, WIDE_DIMS
+
 
 def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
@@ -35,6 +37,41 @@ def write_layer(
     writer.parquet(layer_path(root, layer, table))
 
 
+COMPLETE = "_complete"
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def mark_complete(spark: SparkSession, root: str, layer: str, version: str) -> None:
+    """Declare a version of a layer readable: the last step of writing it, an empty file."""
+    fs, target = _file_system(spark, f"{layer_path(root, layer, COMPLETE)}/{version}")
+    fs.create(target, True).close()
+
+
+def complete_versions(spark: SparkSession, root: str, layer: str) -> list[str]:
+    """Versions of a layer that were written to the end, oldest first."""
+    fs, target = _file_system(spark, layer_path(root, layer, COMPLETE))
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def current_version(spark: SparkSession, root: str, layer: str) -> str:
+    versions = complete_versions(spark, root, layer)
+    if not versions:
+        raise FileNotFoundError(f"no complete version of {layer} under {root}")
+    return versions[-1]
+
+
+def drop_versions(spark: SparkSession, root: str, layer: str, keep: int) -> None:
+    """Delete all but the newest complete versions: the mark first, then the tables."""
+    for version in complete_versions(spark, root, layer)[: -max(1, keep)]:
+        for part in (f"{COMPLETE}/{version}", version):
+            fs, target = _file_system(spark, layer_path(root, layer, part))
+            fs.delete(target, True)
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Name frames so that SQL text can query them."""
     for name, df in tables.items():
@@ -66,22 +103,15 @@ def create_star_view(
     prefix = f"{database}." if database else ""
     kind = "TEMPORARY VIEW" if temporary else "VIEW"
     target = name if temporary else f"{prefix}{name}"
-    spark.sql(f"""
-        CREATE OR REPLACE {kind} {target} AS
-        SELECT reserva_id, precio_pagado, asientos_reservados, descuento_aplicado,
-               dias_anticipacion, es_cancelada, fecha_reserva, hour(fecha_reserva) AS hora,
-               t.fecha, anio, mes, mes_nombre, dia_nombre, es_temporada_alta,
-               numero_vuelo, aeronave, capacidad_asientos,
-               origen_iata, destino_iata, internacional_flag,
-               concat(origen_iata, '→', destino_iata) AS ruta,
-               segmento, pais_residencia, nombre AS canal, digital_flag
-        FROM {prefix}fact_reservas
-             INNER JOIN {prefix}dim_tiempo t USING (tiempo_sk)
-             INNER JOIN {prefix}dim_vuelo USING (vuelo_sk)
-             INNER JOIN {prefix}dim_ruta USING (ruta_sk)
-             INNER JOIN {prefix}dim_pasajero USING (pasajero_sk)
-             INNER JOIN {prefix}dim_canal USING (canal_sk)
-    """)
+    # The columns are those of ``wide_view``, qualified because dimensions share column names.
+    columns = ", ".join(f"{text} AS {column}" for column, text in WIDE_COLUMNS.items())
+    joins = " ".join(
+        f"JOIN {prefix}dim_{d} {d} ON fact.{d}_sk = {d}.{d}_sk" for d in WIDE_DIMS
+    )
+    spark.sql(
+        f"CREATE OR REPLACE {kind} {target} AS SELECT {columns} "
+        f"FROM {prefix}fact_reservas fact {joins}"
+    )
 
 
 def write_extract(results: Mapping[str, DataFrame], root: str) -> None:

@@ -8,7 +8,10 @@ import time
 import duckdb
 import pyarrow as pa
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -53,7 +53,7 @@ def test_key_buckets_are_balanced(spark):
     df = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("a"))
     key = F.struct("a")
     cuts = keys._cut_points(df, key, 16)
-    sizes = keys._with_bucket(df, key, cuts, 16).groupBy("_bucket").count().collect()
+    sizes = keys._with_bucket(df, key, cuts).groupBy("_bucket").count().collect()
     assert len(sizes) == 16 and max(r["count"] for r in sizes) < 3 * 20_000 / 16
 
 

@@ -1,11 +1,12 @@
-"""Every registered query against its SQL on another engine, whole tables, exact values."""
+"""Every query of the library against its SQL on another engine, whole tables, exact values."""
 
 import pytest
 
 import __spark_entry__ as contract
 from compare import connect, difference
+from medalake.plans import oracle, registered
 
-SQL = contract.oracle_sql()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,10 +15,15 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(contract.queries())
+    assert set(SQL) == set(registered.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+def test_contract_offers_every_query():
+    assert set(registered.queries()) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(registered.queries()))
 def test_query_matches_sql(spark, sf_dir, con, name):
     assert difference(contract.queries()[name](spark, sf_dir), con, SQL[name]) is None
 

@@ -13,7 +13,10 @@ from medalake.plans import catalogue as cat, gold, run
 from medalake.plans.silver import build_silver
 from medalake.operators.scd import scd2_stats
 from medalake.operators.star import Star
-from medalake.sources.layers import create_star_view, register_views, save_tables
+from medalake.sources.layers import (
+    complete_versions, create_star_view, current_version, drop_versions, register_views,
+    save_tables,
+)
 
 CHANGED = {"P000": date(2024, 5, 1), "P003": date(2024, 7, 9)}
 
@@ -182,15 +185,11 @@ def test_wide_view_and_cards(star, facts):
 
 def test_sql_over_views(spark, star, facts):
     register_views(star.tables())
-    row = spark.sql("""
-        SELECT count(*) AS n, sum(CASE WHEN t.es_fin_semana THEN 1 ELSE 0 END) AS weekend
-        FROM fact_reservas f
-        JOIN dim_tiempo t ON f.tiempo_sk = t.tiempo_sk
-        JOIN dim_pasajero p ON f.pasajero_sk = p.pasajero_sk
-        WHERE extract(HOUR FROM f.fecha_reserva) < 24 AND t.dia_semana IN (0, 1, 2, 3, 4, 5, 6)
+    weekend = spark.sql("""
+        WITH days AS (SELECT tiempo_sk FROM dim_tiempo WHERE es_fin_semana)
+        SELECT count(*) AS n FROM fact_reservas LEFT SEMI JOIN days USING (tiempo_sk)
     """).first()
-    assert row.n == len(facts)
-    assert row.weekend == sum(r[4].weekday() >= 5 for r in facts.values())
+    assert weekend.n == sum(r[4].weekday() >= 5 for r in facts.values())
     create_star_view(spark, "v_prueba", temporary=True)
     view = spark.table("v_prueba")
     assert view.columns == wide_view(star).columns and view.count() == len(facts)
@@ -219,7 +218,9 @@ def test_extract_is_json(root, facts):
 
 
 def test_fact_is_laid_out_by_month(spark, star, root):
-    months = {p.name for p in pathlib.Path(root, "gold", "fact_reservas").glob("anio_mes=*")}
+    version = current_version(spark, root, "gold")
+    stored = pathlib.Path(root, "gold", version, "fact_reservas")
+    months = {p.name for p in stored.glob("anio_mes=*")}
     assert len(months) == 12
     plan = star.fact.where("anio_mes = '2024-03'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(anio_mes" in plan
@@ -245,6 +246,35 @@ def test_second_run_replaces_and_keeps_old_snapshots(spark, star, root, data, fa
     assert read_snapshot(spark, again, "reservas", labels[0]).count() == len(data["reservas"])
 
 
+def test_failed_refresh_leaves_the_star_before_it(spark, data, tmp_path):
+    """An orphan stops the second refresh while the fact is written; readers never see it."""
+    root = str(tmp_path)
+    run.run(spark, bookings.source(spark, data), root, "prueba", datetime(2026, 1, 1, 10, 0))
+    before = run.read_star(spark, root).fact.count()
+    with pytest.raises(Exception, match="dimension row"):
+        run.refresh_gold(spark, root, orphans="fail", version="99990101")
+    assert pathlib.Path(root, "gold", "99990101").exists()
+    assert "99990101" not in complete_versions(spark, root, "gold")
+    assert run.read_star(spark, root).fact.count() == before
+    run.refresh_gold(spark, root)
+    drop_versions(spark, root, "gold", keep=1)
+    assert len(complete_versions(spark, root, "gold")) == 1
+    assert run.read_star(spark, root).fact.count() == before
+
+
+def test_refresh_counts_orphans(spark, star, root, data, facts):
+    """What was left out is counted while the fact is written, and kept beside it."""
+    row = run.read_gold(spark, root, "huerfanas").first().asDict()
+    assert row["filas"] == len(bookings.clean_bookings(data))
+    assert row["huerfanas"] == row["filas"] - len(facts) > 0
+    assert max(row[k] for k in row if k.startswith("sin_")) <= row["huerfanas"]
+
+
+def test_report_counts_every_silver_table(spark, star, root, data):
+    rows = {r.tabla: r.filas for r in run.quality_report(spark, root)["rows"].collect()}
+    assert len(rows) == 6 and rows["reservas"] == len(bookings.clean_bookings(data))
+
+
 def test_silver_same_for_any_layout(spark, data, shuffle_partitions):
     seen = set()
     for n in (1, 7, 64):

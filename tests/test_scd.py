@@ -235,3 +235,39 @@ def test_hot_id_is_split(spark, small_partitions_are_skewed, kind):
     rows = out.collect()
     assert len(rows) == n and all(r[-1] is not None for r in rows)
     assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_several_changes_promote_step_by_step(spark):
+    """Two changes of one id, in any order, one of them before the epoch; no gap, no overlap."""
+    base = spark.createDataFrame([("a", "nuevo"), ("b", "nuevo"), ("c", "x")], "id string, s string")
+    changes = spark.createDataFrame(
+        [("a", date(2021, 5, 1)), ("a", date(2019, 6, 1)), ("b", date(2022, 1, 1))],
+        "id string, at date",
+    )
+    rows = scd2_from_base(
+        base, changes, "id", "s", "at", date(2020, 1, 1),
+        promotion={"nuevo": "ocasional", "ocasional": "frecuente"}, fallback="frecuente",
+    ).orderBy("id", "valido_desde").collect()
+    assert [(r.id, r.s, r.valido_desde) for r in rows] == [
+        ("a", "nuevo", date(2019, 5, 31)), ("a", "ocasional", date(2019, 6, 1)),
+        ("a", "frecuente", date(2021, 5, 1)), ("b", "nuevo", date(2020, 1, 1)),
+        ("b", "ocasional", date(2022, 1, 1)), ("c", "x", date(2020, 1, 1)),
+    ]
+    for one, following in zip(rows, rows[1:]):
+        if one.id == following.id:
+            assert (following.valido_desde - one.valido_hasta).days == 1
+
+
+def test_late_rows_need_the_history(spark):
+    schema = "id int, s string, at date"
+    old = spark.createDataFrame(
+        [(1, "A", date(2024, 1, 1)), (1, "A", date(2024, 1, 9)), (2, "A", date(2024, 1, 1))], schema
+    )
+    late = spark.createDataFrame([(1, "B", date(2024, 1, 5))], schema)
+    dim = scd2_build(old, "id", ["s"], "at")
+    got = scd2_apply(dim, late, "id", ["s"], "at", history=old)
+    want = scd2_build(old.union(late), "id", ["s"], "at")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    early = spark.createDataFrame([(1, "B", date(2023, 1, 5))], schema)
+    with pytest.raises(Exception, match="needs the history"):
+        scd2_apply(dim, early, "id", ["s"], "at").collect()

@@ -7,8 +7,9 @@ import bookings
 from medalake.session import stage
 from medalake.plans import run
 from medalake.schemas import BRONZE
+from medalake.__main__ import jdbc_options, parse
 from medalake.sources.jdbc import (
-    KeySplit, RangeSplit, bounds_query, range_options, read_jdbc,
+    HashSplit, KeySplit, RangeSplit, bounds_query, range_options, read_jdbc,
 )
 from medalake.sources.layers import read_layer, write_extract, write_layer
 from medalake.sources.snapshots import (
@@ -91,6 +92,23 @@ def test_key_ranges_cover_every_row_once(spark):
     parts = [df.where(p).count() for p in predicates]
     assert len(parts) == 4 and sum(parts) == 7
     assert KeySplit("k", []).predicates() == ["1 = 1"]
+    assert KeySplit("k", ["m"], "BINARY").predicates()[1] == "k COLLATE BINARY >= 'm'"
+
+
+def test_residue_classes_cover_every_row_once(spark):
+    df = spark.createDataFrame([(x,) for x in [-7, -1, 0, 1, 5, 12, None]], "k int")
+    parts = [df.where(p).count() for p in HashSplit("k", 3).predicates()]
+    assert sum(parts) == 7 and len(parts) == 3
+
+
+def test_command_line_reads_jdbc_options():
+    options = parse([
+        "--mode", "jdbc", "--location", "jdbc:none", "--root", "/x", "--property", "user=a",
+        "--split", "reservas:fecha_reserva:2024-01-01:2025-01-01:8",
+    ])
+    splits, properties = jdbc_options(options)
+    assert splits == {"reservas": RangeSplit("fecha_reserva", "2024-01-01", "2025-01-01", 8)}
+    assert properties == {"user": "a"}
 
 
 def test_parquet_source(spark, root):
