@@ -253,3 +253,70 @@ def filter_documents(docs: DataFrame, text: str = "text", lang: str = "lang") ->
         F.struct(*[F.col(c) for c in docs.columns]).alias("document"),
     )
     return judge(whole, key="document").where("kept").select("document.*")
+
+
+OP8_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{NOT_SPACE}+') AS w FROM documents
+), parts AS (
+  SELECT *, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    regexp_replace(t, '[\x20\x09-\x0D\p{{Ll}}\p{{Lt}}\p{{Lm}}\p{{Lo}}]+', '', 'g') AS u,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{NOT_SPACE}')) AS lines
+  FROM docs
+), classes AS (
+  SELECT row, lang, unnest([1, 2, 3, 4, 5]) AS k, unnest([
+    word_chars - length(u), caps, digits, stops, length(u) - caps - digits - stops]) AS c
+  FROM (SELECT *, length(regexp_replace(u, '\P{{Lu}}+', '', 'g')) AS caps,
+    length(u) - length(translate(u, '{DIGITS}', '')) AS digits,
+    length(u) - length(translate(u, '{STOPS}', '')) AS stops FROM parts)
+), windows AS (
+  SELECT row, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1),
+    lambda i: array_to_string(w[i:i + 2], ' '))) AS x FROM docs WHERE len(w) >= 3
+), repeated AS (
+  SELECT row, count(DISTINCT place) AS n FROM (
+    SELECT row, unnest(range(i, i + 3)) AS place FROM windows
+    QUALIFY count(*) OVER (PARTITION BY row, x) > 1) GROUP BY row
+), counted AS (
+  SELECT row, lang, word, count(*) AS n FROM (SELECT row, lang, unnest(w) AS word FROM docs)
+  GROUP BY ALL
+), vocabulary AS (SELECT lang, word, sum(n) AS n FROM counted GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(n) AS words FROM vocabulary GROUP BY lang
+  QUALIFY words >= {MIN_REFERENCE_WORDS} AND words >= sum(words) OVER () * {MIN_REFERENCE_SHARE}
+), class_shares AS (
+  SELECT lang, k, sum(c)::DOUBLE / sum(sum(c)) OVER (PARTITION BY lang) AS q
+  FROM classes SEMI JOIN totals USING (lang) GROUP BY lang, k
+), common AS (
+  SELECT lang, word, n::DOUBLE / words AS q FROM vocabulary JOIN totals USING (lang)
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {COMMON_WORDS}
+), histograms AS (
+  SELECT 'class' AS kind, row, q, c::DOUBLE / sum(c) OVER (PARTITION BY row) AS p
+  FROM classes JOIN class_shares USING (lang, k) JOIN parts USING (row)
+  WHERE length(t) >= {MIN_CHARS} AND word_chars > 0
+  UNION ALL
+  SELECT 'word', row, q, coalesce(n, 0)::DOUBLE / n_words
+  FROM parts JOIN common USING (lang) LEFT JOIN counted USING (row, word)
+  WHERE n_words >= {MIN_WORDS}
+), rest AS (
+  SELECT 'word' AS kind, row, 1 - sum(q) AS q, 1 - sum(p) AS p FROM histograms
+  WHERE kind = 'word' GROUP BY row
+), distances AS (
+  SELECT kind, row, sqrt(greatest(0, sum(
+    CASE WHEN p > 1e-15 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 1e-15 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS d
+  FROM (SELECT * FROM histograms UNION ALL SELECT kind, row, q, p FROM rest) GROUP BY ALL
+), figures AS (
+  SELECT parts.*, coalesce(r.n, 0) AS n_repeat_words, coalesce(c.d, 0) AS class_distance,
+    coalesce(v.d, 0) AS word_distance
+  FROM parts LEFT JOIN repeated r USING (row)
+    LEFT JOIN distances c ON c.row = parts.row AND c.kind = 'class'
+    LEFT JOIN distances v ON v.row = parts.row AND v.kind = 'word'
+)
+SELECT doc_id, n_words, word_chars, length(t) - length(translate(t, '{SYMBOLS}', '')) AS n_symbols,
+  (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+    AND class_distance <= {MAX_CHAR_DISTANCE} AND word_distance <= {MAX_WORD_DISTANCE} AS kept
+FROM figures
+"""

@@ -34,5 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_jump_shards": sharding.OP4_SQL,
         "op5_boundary_chain": warc.OP5_SQL,
         "op7_suffix_arrays": suffixes.OP7_SQL,
+        "op8_divergence_rules": divergence.OP8_SQL,
         "op10_t_occurrence": overlap.OP10_SQL,
     }
