@@ -19,6 +19,8 @@ LINE = "\r\n"
 RECORD_END = "\r\n\r\n"
 MIN_REVISIT_BYTES = 100
 RECORDS_PER_FILE = 2_000
+# Up to so many fragments to put together are broadcast (about 200 bytes each).
+BROADCAST_FRAGMENTS = 100_000
 DATE = "1970-01-01T00:00:00Z"
 RECORD_ID = "urn:medalake:page:"
 
@@ -213,7 +215,10 @@ def _rejoined(parts: DataFrame, found: DataFrame, records: DataFrame) -> DataFra
     before = Window.partitionBy("file").orderBy("place")
     owner = F.last(F.when(F.col("begins"), F.col("place")), ignorenulls=True).over(before)
     owned = starts.withColumn("at", owner).join(spans, ["file", "at"]).where("place < next")
-    pieces = parts.join(owned.select("file", "block", "n", "at", "place"), ["file", "block", "n"])
+    owned = stage(owned.select("file", "block", "n", "at", "place"))
+    # Few contents hold a magic; then the bytes of all others stay where they are read.
+    few = owned.count() <= BROADCAST_FRAGMENTS
+    pieces = parts.join(F.broadcast(owned) if few else owned, ["file", "block", "n"])
     joined = pieces.groupBy("file", "at").agg(
         F.array_sort(F.collect_list(F.struct("place", F.col("value").cast("binary").alias("v"))))
         .alias("pieces")
