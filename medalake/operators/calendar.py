@@ -10,6 +10,9 @@ from medalake.functions.dates import day, weekday
 
 # High-season months.
 HIGH_SEASON_MONTHS = (1, 7, 12)
+# A longer span comes from a sentinel or a typing error. The bound is what lets a calendar be
+# broadcast: four centuries.
+MAX_DAYS = 146_097
 
 
 def date_range(*sides: tuple[DataFrame, str, str]) -> DataFrame:
@@ -32,8 +35,11 @@ def span_of(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def date_spine(bounds: DataFrame, name: str = "fecha") -> DataFrame:
-    """Every day from ``lo`` to ``hi``, ends included, beside ``lo``; none if ``lo`` is later."""
-    days = F.when(F.col("lo") <= F.col("hi"), F.sequence("lo", "hi"))
+    """Every day from ``lo`` to ``hi``, ends included, beside ``lo``; none if ``lo`` is later.
+    A span of more than ``MAX_DAYS`` is an error."""
+    message = F.format_string("a calendar from %s to %s is too long", "lo", "hi")
+    days = F.when(F.datediff("hi", "lo") >= MAX_DAYS, F.raise_error(message).cast("array<date>"))
+    days = days.when(F.col("lo") <= F.col("hi"), F.sequence("lo", "hi"))
     return bounds.select("lo", F.explode(days).alias(name))
 
 
@@ -62,6 +68,6 @@ def bounded(calendar: DataFrame) -> DataFrame:
     """Mark a calendar for broadcast.
 
     Its size follows the span of dates, never the number of bookings: a century is 36,525 rows,
-    and the DATE type itself ends near 3.65 million.
+    and ``date_spine`` stops at ``MAX_DAYS``.
     """
     return F.broadcast(calendar)

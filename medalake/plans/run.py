@@ -15,7 +15,7 @@ from medalake.operators.star import MONTH, Star, orphan_measures, resolve_orphan
 from medalake.plans import catalogue, silver as silver_plan
 from medalake.plans.gold import DIMS, FACT_KEYS, GOLD_CHECKS, build_dim_table, build_fact
 from medalake.schemas import BRONZE, TABLES
-from medalake.session import concurrently
+from medalake.session import concurrently, staging
 from medalake.sources.jdbc import Split, read_jdbc
 from medalake.sources.layers import (
     current_version, mark_complete, read_layer, write_extract, write_layer,
@@ -95,6 +95,11 @@ def refresh_gold(
     laid out by booking month for partition pruning. Bookings without a dimension row are counted
     while the fact is written, whatever becomes of them, and the counts are kept beside it.
     """
+    with staging(spark):
+        return _refresh_gold(spark, root, changes, epoch, orphans, end, week_start, version)
+
+
+def _refresh_gold(spark, root, changes, epoch, orphans, end, week_start, version):
     silver = read_silver(spark, root)
     changed = changes(silver) if changes else None
     version = version or datetime.now().strftime("%Y%m%d_%H%M%S_%f")

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,21 +66,49 @@ def _shared_folder(spark: SparkSession) -> str:
     return own
 
 
+# Staged tables of the open ``staging`` blocks, innermost last.
+_open_blocks: list[list[str]] = []
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back.
 
     For frames several later passes read. A lost executor then re-reads a file instead of
     replaying the history, each pass reads only the columns it needs, and joins see measured
-    sizes. The table goes away with the application.
+    sizes. The table goes away with the ``staging`` block around it, else with the application.
     """
     spark = df.sparkSession
     path = f"{_shared_folder(spark)}/medalake-stage-{uuid.uuid4().hex}"
+    fs, target = _file_system(spark, path)
+    fs.deleteOnExit(target)
+    if _open_blocks:
+        _open_blocks[-1].append(path)
     df.write.parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block when it ends, for work that stores its results.
+
+    Frames that read such tables must not be used afterwards.
+    """
+    mine: list[str] = []
+    _open_blocks.append(mine)
+    try:
+        yield
+    finally:
+        _open_blocks.remove(mine)
+        for path in mine:
+            fs, target = _file_system(spark, path)
+            fs.delete(target, True)
+
+
 def concurrently(actions: Iterable[Callable[[], object]]) -> list:
     """Submit independent Spark actions together, so that small jobs fill idle executors."""
     todo = list(actions)

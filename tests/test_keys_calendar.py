@@ -89,3 +89,9 @@ def test_date_range_over_frames(spark):
     assert calendar_dim(date_range((backwards, "x", "y"))).count() == 0
     nothing = calendar_dim(date_range((a.where("x > y"), "x", "y")))
     assert nothing.count() == 0
+
+
+def test_calendar_of_a_sentinel_date_is_refused(spark):
+    bounds = spark.createDataFrame([(date(2024, 1, 1), date(9999, 12, 31))], "lo date, hi date")
+    with pytest.raises(Exception, match="too long"):
+        calendar_dim(bounds).count()

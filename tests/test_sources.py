@@ -1,10 +1,12 @@
 from datetime import datetime
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
 import bookings
-from medalake.session import stage
+from medalake.session import stage, staging
 from medalake.plans import run
 from medalake.schemas import BRONZE
 from medalake.__main__ import jdbc_options, parse
@@ -72,6 +74,13 @@ def test_stage_reads_back_from_the_shared_folder(spark):
     assert "ReadSchema: struct<id:bigint>" in plan
 
 
+def test_staged_tables_go_with_their_block(spark):
+    with staging(spark):
+        (file, *_) = stage(spark.range(5)).inputFiles()
+        assert pathlib.Path(file.removeprefix("file://")).exists()
+    assert not pathlib.Path(file.removeprefix("file://")).exists()
+
+
 def test_jdbc_splits(spark):
     """What is sent to a database; none is opened here."""
     split = RangeSplit("fecha_reserva", "2024-01-01", "2025-01-01", 64)
