@@ -8,10 +8,12 @@ successors from there is found for all files at once by pointer jumping.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
-from medalake.llm.common import columns, stage, table
-from medalake.session import _shared_folder
+from medalake.llm.common import stage, table
+from medalake.session import _file_system, _shared_folder
 
 # Fixed values of the format: magic (without the minor version), line end, end of a record.
 MAGIC = "WARC/1."
@@ -263,9 +265,9 @@ def page_records(records: DataFrame) -> DataFrame:
 
 def op5_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page into archives, read them back, and return each page's record."""
-    from uuid import uuid4
-
     path = f"{_shared_folder(spark)}/medalake-warc-{uuid4().hex}"
+    fs, target = _file_system(spark, path)
+    fs.deleteOnExit(target)
     write_archives(table(spark, sf_dir, "pages"), path)
     return page_records(read_archives(spark, path))
 

@@ -16,15 +16,18 @@ def words(text):
 
 
 def brute(text, items):
-    w, hit, found = words(text), set(), set()
+    w, hit, found, places = words(text), set(), set(), {}
     for id_, item in items:
         v = words(item)
         span = min(13, len(v))
-        for i in range(len(v) - span + 1) if v else ():
+        if span and span not in places:
+            places[span] = {}
             for k in range(len(w) - span + 1):
-                if w[k : k + span] == v[i : i + span]:
-                    hit.update(range(k, k + span))
-                    found.add(id_)
+                places[span].setdefault(tuple(w[k : k + span]), []).append(k)
+        for i in range(len(v) - span + 1) if v else ():
+            for k in places[span].get(tuple(v[i : i + span]), ()):
+                hit.update(range(k, k + span))
+                found.add(id_)
     return len(w), len(hit), sorted("null" if x is None else str(x) for x in found)
 
 
