@@ -75,6 +75,13 @@ def main() -> None:
         times["refresh_gold"] = timed(
             lambda: run.refresh_gold(spark, root, fx.segment_changes, fx.EPOCH)
         )
+        # The same again, with code compiled and files in memory.
+        later = datetime(2026, 1, 2)
+        times["refresh_bronze_warm"] = timed(lambda: run.land(source, root, "bench", later))
+        times["refresh_silver_warm"] = timed(lambda: run.refresh_silver(spark, root))
+        times["refresh_gold_warm"] = timed(
+            lambda: run.refresh_gold(spark, root, fx.segment_changes, fx.EPOCH)
+        )
         star = run.read_star(spark, root)
         todo = gold_queries(spark, star)
         every = registered.queries()
