@@ -20,7 +20,7 @@ SYMBOLS = "#*$%&|<>"
 STOPS = ".,;:!?"
 DIGITS = "0123456789"
 
-COMMON_WORDS = 16
+COMMON_WORDS = 24
 # A language needs this many words and this share of all words to have a reference. The share
 # bounds the number of references, so that the reference table can be broadcast.
 MIN_REFERENCE_WORDS = 2_000
@@ -131,8 +131,12 @@ def divergence(counts: Column, shares: Column) -> Column:
 
 
 def common_counts(words: Column, common: Column) -> Column:
-    """How often each common word occurs among ``words``, and last how many are others."""
-    hits = _let(words, lambda every: F.transform(
+    """How often each common word occurs among ``words``, and last how many are others.
+
+    One pass over the words leaves the common ones, which alone are counted word by word.
+    """
+    among = F.filter(words, lambda w: F.array_contains(common, w))
+    hits = _let(among, lambda every: F.transform(
         common, lambda w: F.size(every) - F.size(F.array_remove(every, w))
     ))
     return _let(hits, lambda h: F.concat(h, F.array(

@@ -91,3 +91,22 @@ def test_empty_table_and_clashing_columns(frame):
     df = frame(rows, schema)
     assert divergence.judge(df).count() == 3
     assert divergence.filter_documents(df).columns == df.columns
+
+
+def test_words_beyond_the_first_sixteen_count(frame):
+    """Words 17 to 24 of a language are in its histogram: documents differ only there."""
+    vocab = [f"w{i:02}" for i in range(24)] + [f"rare{i}" for i in range(24)]
+    plain = " ".join(w for i, w in enumerate(vocab) for _ in range(60 - i if i < 24 else 1))
+    odd = " ".join(w if w < "w16" else "other" for w in plain.split() if w[0] == "w")
+    df = frame([(i, plain, "en") for i in range(9)] + [(9, odd, "en")], "doc_id bigint, text string, lang string")
+    (en,) = divergence.language_references(df, "lang", "text").collect()
+    words = Counter(w for t in [plain] * 9 + [odd] for w in t.split())
+    assert en.common == sorted(words, key=lambda w: (-words[w], w))[:24]
+    got = {r.doc_id: r.word_distance for r in divergence.judge(df).collect()}
+    total = sum(words.values())
+    q = [words[w] / total for w in en.common]
+    for key, text in ((0, plain), (9, odd)):
+        own = Counter(text.split())
+        p = [own[w] / sum(own.values()) for w in en.common]
+        want = js(p + [1 - sum(p)], q + [1 - sum(q)])
+        assert got[key] == pytest.approx(want, abs=1e-9)
