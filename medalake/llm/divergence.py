@@ -21,10 +21,12 @@ STOPS = ".,;:!?"
 DIGITS = "0123456789"
 
 COMMON_WORDS = 24
-# A language needs this many words and this share of all words to have a reference. The share
-# bounds the number of references, so that the reference table can be broadcast.
+# A language needs this many words to have a reference, but no share of all words, so that the rest
+# of a table does not decide how a language is judged. The SQL names the share.
 MIN_REFERENCE_WORDS = 2_000
-MIN_REFERENCE_SHARE = 0.001
+MIN_REFERENCE_SHARE = 0
+# References are broadcast while all of them are smaller.
+BROADCAST_BYTES = 32 << 20
 # Below these lengths a histogram says nothing about its text.
 MIN_CHARS = 200
 MIN_WORDS = 50
@@ -161,10 +163,7 @@ def language_references(df: DataFrame, lang: str, text: str) -> DataFrame:
     totals = (
         counted.withColumn("c", classes).groupBy("lang").agg(F.sum("n").alias("words"), *sums)
     )
-    whole = totals.agg(F.sum("words").alias("all_words"))
-    large = totals.select("*", whole.scalar().alias("all_words")).where(
-        f"words >= {MIN_REFERENCE_WORDS} AND words >= all_words * {MIN_REFERENCE_SHARE}"
-    )
+    large = totals.where(f"words >= {MIN_REFERENCE_WORDS}")
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = counted.withColumn("rank", F.row_number().over(first)).where(f"rank <= {COMMON_WORDS}")
     top = top.groupBy("lang").agg(
@@ -203,15 +202,19 @@ def judge(
     ``kept``. Empty texts fail the base rules. A document without a distance is judged by the base
     rules alone.
 
-    References are at most a thousand rows of fixed width by their share rule, so they are
-    broadcast; a document needs no shuffle however its language is distributed.
+    References are broadcast while all of them are smaller than ``BROADCAST_BYTES``; then a document
+    needs no shuffle however its language is distributed. Beyond, documents and references meet in a
+    join on the language, whose hot languages adaptive execution splits.
     """
     references = stage(language_references(df, lang, text))
+    width = F.length("lang") + F.length(F.array_join("common", "")) + 32 * (COMMON_WORDS + 6)
+    size = references.agg(F.sum(width).alias("n")).first()["n"] or 0
+    references = references.withColumnRenamed("lang", "_lang")
     rows = df.select(
         key, *keep, F.coalesce(F.col(lang), F.lit("")).alias("_lang"),
         whole_text(text).alias("_text"), words_of(whole_text(text)).alias("_words"),
         uncommon_characters(whole_text(text)).alias("_uncommon"),
-    ).join(F.broadcast(references.withColumnRenamed("lang", "_lang")), "_lang", "left")
+    ).join(F.broadcast(references) if size <= BROADCAST_BYTES else references, "_lang", "left")
     value = F.col("_text")
     word_chars = F.length(F.array_join("_words", ""))
     lines = F.filter(F.split(value, "\n", -1), lambda x: x.rlike(NOT_SPACE))

@@ -110,3 +110,20 @@ def test_words_beyond_the_first_sixteen_count(frame):
         p = [own[w] / sum(own.values()) for w in en.common]
         want = js(p + [1 - sum(p)], q + [1 - sum(q)])
         assert got[key] == pytest.approx(want, abs=1e-9)
+
+
+def test_a_language_is_judged_alike_in_a_large_table(frame, monkeypatch):
+    """A language of a thousandth of all words or less has its reference, by either join."""
+    schema = "doc_id bigint, text string, lang string"
+    rng = random.Random(2)
+    plain = [" ".join(rng.choices([f"v{k}" for k in range(40)], k=120)) for _ in range(40)]
+    rows = [(i, t, "xx") for i, t in enumerate(plain)] + [(99, "###!! " * 20 + plain[0], "xx")]
+    large = frame(rows + [(200 + i, "the " * 100_000, "en") for i in range(60)], schema)
+    langs = [r.lang for r in divergence.language_references(large, "lang", "text").collect()]
+    assert sorted(langs) == ["en", "xx"]
+    want = {r.doc_id: r for r in divergence.judge(frame(rows, schema)).collect()}
+    assert want[0].kept and not want[99].kept and not want[99].base_failed
+    for size in (divergence.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(divergence, "BROADCAST_BYTES", size)
+        got = divergence.judge(large).where("doc_id < 200").collect()
+        assert {r.doc_id: r for r in got} == want
