@@ -28,8 +28,10 @@ LOOK_ALIKES = {
 JOINERS = " .-_"
 EDGE = ".,;:!?\"'()[]{}<>#*&%/\\=~^`´“”„«»…-_"
 # Costs of the channel (negative logarithms): a look-alike, a sign that stands for nothing, a
-# character that stands for itself though it may look like a letter, a run cut to one or two.
+# character that stands for itself though it may look like a letter, a run cut to one or two, a
+# pair cut to one.
 AS_LETTER, AS_NOTHING, AS_ITSELF, CUT_TO_ONE, CUT_TO_TWO = 0.7, 2.5, 3.0, 0.7, 1.2
+CUT_PAIR = 2.0
 ORDER = 4
 SLOTS = 1 << 17
 SMOOTHING = 4.0
@@ -46,12 +48,15 @@ THRESHOLD = 0.7
 CACHED_TOKENS = 300_000
 
 SIGNS = "".join(re.escape(c) for c in LOOK_ALIKES)
-# Worth a lattice: a look-alike beside letters, or a letter three times in a row.
-DISGUISED = re.compile(rf"[{SIGNS}][^\W\d_]|[^\W\d_][{SIGNS}]+[^\W_]|([^\W\d_])\1\1")
+# Worth a lattice: a look-alike beside a letter, a letter twice in a row, or look-alikes only.
+DISGUISED = re.compile(
+    rf"[{SIGNS}][^\W\d_]|[^\W\d_][{SIGNS}]|([^\W\d_])\1|\A[{SIGNS}]{{3,}}\Z"
+)
 LETTER = re.compile(r"[^\W\d_]")
-# Four or more single characters set apart by one joiner each.
+# Three or more single characters set apart by white space or joiners.
+APART = re.compile(rf"[\s{re.escape(JOINERS)}]+")
 SPACED = re.compile(
-    rf"(?<![^\W_])(?:[^\W_]|[{SIGNS}])(?:[{re.escape(JOINERS)}](?:[^\W_]|[{SIGNS}])){{3,}}(?![^\W_])"
+    rf"(?<![^\W_])(?:[^\W_]|[{SIGNS}])(?:{APART.pattern}(?:[^\W_]|[{SIGNS}])){{2,}}(?![^\W_])"
 )
 
 
@@ -94,6 +99,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             out.append(options)
         elif run >= 3:
             out.append([(c, CUT_TO_ONE), (c * 2, CUT_TO_TWO), (c * run, 0.0)])
+        elif run == 2 and c.isalpha():
+            out.append([(c, CUT_PAIR), (c * 2, 0.0)])
         else:
             out += [[(c, 0.0)]] * run
         i = end
@@ -127,17 +134,20 @@ def restored(token: str, model: CharacterModel) -> list[str]:
     token = token.lower()
     plain = token.rstrip(EDGE).lstrip(EDGE.replace("!", "").replace("(", ""))
     plain = re.sub(rf"([{SIGNS}])\1+$|^([{SIGNS}])\2+", "", plain) or plain
-    if not LETTER.search(plain):
-        return []
     if DISGUISED.search(plain):
         words = decode(plain, model).split()
         return [w.strip(EDGE) for w in words if LETTER.search(w)]
-    return [plain.strip(EDGE)]
+    return [plain.strip(EDGE)] if LETTER.search(plain) else []
+
+
+def _together(match: re.Match, model: CharacterModel) -> str:
+    """The likeliest text behind characters that are set apart."""
+    return decode(APART.sub(" ", match[0].lower()), model)
 
 
 def restored_text(text: str, model: CharacterModel) -> str:
     """The whole text with its disguised words restored, one space between words."""
-    joined = SPACED.sub(lambda m: decode(m[0].lower(), model), text)
+    joined = SPACED.sub(lambda m: _together(m, model), text)
     return " ".join(w for t in joined.split() for w in restored(t, model))
 
 
@@ -166,7 +176,7 @@ class DocumentWords:
                 self.known[token] = found
             out.update(found)
         for match in SPACED.finditer(text or ""):
-            for token in decode(match[0].lower(), self.model).split():
+            for token in _together(match, self.model).split():
                 out.update(self._wanted(restored(token, self.model)))
         return out
 

@@ -104,3 +104,19 @@ def test_fit_is_a_logistic_regression():
     weights, bias = toxicity._fit(rows, toxic, 5)
     z = np.array([weights[r].sum() + bias for r in rows])
     assert ((z > 0) == (toxic > 0)).all()
+
+
+@pytest.mark.parametrize("hidden,plain", [
+    ("idio7", "idiot"), ("scen3", "scene"), ("iiddiioott", "idiot"), ("mmoorroonn", "moron"),
+    ("t h e", "the"), ("i  d  i  o  t", "idiot"), ("i\td\ti\to\tt", "idiot"), ("i\nd\ni\no\nt", "idiot"),
+    ("i. d. i. o. t", "idiot"), ("74813", "table"), ("mo7her", "mother"), ("garden", "garden"),
+])
+def test_restoration_of_further_disguises(scorer, hidden, plain):
+    assert toxicity.restored_text(hidden, scorer.model) == plain
+
+
+def test_further_disguises_score_as_toxic(frame, scorer):
+    rows = ["river idio7 garden", "river iiddiioott garden", "river i\td\ti\to\tt garden",
+            "river s  c  u  m garden", "river 74813 garden"]
+    got = toxicity.score(frame(list(enumerate(rows)), DOCS), scorer).orderBy("doc_id").collect()
+    assert [r.score >= toxicity.THRESHOLD for r in got] == [True, True, True, True, False]
