@@ -72,7 +72,7 @@ def test_distances_against_references(frame):
     (en, *_), = [divergence.language_references(df, "lang", "text").where("lang = 'en'").collect()]
     words = Counter(w for i, t, lang in rows if lang == "en" for w in t.split())
     total = sum(words.values())
-    assert en.common == [w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))][:16]
+    assert en.common == [w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))][:24]
     got = {r.doc_id: r for r in divergence.judge(df).collect()}
     own = Counter(plain[0].split())
     p = [own[w] / 120 for w in en.common]
