@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from medalake.llm import divergence, lengths, overlap, packing, resampling, sharding, suffixes, toxicity, warc, wrappers
+from medalake.llm import (
+    collocations, digests, divergence, lengths, negatives, overlap, packing, resampling, sharding,
+    suffixes, toxicity, warc, wrappers,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +27,9 @@ def queries() -> dict[str, Query]:
         "op8_divergence_rules": divergence.op8_divergence_rules,
         "op9_length_sums": lengths.op9_length_sums,
         "op10_t_occurrence": overlap.op10_t_occurrence,
+        "op11_threshold_negatives": negatives.op11_threshold_negatives,
+        "op12_digest_index": digests.op12_digest_index,
+        "op13_vertical_phrases": collocations.op13_vertical_phrases,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -36,4 +42,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_suffix_arrays": suffixes.OP7_SQL,
         "op8_divergence_rules": divergence.OP8_SQL,
         "op10_t_occurrence": overlap.OP10_SQL,
+        "op11_threshold_negatives": negatives.OP11_SQL,
+        "op12_digest_index": digests.OP12_SQL,
+        "op13_vertical_phrases": collocations.OP13_SQL,
     }

@@ -14,4 +14,4 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 def test_names():
     names = set(registered.queries())
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
