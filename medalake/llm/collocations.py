@@ -9,7 +9,7 @@ phrase's parts say about it is joined in Spark.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
 
@@ -41,7 +41,7 @@ KIND[list(PIECE_ENDS)] = 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 WORD_SCHEMA = "lang string, word binary, code bigint, n bigint"
-PREFIX_SCHEMA = "prefix bigint, n bigint"
+LOAD_SCHEMA = "bucket bigint, prefix bigint, n bigint"
 SUFFIX_SCHEMA = "part bigint, codes binary, places binary, counts binary"
 COUNT_SCHEMA = "phrase binary, n bigint"
 
@@ -155,24 +155,6 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[spot] == values
 
 
-def _count_prefixes(seed: int, heavy: list[np.ndarray]):
-    """Task: prefixes one word longer than the last heavy ones, counted in each chunk."""
-    depth = len(heavy) + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in _chunks(batches, seed):
-            at = np.flatnonzero(c.left >= depth)
-            h = c.codes[c.words[at]]
-            for d in range(1, depth):
-                kept = _among(h, heavy[d - 1])
-                at, h = at[kept], h[kept]
-                h = mix(h * _ODD + c.codes[c.words[at + d]])
-            found, n = np.unique(h, return_counts=True)
-            yield _batch(PREFIX_SCHEMA, [found.view(np.int64), n])
-
-    return run
-
-
 @dataclass(frozen=True)
 class Groups:
     """Vertical partition: ``heavy[d]`` holds the prefixes of d + 1 words beyond the budget, and
@@ -309,33 +291,60 @@ def _subtree(max_words: int, min_count: int, groups: Groups):
     return run
 
 
-def _heavy(prefixes: DataFrame, budget: int) -> tuple[np.ndarray, int]:
-    """Prefixes beyond the budget, fewer than one for each ``budget`` words of the input, and how
-    many suffixes they have."""
-    found = prefixes.where(F.col("n") > budget).select("prefix", "n").collect()
-    return np.sort(np.array([r.prefix for r in found], np.int64).view(np.uint64)), sum(
-        r.n for r in found
-    )
-
-
-def _loads(prefixes: DataFrame, budget: int, buckets: int) -> np.ndarray:
-    """Suffixes of the prefixes within the budget, by fine bucket."""
+def _bucket_loads(buckets: int, read) -> Callable:
+    """Task: suffixes by fine bucket, counted over the whole task, then the prefixes that ``read``
+    wants back with their counts. ``read`` gives hashes, their counts, and which are wanted."""
     place = Groups((), np.zeros(buckets, np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         load = np.zeros(buckets, np.int64)
-        for batch in batches:
-            at = place.bucket(batch.column(0).to_numpy().view(np.uint64))
-            np.add.at(load, at, batch.column(1).to_numpy())
+        for prefixes, n, wanted in read(batches):
+            load += np.bincount(place.bucket(prefixes), n, buckets).astype(np.int64)
+            prefixes, n = prefixes[wanted].view(np.int64), n[wanted]
+            yield _batch(LOAD_SCHEMA, [np.full(len(n), -1), prefixes, n])
         at = np.flatnonzero(load)
-        yield _batch(PREFIX_SCHEMA, [at, load[at]])
+        yield _batch(LOAD_SCHEMA, [at, np.zeros(len(at), np.int64), load[at]])
 
-    within = prefixes.where(F.col("n") <= budget).select("prefix", "n")
-    rows = within.mapInArrow(run, PREFIX_SCHEMA).groupBy("prefix").agg(F.sum("n").alias("n"))
-    load = np.zeros(buckets, np.int64)
-    for bucket, n in rows.collect():
-        load[bucket] = n
-    return load
+    return run
+
+
+def _words_as_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        n = batch.column("n").to_numpy()
+        yield batch.column("code").to_numpy().view(np.uint64), n, n > batch.column("budget").to_numpy()
+
+
+def _longer_prefixes(seed: int, heavy: list[np.ndarray]) -> Callable:
+    """Prefixes one word longer than the last heavy ones, counted in each chunk. Only one whose
+    words are all heavy can be heavy itself, so no other is wanted back."""
+    depth = len(heavy) + 1
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for c in _chunks(batches, seed):
+            at = np.flatnonzero(c.left >= depth)
+            h = c.codes[c.words[at]]
+            for d in range(1, depth):
+                kept = _among(h, heavy[d - 1])
+                at, h = at[kept], h[kept]
+                last = c.codes[c.words[at + d]]
+                h = mix(h * _ODD + last)
+            found, first, n = np.unique(h, return_index=True, return_counts=True)
+            yield found, n, _among(last[first], heavy[0])
+
+    return read
+
+
+def _divided(loads: DataFrame, budget: int, load: np.ndarray) -> tuple[np.ndarray, int]:
+    """Add the tasks' loads to ``load`` without those of heavy prefixes; these, and how many
+    suffixes they have. There is less than one for each ``budget`` words of the input."""
+    loads = stage(loads.groupBy("bucket", "prefix").agg(F.sum("n").alias("n")))
+    for bucket, n in loads.where("bucket >= 0").select("bucket", "n").collect():
+        load[bucket] += n
+    rows = loads.where((F.col("bucket") < 0) & (F.col("n") > budget)).select("prefix", "n").collect()
+    heavy = np.array([r.prefix for r in rows], np.int64).view(np.uint64)
+    n = np.array([r.n for r in rows], np.int64)
+    np.subtract.at(load, Groups((), load).bucket(heavy), n)
+    return np.sort(heavy), int(n.sum())
 
 
 def vertical_partition(
@@ -350,15 +359,16 @@ def vertical_partition(
     total = words.agg(F.sum("n").alias("n")).first()["n"] or 0
     budget = budget or max(1, min(GROUP_SUFFIXES, total // LEAST_GROUPS))
     buckets = FINE * max(LEAST_GROUPS, -(-total // budget))
-    prefixes, load, heavy = words.withColumnRenamed("code", "prefix"), 0, []
+    load = np.zeros(buckets, np.int64)
+    counted = words.select("code", "n", F.lit(budget).cast("bigint").alias("budget"))
+    read, heavy = _words_as_prefixes, []
     while True:
-        load += _loads(prefixes, budget, buckets)
-        found, below = _heavy(prefixes, budget)
+        loads = counted.mapInArrow(_bucket_loads(buckets, read), LOAD_SCHEMA)
+        found, below = _divided(loads, budget, load)
         heavy.append(found)
         if not len(found) or len(heavy) == max_words - 1:
             break
-        counted = texts.mapInArrow(_count_prefixes(seed, heavy), PREFIX_SCHEMA)
-        prefixes = stage(counted.groupBy("prefix").agg(F.sum("n").alias("n")))
+        counted, read = texts, _longer_prefixes(seed, list(heavy))
     load += -(-below // buckets)
     return Groups(tuple(heavy), (np.cumsum(load) - load) // budget)
 
@@ -493,7 +503,8 @@ WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[.,;:!?
--]')) AS piece FROM documents
+-
+]')) AS piece FROM documents
 ), split AS (
   SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces
 ), grams AS (
