@@ -200,7 +200,7 @@ def event_versions(events: DataFrame) -> DataFrame:
 
 def customer_segments(orders: DataFrame) -> DataFrame:
     """Type-2 history of customers' segments by the trailing-year rule."""
-    log = segment_log(orders, "o_custkey", "o_orderdate")
+    log = segment_log(orders, "o_custkey", "o_orderdate", cancelled() == 0)
     return scd2_build(log, "o_custkey", ["segmento"], "fecha_cambio")
 
 
@@ -284,7 +284,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def segment_changes(silver: dict[str, DataFrame]) -> DataFrame:
     """Passengers turn ``frecuente`` by the trailing-year rule, else keep their own segment."""
     own = silver["pasajeros"].select("pasajero_id", F.col("segmento").alias("_own"))
-    log = segment_log(silver["reservas"], "pasajero_id", "fecha_reserva")
+    confirmed = F.col("es_cancelada") == 0
+    log = segment_log(silver["reservas"], "pasajero_id", "fecha_reserva", confirmed)
     return log.join(own, "pasajero_id").select(
         "pasajero_id",
         "fecha_cambio",

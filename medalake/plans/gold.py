@@ -160,34 +160,63 @@ def build_dim_table(
     raise ValueError(f"no dimension called {name!r}")
 
 
-# Segment rule: more than this many bookings within the trailing window of days is frequent.
+# Segment rule: more than this many confirmed bookings within the trailing window of days is
+# frequent; an id with no more than NEW_UP_TO confirmed bookings so far is new.
 FREQUENT_ABOVE = 5
 TRAILING_DAYS = 365
+NEW_UP_TO = 1
+SEGMENTS = ("nuevo", "ocasional", "frecuente")
 
 
-def rolling_bookings(bookings: DataFrame, key: str, at: str) -> DataFrame:
-    """(key, dia, reservas_dia, reservas_12m): bookings of the day and of the trailing year.
+def segment_days(
+    bookings: DataFrame, key: str, at: str, confirmed: Column | None = None
+) -> DataFrame:
+    """Each id's counts and segment on every day on which they can change.
+
+    ``confirmed`` tells which bookings count; cancelled ones only make an id known. A confirmed
+    booking counts from its day on for ``TRAILING_DAYS`` days: it is an event of +1 on its day and
+    of -1 on the day it expires, so an id falls back on that day and not at its next booking.
 
-    Bookings are counted per id and day before the window, so an id holds one row per calendar
-    day at most, whatever its share of all bookings.
+    Returns (key, dia, reservas_dia, reservas_12m, reservas_total, segmento). Events are summed
+    per id and day before the window, so an id holds two rows per calendar day at most, whatever
+    its share of all bookings. Rows without an id or a time are left out.
     """
-    daily = bookings.groupBy(key, day(F.col(at)).alias("dia")).agg(
-        F.count(F.lit(1)).alias("reservas_dia")
+    counted = F.lit(True) if confirmed is None else F.coalesce(confirmed, F.lit(False))
+    daily = (
+        bookings.select(key, day(F.col(at)).alias("dia"), counted.alias("_counts"))
+        .where(F.col(key).isNotNull() & F.col("dia").isNotNull())
+        .groupBy(key, "dia").agg(F.count_if("_counts").alias("n"))
+    )
+    expiry = F.struct(
+        F.date_add("dia", TRAILING_DAYS).alias("dia"), F.lit(0).cast("bigint").alias("booked"),
+        (-F.col("n")).alias("change"),
+    )
+    booking = F.struct(F.col("dia"), F.col("n").alias("booked"), F.col("n").alias("change"))
+    events = F.when(F.col("n") > 0, F.array(booking, expiry)).otherwise(F.array(booking))
+    summed = (
+        daily.select(key, F.inline(events)).groupBy(key, "dia")
+        .agg(F.sum("booked").alias("reservas_dia"), F.sum("change").alias("_change"))
+    )
+    so_far = Window.partitionBy(key).orderBy("dia").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    trailing = (
-        Window.partitionBy(key)
-        .orderBy(F.unix_date("dia"))
-        .rangeBetween(-(TRAILING_DAYS - 1), Window.currentRow)
+    new, occasional, frequent = (F.lit(x) for x in SEGMENTS)
+    segment = (
+        F.when(F.col("reservas_12m") > FREQUENT_ABOVE, frequent)
+        .when(F.col("reservas_total") <= NEW_UP_TO, new)
+        .otherwise(occasional)
     )
-    return daily.withColumn("reservas_12m", F.sum("reservas_dia").over(trailing))
+    return summed.select(
+        key, "dia", "reservas_dia",
+        F.sum("_change").over(so_far).alias("reservas_12m"),
+        F.sum("reservas_dia").over(so_far).alias("reservas_total"),
+    ).withColumn("segmento", segment)
 
 
 def segment_log(
-    bookings: DataFrame, key: str, at: str, otherwise: Column | str = "ocasional"
+    bookings: DataFrame, key: str, at: str, confirmed: Column | None = None
 ) -> DataFrame:
-    """Segment each id has from each booking day on, by the trailing-year rule."""
-    calm = F.lit(otherwise) if isinstance(otherwise, str) else otherwise
-    segment = F.when(F.col("reservas_12m") > FREQUENT_ABOVE, F.lit("frecuente")).otherwise(calm)
-    return rolling_bookings(bookings, key, at).select(
-        key, F.col("dia").alias("fecha_cambio"), segment.alias("segmento")
+    """(key, fecha_cambio, segmento): segment each id has from each of its ``segment_days`` on."""
+    return segment_days(bookings, key, at, confirmed).select(
+        key, F.col("dia").alias("fecha_cambio"), "segmento"
     )

@@ -496,26 +496,38 @@ Q["semi_changed"] = f"""
     WHERE c_custkey IN (SELECT user_id FROM versions GROUP BY user_id HAVING COUNT(*) > 1)"""
 
 
-def _rolling(table: str, key: str, at: str) -> str:
+def _segments(table: str, key: str, at: str, confirmed: str) -> str:
+    """The segment rule by counting: on a booking's day and on the day it expires, confirmed
+    bookings of the year before and of all time."""
     return f"""
-    daily AS (
-        SELECT {key}, CAST({at} AS DATE) AS dia, COUNT(*) AS n FROM {table} GROUP BY 1, 2
+    booked AS (
+        SELECT {key}, CAST({at} AS DATE) AS dia, COUNT(*) FILTER (WHERE {confirmed}) AS n
+        FROM {table} WHERE {key} IS NOT NULL AND {at} IS NOT NULL GROUP BY 1, 2
+    ),
+    moments AS (
+        SELECT {key}, dia FROM booked
+        UNION
+        SELECT {key}, CAST(dia + INTERVAL 365 DAYS AS DATE) FROM booked WHERE n > 0
+    ),
+    counted AS (
+        SELECT m.{key}, m.dia,
+               {_big('SUM(CASE WHEN b.dia = m.dia THEN n ELSE 0 END)')} AS reservas_dia,
+               {_big('SUM(CASE WHEN b.dia > m.dia - INTERVAL 365 DAYS THEN n ELSE 0 END)')}
+                   AS reservas_12m,
+               {_big('SUM(n)')} AS reservas_total
+        FROM moments m JOIN booked b ON b.{key} = m.{key} AND b.dia <= m.dia
+        GROUP BY 1, 2
     ),
     rolling AS (
-        SELECT {key}, dia, n AS reservas_dia,
-               {_big(f'''SUM(n) OVER (PARTITION BY {key} ORDER BY dia
-                    RANGE BETWEEN INTERVAL 364 DAYS PRECEDING AND CURRENT ROW)''')}
-                   AS reservas_12m
-        FROM daily
+        SELECT *, CASE WHEN reservas_12m > 5 THEN 'frecuente'
+                       WHEN reservas_total <= 1 THEN 'nuevo' ELSE 'ocasional' END AS segmento
+        FROM counted
     )"""
 
 
-ROLLING = _rolling("orders", "o_custkey", "o_orderdate")
+ROLLING = _segments("orders", "o_custkey", "o_orderdate", "o_orderstatus <> 'F'")
 Q["rolling_segment"] = f"WITH {ROLLING} SELECT * FROM rolling"
-SEGMENT_LOG = """
-    SELECT o_custkey, dia AS day,
-           CASE WHEN reservas_12m > 5 THEN 'frecuente' ELSE 'ocasional' END AS segmento
-    FROM rolling"""
+SEGMENT_LOG = "SELECT o_custkey, dia AS day, segmento FROM rolling"
 SEGMENTED = f"{ROLLING}, {_versions(SEGMENT_LOG, 'o_custkey', 'segmento')}"
 Q["revenue_by_segment_asof"] = f"""
     WITH {SEGMENTED}
@@ -692,11 +704,11 @@ _CHANGE_LOG = """
         SELECT pasajero_id, DATE '1990-01-01' AS day, segmento FROM silver_pasajeros
         UNION ALL
         SELECT r.pasajero_id, dia,
-               CASE WHEN reservas_12m > 5 THEN 'frecuente' ELSE p.segmento END
+               CASE WHEN r.segmento = 'frecuente' THEN r.segmento ELSE p.segmento END
         FROM rolling r JOIN silver_pasajeros p ON r.pasajero_id = p.pasajero_id
     )"""
 GOLD = f"""{SILVER},
-    {_rolling('silver_reservas', 'pasajero_id', 'fecha_reserva')},
+    {_segments('silver_reservas', 'pasajero_id', 'fecha_reserva', 'es_cancelada = 0')},
     {_versions(_CHANGE_LOG, 'pasajero_id', 'segmento')},
     {_spine('''
         SELECT LEAST((SELECT MIN(fecha_reserva) FROM silver_reservas),

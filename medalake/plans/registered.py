@@ -23,7 +23,7 @@ from medalake.operators.star import (
     Star, lookup, orphan_counts, resolve_orphans, wide_view,
 )
 from medalake.plans import catalogue as cat, fixture as fx
-from medalake.plans.gold import DIMS, GOLD_CHECKS, rolling_bookings
+from medalake.plans.gold import DIMS, GOLD_CHECKS, segment_days
 from medalake.plans.silver import SPECS, silver_table
 from medalake.session import stage
 
@@ -533,7 +533,9 @@ def semi_changed(spark, sf):
 
 @register
 def rolling_segment(spark, sf):
-    return rolling_bookings(fx.table(spark, sf, "orders"), "o_custkey", "o_orderdate")
+    """Counts and segment of each customer on every day on which they can change."""
+    orders = fx.table(spark, sf, "orders")
+    return segment_days(orders, "o_custkey", "o_orderdate", fx.cancelled() == 0)
 
 
 def _segment_input(spark, sf):
