@@ -104,3 +104,28 @@ def surrogate_key(
         .join(F.broadcast(offsets), "_bucket")
         .select((F.col("_offset") + F.col("_inside")).cast("bigint").alias(name), *df.columns)
     )
+
+
+def stable_keys(
+    df: DataFrame, name: str, natural_key: Sequence[str], registry: DataFrame | None = None,
+    small: bool = False,
+) -> DataFrame:
+    """Registry of surrogate keys after ``df``: natural key and ``name`` of every row ever seen.
+
+    A natural key keeps the number that the ``registry`` of the run before gives it, also while its
+    row is gone; new ones follow the highest number in natural-key order. Without a registry this
+    numbers as ``surrogate_key`` does. Natural keys must not be null.
+    """
+    if registry is None:
+        return surrogate_key(df.select(*natural_key), name, natural_key, small=small)
+    new = df.select(*natural_key).join(registry, list(natural_key), "left_anti")
+    last = registry.agg(F.max(name).alias("last"))
+    keyed = surrogate_key(new, name, natural_key, start=last, small=small)
+    return registry.select(name, *natural_key).unionByName(keyed)
+
+
+def with_stable_key(
+    df: DataFrame, name: str, natural_key: Sequence[str], registry: DataFrame
+) -> DataFrame:
+    """Prepend ``name`` as ``registry``, made by ``stable_keys`` over ``df``, has it."""
+    return df.join(registry, list(natural_key)).select(name, *df.columns)

@@ -137,10 +137,12 @@ def scd2_apply(
     carry: Sequence[str] = (),
     sk: str | None = None,
     history: DataFrame | None = None,
+    broadcast_keys: bool = False,
 ) -> DataFrame:
     """Apply a batch of new states: close what changed, insert what is new.
 
-    Ids without updates pass through untouched. With ``history``, the log rows applied before,
+    Ids without updates pass through untouched, and without a shuffle if ``broadcast_keys`` says
+    that the caller has counted the updated ids and they are few. With ``history``, the log rows applied before,
     updated ids are built anew from all their rows, so the outcome equals one build over the whole
     log whatever order rows arrive in. Without it, versions of updated ids re-enter as log rows
     ahead of the updates; that equals one build only if an id's batches arrive in date order, as
@@ -149,6 +151,7 @@ def scd2_apply(
     versions continue after the highest key.
     """
     touched = updates.select(key).distinct()
+    touched = F.broadcast(touched) if broadcast_keys else touched
     ids = [sk] if sk else []
     state = [key, *tracked, *carry]
     at = updates.schema[effective].dataType

@@ -53,6 +53,11 @@ GOLD_CHECKS = (
 )
 
 
+# Natural keys of the type-1 dimensions and the calendar, and which of them are small.
+NATURAL_KEYS = {"tiempo": "fecha", "vuelo": "vuelo_id", "ruta": "ruta_id", "canal": "canal_id"}
+SMALL_DIMS = ("tiempo", "ruta", "canal")
+
+
 def build_dim(
     df: DataFrame, sk: str, natural_key: str, attributes: Sequence[str], small: bool = False
 ) -> DataFrame:
@@ -115,9 +120,10 @@ def build_dim_pasajero(
 
 
 def build_fact(
-    reservas: DataFrame, star_dims: Star, orphans: str = "drop", end: str = "date"
+    reservas: DataFrame, star_dims: Star, orphans: str = "drop", end: str = "date",
+    beside: Sequence[str] = (),
 ) -> DataFrame:
-    """Bookings with their surrogate keys.
+    """Bookings with their surrogate keys, and the columns ``beside`` of the bookings.
 
     Booking → flight → route is resolved on the flight side first: facts, the big side, then need
     a single lookup for both keys.
@@ -136,7 +142,7 @@ def build_fact(
         fact, star_dims.pasajero, "pasajero_id", "fecha_reserva", ["pasajero_sk"], end=end,
         how="inner" if orphans == "drop" else "left",
     )
-    return resolve_orphans(fact.select(*FACT_COLUMNS), FACT_KEYS, orphans)
+    return resolve_orphans(fact.select(*FACT_COLUMNS, *beside), FACT_KEYS, orphans)
 
 
 def build_dim_table(

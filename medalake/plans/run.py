@@ -14,6 +14,7 @@ from medalake.operators.scd import DW_EPOCH, scd2_stats
 from medalake.operators.star import MONTH, Star, orphan_measures, resolve_orphans
 from medalake.plans import catalogue, silver as silver_plan
 from medalake.plans.gold import DIMS, FACT_KEYS, GOLD_CHECKS, build_dim_table, build_fact
+from medalake.plans.incremental import read_parts, refresh_changed, with_month
 from medalake.schemas import BRONZE, TABLES
 from medalake.session import concurrently, staging
 from medalake.sources.jdbc import Split, read_jdbc
@@ -63,18 +64,24 @@ def land(source: Mapping[str, DataFrame], root: str, name: str, at: datetime) ->
     return labels[0]
 
 
-def refresh_silver(spark: SparkSession, root: str, on_error: str = "null") -> None:
-    """Clean the latest snapshots."""
+def refresh_silver(
+    spark: SparkSession, root: str, on_error: str = "null", by_month: bool = False
+) -> None:
+    """Clean the latest snapshots. ``by_month`` stores bookings by month, for ``refresh_changes``,
+    which then reads no more than the months that it builds."""
 
     def refresh(table: str) -> None:
-        bronze = read_snapshot(spark, root, table)
-        write_layer(silver_plan.silver_table(table, bronze, on_error), root, "silver", table)
+        silver = silver_plan.silver_table(table, read_snapshot(spark, root, table), on_error)
+        if by_month and table == "reservas":
+            write_layer(with_month(silver), root, "silver", table, partition_by=[MONTH])
+        else:
+            write_layer(silver, root, "silver", table)
 
     concurrently([lambda t=t: refresh(t) for t in TABLES])
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {t: read_layer(spark, root, "silver", t) for t in TABLES}
+    return {t: read_layer(spark, root, "silver", t).drop(MONTH) for t in TABLES}
 
 
 def refresh_gold(
@@ -123,15 +130,27 @@ def _refresh_gold(spark, root, changes, epoch, orphans, end, week_start, version
     return counts
 
 
+def refresh_changes(
+    spark: SparkSession, root: str, epoch: date = DW_EPOCH, as_of: date | None = None,
+    orphans: str = "drop", end: str = "date", week_start: str = "monday",
+    version: str | None = None,
+) -> dict[str, int]:
+    """``refresh_gold`` from what changed in silver since the version before; see
+    ``plans.incremental``. Passengers' changes come from the data: a new segment in a snapshot is
+    valid from that snapshot's day on."""
+    silver = {t: read_layer(spark, root, "silver", t) for t in TABLES}
+    return refresh_changed(spark, root, silver, epoch, as_of, orphans, end, week_start, version)
+
+
 def read_gold(spark: SparkSession, root: str, table: str) -> DataFrame:
     """One table of the newest complete star."""
-    return read_layer(spark, root, f"gold/{current_version(spark, root, 'gold')}", table)
+    return read_parts(spark, root, current_version(spark, root, "gold"), table)
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
-    gold = f"gold/{current_version(spark, root, 'gold')}"
-    dims = {name: read_layer(spark, root, gold, f"dim_{name}") for name in DIMS}
-    return Star(read_layer(spark, root, gold, "fact_reservas"), **dims)
+    version = current_version(spark, root, "gold")
+    dims = {name: read_parts(spark, root, version, f"dim_{name}") for name in DIMS}
+    return Star(read_parts(spark, root, version, "fact_reservas"), **dims)
 
 
 def quality_report(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -175,11 +194,18 @@ def run(
     at: datetime,
     changes: Changes | None = None,
     epoch: date = DW_EPOCH,
+    incremental: bool = False,
 ) -> Star:
-    """Whole refresh: land, clean, model, publish the serving extract."""
+    """Whole refresh: land, clean, model, publish the serving extract. ``incremental`` models what
+    changed since the version before; changes of passengers then come from the snapshots."""
+    if incremental and changes:
+        raise ValueError("an incremental refresh finds the changes itself")
     land(source, root, name, at)
-    refresh_silver(spark, root)
-    refresh_gold(spark, root, changes, epoch)
+    refresh_silver(spark, root, by_month=incremental)
+    if incremental:
+        refresh_changes(spark, root, epoch)
+    else:
+        refresh_gold(spark, root, changes, epoch)
     star = read_star(spark, root)
     write_extract(serving_results(star), f"{root.rstrip('/')}/extract")
     return star

@@ -31,5 +31,6 @@ BRONZE = {
 }
 
 AUDIT = "_extraido_en timestamp_ntz, _fuente string"
+AUDIT_COLUMNS = ("_extraido_en", "_fuente")
 
 TABLES = tuple(BRONZE)

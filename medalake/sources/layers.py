@@ -64,6 +64,19 @@ def current_version(spark: SparkSession, root: str, layer: str) -> str:
     return versions[-1]
 
 
+def list_tables(spark: SparkSession, root: str, layer: str) -> list[str]:
+    """Names of the folders of a layer, or of a table's partitions."""
+    fs, target = _file_system(spark, f"{root.rstrip('/')}/{layer}")
+    if not fs.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
+
+
+def drop_path(spark: SparkSession, root: str, path: str) -> None:
+    fs, target = _file_system(spark, f"{root.rstrip('/')}/{path}")
+    fs.delete(target, True)
+
+
 def drop_versions(spark: SparkSession, root: str, layer: str, keep: int) -> None:
     """Delete all but the newest complete versions: the mark first, then the tables."""
     for version in complete_versions(spark, root, layer)[: -max(1, keep)]:

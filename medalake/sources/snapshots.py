@@ -18,16 +18,14 @@ def snapshot_label(at: datetime) -> str:
 
 
 def write_snapshot(df: DataFrame, root: str, table: str, source: str, at: datetime) -> str:
-    """Land a table as one snapshot. A rerun within the same minute replaces that snapshot only."""
+    """Land a table as one snapshot. A rerun within the same minute replaces that snapshot only.
+    A table without rows is a snapshot too."""
     label = snapshot_label(at)
     (
         df.withColumn("_extraido_en", F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"))
         .withColumn("_fuente", F.lit(source))
-        .withColumn(SNAPSHOT, F.lit(label))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SNAPSHOT)
-        .parquet(layer_path(root, "bronze", table))
+        .parquet(f"{layer_path(root, 'bronze', table)}/{SNAPSHOT}={label}")
     )
     return label
 
