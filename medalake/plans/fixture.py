@@ -7,7 +7,7 @@ priorities channels. ``bronze`` maps them to the six bronze tables in full (line
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -321,3 +321,36 @@ def gold_star(spark: SparkSession, sf_dir: str, orphans: str = "drop") -> Star:
     )
     dims = dict(zip(DIMS, dims))
     return Star(build_fact(silver["reservas"], Star(None, **dims), orphans), **dims)
+
+
+# The day between two states of the booking system.
+SNAPSHOT_DAY = datetime(2000, 1, 1)
+
+
+def earlier_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The booking system on ``SNAPSHOT_DAY``, of which ``bronze`` is a later state: bookings made
+    so far, flights of large aircraft not yet listed, and customers in debt in another segment."""
+    now = bronze(spark, sf_dir)
+    debtors = table(spark, sf_dir, "customer").where("c_acctbal < 0").select(
+        F.col("c_custkey").alias("pasajero_id"), F.lit("BUILDING").alias("_segmento")
+    )
+    pasajeros = now["pasajeros"].join(debtors, "pasajero_id", "left")
+    return now | {
+        "reservas": now["reservas"].where(F.col("fecha_reserva") < F.lit(SNAPSHOT_DAY)),
+        "vuelos": now["vuelos"].where("capacidad_asientos <= 40"),
+        "pasajeros": pasajeros.withColumn(
+            "segmento", F.coalesce("_segmento", "segmento")
+        ).drop("_segmento"),
+    }
+
+
+def order_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders at the end of 1999, those of that year still open, and orders now, those before
+    1996 archived."""
+    orders = table(spark, sf_dir, "orders")
+    then = orders.where("o_orderdate < DATE '2000-01-01'").withColumn(
+        "o_orderstatus",
+        F.when(F.col("o_orderdate") >= F.lit(date(1999, 1, 1)), F.lit("O"))
+        .otherwise(F.col("o_orderstatus")),
+    )
+    return then, orders.where("o_orderdate >= DATE '1996-01-01'")

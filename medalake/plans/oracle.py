@@ -707,9 +707,12 @@ _CHANGE_LOG = """
                CASE WHEN r.segmento = 'frecuente' THEN r.segmento ELSE p.segmento END
         FROM rolling r JOIN silver_pasajeros p ON r.pasajero_id = p.pasajero_id
     )"""
-GOLD = f"""{SILVER},
+_LOGGED = f"""
     {_segments('silver_reservas', 'pasajero_id', 'fecha_reserva', 'es_cancelada = 0')},
-    {_versions(_CHANGE_LOG, 'pasajero_id', 'segmento')},
+    {_versions(_CHANGE_LOG, 'pasajero_id', 'segmento')}"""
+_SPLIT = "@versions@"
+_STAR = f"""{SILVER},
+    {_SPLIT},
     {_spine('''
         SELECT LEAST((SELECT MIN(fecha_reserva) FROM silver_reservas),
                      (SELECT MIN(fecha_vuelo) FROM silver_vuelos)) AS lo,
@@ -740,6 +743,7 @@ GOLD = f"""{SILVER},
              JOIN dim_pasajero p ON r.pasajero_id = p.pasajero_id
                   AND CAST(fecha_reserva AS DATE) BETWEEN valido_desde AND valido_hasta
     )"""
+GOLD = _STAR.replace(_SPLIT, _LOGGED)
 for _name in ("dim_tiempo", "dim_vuelo", "dim_ruta", "dim_canal", "dim_pasajero", "fact_reservas"):
     Q[f"gold_{_name}"] = f"WITH {GOLD} SELECT * FROM {_name}"
 Q["gold_monthly"] = f"""
@@ -823,6 +827,47 @@ Q["gold_wide_view"] = f"""
          JOIN dim_ruta USING (ruta_sk) JOIN dim_pasajero USING (pasajero_sk)
          JOIN dim_canal USING (canal_sk)"""
 
+# Two snapshots: the segment of customers in debt is another one until the second.
+_SNAPSHOTS = """
+    SELECT pasajero_id, DATE '1990-01-01' AS day,
+           CASE WHEN c_acctbal < 0 THEN 'building' ELSE segmento END AS segmento
+    FROM silver_pasajeros JOIN customer ON c_custkey = pasajero_id
+    UNION ALL
+    SELECT pasajero_id, DATE '2000-01-01', segmento FROM silver_pasajeros"""
+GROWN = _STAR.replace(_SPLIT, _versions(_SNAPSHOTS, "pasajero_id", "segmento"))
+Q["gold_incremental"] = Q["gold_wide_view"].replace(GOLD, GROWN)
+Q["gold_incremental_pasajero"] = f"""
+    WITH {GROWN}
+    SELECT CASE WHEN first THEN ROW_NUMBER() OVER (PARTITION BY first ORDER BY pasajero_id)
+                ELSE (SELECT COUNT(*) FROM silver_pasajeros)
+                     + ROW_NUMBER() OVER (PARTITION BY first ORDER BY pasajero_id)
+           END AS pasajero_sk, * EXCLUDE (first, pasajero_sk)
+    FROM (SELECT *, valido_desde = DATE '1990-01-01' AS first FROM dim_pasajero)"""
+Q["gold_quarantine"] = f"""
+    WITH {SILVER}
+    SELECT reserva_id, motivo, pasajero_id, vuelo_id, canal_id,
+           strftime(fecha_reserva, '%Y-%m') AS anio_mes
+    FROM silver_reservas JOIN part ON p_partkey = vuelo_id,
+         (VALUES ('sin_vuelo_sk'), ('sin_ruta_sk')) reasons(motivo)
+    WHERE fecha_reserva < DATE '2000-01-01' AND p_size > 40"""
+Q["stable_keys"] = """
+    SELECT CASE WHEN c_acctbal < 0 THEN 0 ELSE (SELECT COUNT(*) FROM customer WHERE c_acctbal < 0) END
+           + ROW_NUMBER() OVER (PARTITION BY c_acctbal < 0 ORDER BY c_custkey) AS c_sk, c_custkey
+    FROM customer"""
+Q["snapshot_changes"] = """
+    WITH then_ AS (
+        SELECT * REPLACE (CASE WHEN o_orderdate >= DATE '1999-01-01' THEN 'O'
+                               ELSE o_orderstatus END AS o_orderstatus)
+        FROM orders WHERE o_orderdate < DATE '2000-01-01'
+    ),
+    now_ AS (SELECT * FROM orders WHERE o_orderdate >= DATE '1996-01-01')
+    SELECT 'insert' AS cambio, * FROM now_ WHERE o_orderkey NOT IN (SELECT o_orderkey FROM then_)
+    UNION ALL
+    SELECT 'delete', * FROM then_ WHERE o_orderkey NOT IN (SELECT o_orderkey FROM now_)
+    UNION ALL
+    SELECT 'update', n.* FROM now_ n JOIN then_ t ON n.o_orderkey = t.o_orderkey
+    WHERE n.o_orderstatus <> t.o_orderstatus"""
+
 _DIM_KEYS = {
     "dim_tiempo": ("tiempo_sk", "fecha"), "dim_vuelo": ("vuelo_sk", "vuelo_id"),
     "dim_ruta": ("ruta_sk", "ruta_id"), "dim_canal": ("canal_sk", "canal_id"),

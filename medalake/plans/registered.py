@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,20 +12,21 @@ from medalake.functions import as_double, as_int, lower_strip, map_values, strip
 from medalake.functions.dates import weekday
 from medalake.functions.numbers import from_units, money_misfits, money_sum, money_units
 from medalake.operators.calendar import bounded, calendar_dim, date_range, span_of
+from medalake.operators.changes import snapshot_changes
 from medalake.operators.checks import Check, run_checks
 from medalake.operators.clean import clean, quality_ledger, quality_summary
 from medalake.operators.dedupe import dedupe
-from medalake.operators.keys import surrogate_key
+from medalake.operators.keys import stable_keys, surrogate_key
 from medalake.operators.scd import (
     pit_join, scd2_apply, scd2_from_base, scd2_stats, single_version,
 )
 from medalake.operators.star import (
     Star, lookup, orphan_counts, resolve_orphans, wide_view,
 )
-from medalake.plans import catalogue as cat, fixture as fx
+from medalake.plans import catalogue as cat, fixture as fx, run
 from medalake.plans.gold import DIMS, GOLD_CHECKS, segment_days
 from medalake.plans.silver import SPECS, silver_table
-from medalake.session import stage
+from medalake.session import scratch_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -563,6 +564,52 @@ def pre_post_change(spark, sf):
     )
 
 
+# --- states of the source compared ------------------------------------------------------------
+
+
+@register("snapshot_changes")
+def _snapshot_changes(spark, sf):
+    """Inserted, updated and deleted orders between two states of the table."""
+    return snapshot_changes(*fx.order_states(spark, sf), ["o_orderkey"])
+
+
+@register("stable_keys")
+def _stable_keys(spark, sf):
+    """Keys of all customers where customers in debt were numbered a run before."""
+    customer = fx.table(spark, sf, "customer")
+    first = stage(stable_keys(customer.where("c_acctbal < 0"), "c_sk", ["c_custkey"]))
+    return stable_keys(customer, "c_sk", ["c_custkey"], first)
+
+
+def _grown_lake(spark, sf, states: int) -> str:
+    """A lake after refreshes from the earlier and, for two ``states``, the present bronze."""
+    root = scratch_folder(spark, "lake")
+    days = (fx.SNAPSHOT_DAY - timedelta(days=1), fx.SNAPSHOT_DAY)
+    for make, day in list(zip((fx.earlier_bronze, fx.bronze), days))[:states]:
+        run.land(make(spark, sf), root, "fixture", day)
+        run.refresh_silver(spark, root, by_month=True)
+        run.refresh_changes(spark, root, fx.EPOCH, version=f"{day:%Y%m%d}")
+    return root
+
+
+@register
+def gold_incremental(spark, sf):
+    """The wide view of a star that a second refresh brought up to date."""
+    return wide_view(run.read_star(spark, _grown_lake(spark, sf, 2)))
+
+
+@register
+def gold_incremental_pasajero(spark, sf):
+    """Passenger versions after the second refresh, with keys that the first one gave."""
+    return run.read_gold(spark, _grown_lake(spark, sf, 2), "dim_pasajero")
+
+
+@register
+def gold_quarantine(spark, sf):
+    """Bookings that the first refresh could not place, by reason."""
+    return run.read_gold(spark, _grown_lake(spark, sf, 1), "cuarentena")
+
+
 # --- declared tests -------------------------------------------------------------------------
 
 

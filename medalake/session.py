@@ -75,6 +75,14 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own beside the staged tables, which goes with the application."""
+    path = f"{_shared_folder(spark)}/medalake-{name}-{uuid.uuid4().hex}"
+    fs, target = _file_system(spark, path)
+    fs.deleteOnExit(target)
+    return path
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back.
 
