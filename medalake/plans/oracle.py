@@ -868,6 +868,10 @@ Q["snapshot_changes"] = """
     SELECT 'update', n.* FROM now_ n JOIN then_ t ON n.o_orderkey = t.o_orderkey
     WHERE n.o_orderstatus <> t.o_orderstatus"""
 
+Q["published_views"] = """
+    SELECT c_mktsegment, n_name, COUNT(*) AS clientes
+    FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL"""
+
 _DIM_KEYS = {
     "dim_tiempo": ("tiempo_sk", "fecha"), "dim_vuelo": ("vuelo_sk", "vuelo_id"),
     "dim_ruta": ("ruta_sk", "ruta_id"), "dim_canal": ("canal_sk", "canal_id"),

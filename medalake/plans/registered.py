@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, timedelta
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -27,6 +28,7 @@ from medalake.plans import catalogue as cat, fixture as fx, run
 from medalake.plans.gold import DIMS, GOLD_CHECKS, segment_days
 from medalake.plans.silver import SPECS, silver_table
 from medalake.session import scratch_folder, stage
+from medalake.sources.publish import publish_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -610,6 +612,21 @@ def gold_quarantine(spark, sf):
     return run.read_gold(spark, _grown_lake(spark, sf, 1), "cuarentena")
 
 
+@register
+def published_views(spark, sf):
+    """Customers by segment and nation through views that a second publication has switched."""
+    database = f"medalake_{uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_folder(spark, 'published')}'")
+    customer, nation = (fx.table(spark, sf, t) for t in ("customer", "nation"))
+    before = customer.where("c_acctbal >= 0").withColumn("c_mktsegment", F.lit("BUILDING"))
+    for version, rows in (("first", before), ("second", customer)):
+        publish_tables(spark, {"clientes": rows, "paises": nation}, database, version)
+    seen = spark.table(f"{database}.clientes").join(
+        spark.table(f"{database}.paises"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    return seen.groupBy("c_mktsegment", "n_name").agg(F.count(F.lit(1)).alias("clientes"))
+
+
 # --- declared tests -------------------------------------------------------------------------
 
 

@@ -19,7 +19,8 @@ from medalake.schemas import BRONZE, TABLES
 from medalake.session import concurrently, staging
 from medalake.sources.jdbc import Split, read_jdbc
 from medalake.sources.layers import (
-    current_version, mark_complete, read_layer, write_extract, write_layer,
+    current_version, json_document, mark_complete, read_layer, write_document, write_extract,
+    write_layer,
 )
 from medalake.sources.snapshots import read_snapshot, write_snapshot
 
@@ -186,6 +187,40 @@ def serving_results(star: Star) -> dict[str, DataFrame]:
     }
 
 
+def serving_document(star: Star, timings: DataFrame | None = None) -> DataFrame:
+    """The dashboard's one JSON document: ``serving_results`` under the names its reader expects.
+
+    ``timings`` are rows (query, sqlite_ms, duckdb_ms, factor) of a comparison made elsewhere.
+    """
+    spark = star.fact.sparkSession
+    found = serving_results(star)
+    monthly = found["mensual"].select("anio", "mes", "ingresos_M_COP", "reservas", "periodo")
+    names = {name: i for i, name in enumerate(catalogue.WEEKDAYS.values())}
+    day = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("dia")]
+    if timings is None:
+        schema = "query string, sqlite_ms double, duckdb_ms double, factor double"
+        timings = spark.createDataFrame([], schema)
+    lists = {
+        "top_rutas": (found["top_rutas"], [F.desc("ingresos_M_COP"), "ruta"]),
+        "heatmap": (found["heatmap"], [day]),
+        "mensual": (monthly, ["anio", "mes"]),
+        "conversion": (found["conversion"], ["canal", "segmento"]),
+        "benchmark": (timings, ["query"]),
+    }
+    objects = {
+        "kpis": found["kpis"].select(
+            F.col("tasa_cancelacion_pct").alias("tasa_cancelacion"), "ticket_promedio",
+            F.col("ventana_media_dias").alias("ventana_dias"),
+            F.col("ingresos_total_B_COP").alias("ingresos_B"), "total_reservas", "confirmadas",
+        ),
+        "scd2": found["scd2"].select(
+            F.col("ids").alias("pasajeros_unicos"), F.col("versions").alias("filas_dim"),
+            F.col("ids_with_history").alias("con_versiones"),
+        ),
+    }
+    return json_document(spark, lists, objects)
+
+
 def run(
     spark: SparkSession,
     source: Mapping[str, DataFrame],
@@ -208,4 +243,5 @@ def run(
         refresh_gold(spark, root, changes, epoch)
     star = read_star(spark, root)
     write_extract(serving_results(star), f"{root.rstrip('/')}/extract")
+    write_document(serving_document(star), f"{root.rstrip('/')}/data.json")
     return star

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from medalake.operators.star import WIDE_COLUMNS, WIDE_DIMS
 
@@ -133,3 +133,56 @@ def write_extract(results: Mapping[str, DataFrame], root: str) -> None:
         df.write.mode("overwrite").option("ignoreNullFields", "false").json(
             f"{root.rstrip('/')}/{name}"
         )
+
+
+# A list in a serving document has no more rows than this: a consumer reads it whole.
+DOCUMENT_ROWS = 10_000
+
+
+def json_document(
+    spark: SparkSession,
+    lists: Mapping[str, tuple[DataFrame, Sequence[Column | str]]],
+    objects: Mapping[str, DataFrame],
+) -> DataFrame:
+    """One row with one JSON object (``value``): ``lists`` as arrays of objects in the given order,
+    one-row ``objects`` as objects, both under their names with their columns' types and names.
+
+    Nulls are written. A list of more than ``DOCUMENT_ROWS`` rows is an error, met before they are
+    gathered; an object without a row is null.
+    """
+    parts = []
+    for name, (df, order) in lists.items():
+        row = F.struct(F.row_number().over(Window.orderBy(*order)).alias("n"), F.struct("*").alias("r"))
+        # One more than allowed is enough to know.
+        rows = df.limit(DOCUMENT_ROWS + 1).select(row.alias("row"))
+        message = F.lit(f"{name} has more than {DOCUMENT_ROWS} rows")
+        checked = F.when(
+            F.count(F.lit(1)) > DOCUMENT_ROWS, F.raise_error(message).cast("int")
+        ).otherwise(0)
+        sorted_rows = F.transform(F.array_sort(F.collect_list("row")), lambda x: x["r"])
+        parts.append(
+            rows.agg(sorted_rows.alias("rows"), checked.alias("ok"))
+            .select(F.when(F.col("ok") == 0, F.col("rows")).alias("rows")).scalar().alias(name)
+        )
+    for name, df in objects.items():
+        parts.append(df.select(F.struct("*")).scalar().alias(name))
+    options = {"ignoreNullFields": "false"}
+    return spark.range(1).select(F.to_json(F.struct(*parts), options).alias("value"))
+
+
+def write_document(document: DataFrame, path: str) -> None:
+    """Write a one-row text frame as the single file ``path``, replacing it in one rename."""
+    spark = document.sparkSession
+    folder = f"{path}.tmp"
+    document.coalesce(1).write.mode("overwrite").text(folder)
+    fs, written = _file_system(spark, folder)
+    (part,) = [f.getPath() for f in fs.listStatus(written) if f.getPath().getName().startswith("part-")]
+    _, target = _file_system(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    kind = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    target = fs.makeQualified(target)
+    context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(part), target, how)
+    fs.delete(written, True)
