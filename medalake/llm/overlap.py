@@ -14,11 +14,12 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from hashlib import blake2b
 from math import log2
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from medalake.llm.common import components, stage, table
 from medalake.llm.shingles import shingle_sets
@@ -251,9 +252,10 @@ def rare_shingles(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def divide_skip(
-    sets: list[np.ndarray], sides: list[int] | None = None
+    sets: list[np.ndarray], sides: list[int] | None = None, joined: list[int] | None = None
 ) -> Iterator[tuple[int, int]]:
-    """All linked pairs of sets, each once; with ``sides``, those between side 0 and side 1.
+    """All linked pairs of sets, each once; with ``sides``, those between side 0 and side 1; with
+    ``joined``, those of sets with different numbers there.
 
     Sets are taken by ascending size, and each searches those before it. Of its shingles' inverted
     lists the L longest are left out of the heap, L by the method's cost formula: whoever reaches T
@@ -308,6 +310,8 @@ def divide_skip(
         for y, seen in candidates:
             if sides is not None and side[y] == side[x]:
                 continue
+            if joined is not None and joined[by_size[y]] == joined[by_size[x]]:
+                continue
             needed, left = _needed(n, sizes[y]), len(long)
             for _, found, low, high in reversed(long):
                 if seen >= needed or seen + left < needed:
@@ -319,109 +323,166 @@ def divide_skip(
                 yield by_size[x], by_size[y]
 
 
-LINK_SCHEMA = "node binary, other binary, links bigint"
+LINK_SCHEMA = "node binary, other binary"
 
 
 def _search_group(data: pa.Table) -> pa.Table:
-    """Group: a spanning forest of its links as edges, and every node's number of links."""
-    names, weights = data.column("node").to_pylist(), data.column("weight").to_pylist()
-    texts, sides = data.column("text").to_pylist(), data.column("side").to_pylist()
+    """Group: a spanning forest of its links as edges, none between nodes joined before."""
+    names, texts = data.column("node").to_pylist(), data.column("text").to_pylist()
+    sides, joined = data.column("side").to_pylist(), data.column("joined").to_pylist()
     within = bool(data.column("within")[0].as_py())
-    parent = list(range(len(names)))
+    # Nodes of one component begin as one tree.
+    first = {c: i for i, c in reversed(list(enumerate(joined)))}
+    parent = [first[c] for c in joined]
 
     def root(i: int) -> int:
         while parent[i] != i:
             parent[i] = i = parent[parent[i]]
         return i
 
-    out, links = [], [0] * len(names)
-    if len(names) > 1:
-        for x, y in divide_skip(shingle_sets(texts, SHINGLE), None if within else sides):
-            links[x] += weights[y]
-            links[y] += weights[x]
+    out = []
+    if len(first) > 1:
+        numbers = None if len(first) == len(names) else [first[c] for c in joined]
+        sets = shingle_sets(texts, SHINGLE)
+        for x, y in divide_skip(sets, None if within else sides, numbers):
             a, b = root(x), root(y)
             if a != b:
                 parent[a] = b
-                out.append((names[x], names[y], None))
-    out += [(name, None, n) for name, n in zip(names, links) if n]
-    columns = zip(*out) if out else [[]] * 3
-    types = [pa.binary(), pa.binary(), pa.int64()]
-    return pa.table([pa.array(c, t) for c, t in zip(columns, types)], ["node", "other", "links"])
+                out.append((names[x], names[y]))
+    columns = zip(*out) if out else [[]] * 2
+    return pa.table([pa.array(c, pa.binary()) for c in columns], ["node", "other"])
 
 
-def _groups(nodes: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Each candidate node with every group in which it is searched.
+# A pair of blocks that are searched against each other, or one block within itself.
+PAIR = "struct<b1: bigint, i: struct<own: binary, k: int>, b2: bigint, j: struct<own: binary, k: int>, side: int, within: boolean>"
 
-    A candidate component of up to ``GROUP`` nodes is one group. A larger one is cut into bands of
-    sizes, such that links stay within a band or go to the next one, and bands into blocks of about
-    ``GROUP`` nodes; a group is a pair of blocks, so a hot component is searched by many tasks.
-    """
-    placed = candidates.join(nodes, "node")
+
+def _pair(low_band, low, high_band, high, side, within):
+    return F.struct(
+        low_band.alias("b1"), low.alias("i"), high_band.alias("b2"), high.alias("j"),
+        F.lit(side).alias("side"), F.lit(within).alias("within"),
+    ).cast(PAIR)
+
+
+def _block(k) -> Column:
+    """Name of a block without a component of its own."""
+    return F.struct(F.lit(None).cast("binary").alias("own"), k.cast("int").alias("k"))
+
+
+def _banded(nodes: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Candidate nodes with the size of their candidate component, cut into bands of sizes if it
+    is beyond ``GROUP``: links stay within a band or go to the next one."""
     # A little wider than the largest ratio of linked sizes, so that rounding skips no band.
     width = 1.0001 * -F.log(F.lit(PART / WHOLE))
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / width)
     sizes = candidates.groupBy("root").agg(F.count(F.lit(1)).alias("all"))
-    placed = placed.join(sizes, "root").withColumn(
-        "band", F.when(F.col("all") <= GROUP, F.lit(0).cast("bigint")).otherwise(band)
+    return candidates.join(nodes, "node").join(sizes, "root").select(
+        "node", "rep", "root", "all",
+        F.when(F.col("all") <= GROUP, F.lit(0).cast("bigint")).otherwise(band).alias("band"),
     )
-    banded = placed.groupBy("root", "band").agg(
+
+
+def _neighbours(banded: DataFrame, *columns: str) -> DataFrame:
+    """Bands of a component with what the bands next to them hold, as ``above_…``, ``below_…``."""
+    out = banded
+    for by, name in ((1, "above"), (-1, "below")):
+        near = banded.select(
+            "root", (F.col("band") - by).alias("band"), *[F.col(c).alias(f"{name}_{c}") for c in columns]
+        )
+        out = out.join(near, ["root", "band"], "left")
+    return out
+
+
+def _first_groups(placed: DataFrame) -> DataFrame:
+    """Groups of the first search: a candidate component of up to ``GROUP`` nodes is searched
+    whole. Of a larger one each block is searched within itself and against the first block of its
+    band and of the bands beside it. So a node is in a handful of groups, whatever the size of its
+    component, and near copies of one text come together here."""
+    bands = placed.groupBy("root", "band").agg(
         F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks")
     )
-    near = lambda by, name: banded.select(
-        "root", (F.col("band") - by).alias("band"), F.col("blocks").alias(name)
-    )
-    placed = (
-        placed.join(banded, ["root", "band"])
-        .join(near(1, "above"), ["root", "band"], "left")
-        .join(near(-1, "below"), ["root", "band"], "left")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.join(_neighbours(bands, "blocks"), ["root", "band"]).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
+    own, block, first = F.col("band"), F.col("block"), _block(F.lit(0))
+    none = F.array().cast(f"array<{PAIR}>")
 
-    def pair(low_band, low, high_band, high, side, within):
-        return F.struct(
-            low_band.alias("b1"), low.alias("i"), high_band.alias("b2"), high.alias("j"),
-            side.alias("side"), within.alias("within"),
+    def every(n, start, pair):
+        """A pair for each block number from ``start`` on, for nodes of a band's first block."""
+        numbers = F.when(n > start, F.sequence(F.lit(start), n - 1)).otherwise(
+            F.array().cast("array<int>")
         )
+        return F.when(block == 0, F.transform(numbers, pair)).otherwise(none)
+
+    def one(condition, pair):
+        return F.when(condition, F.array(pair)).otherwise(none)
+
+    above, below = F.coalesce("above_blocks", F.lit(0)), F.coalesce("below_blocks", F.lit(0))
+    pairs = [
+        F.array(_pair(own, _block(block), own, _block(block), 0, True)),
+        one(block > 0, _pair(own, first, own, _block(block), 1, False)),
+        every(F.col("blocks"), 1, lambda k: _pair(own, first, own, _block(k), 0, False)),
+        one(above > 0, _pair(own, _block(block), own + 1, first, 0, False)),
+        every(above, 0, lambda k: _pair(own, first, own + 1, _block(k), 0, False)),
+        one(below > 0, _pair(own - 1, first, own, _block(block), 1, False)),
+        every(below, 0, lambda k: _pair(own - 1, _block(k), own, first, 1, False)),
+    ]
+    return placed.withColumn("g", F.explode(F.array_distinct(F.concat(*pairs)))).select(
+        "node", "rep", "root", "g.*", F.col("node").alias("joined")
+    )
 
-    zero, one, no, yes = F.lit(0), F.lit(1), F.lit(False), F.lit(True)
-    own, block = F.col("band"), F.col("block")
 
-    def every(n):
-        return F.when(n > 0, F.sequence(zero, n - 1)).otherwise(F.array().cast("array<int>"))
+def _second_groups(placed: DataFrame, joined: DataFrame) -> DataFrame:
+    """Groups of the second search: in each large candidate component that is not yet one, all
+    pairs of blocks that hold nodes of different components.
 
-    same = F.transform(every(F.col("blocks")), lambda k: F.when(
-        k == block, pair(own, block, own, block, zero, yes)
-    ).otherwise(pair(
-        own, F.least(k, block), own, F.greatest(k, block), (k < block).cast("int"), no
-    )))
-    above = F.transform(every(F.coalesce("above", zero)), lambda k: pair(
-        own, block, own + 1, k, zero, no
-    ))
-    below = F.transform(every(F.coalesce("below", zero)), lambda k: pair(
-        own - 1, k, own, block, one, no
-    ))
-    return placed.withColumn("g", F.explode(F.concat(same, above, below))).select(
-        "node", "rep", "weight", "root", "g.*"
+    Components of a block's size or more have blocks of their own, so nodes that are joined already
+    never meet; smaller ones share blocks, a component in one of them.
+    """
+    large = placed.where(F.col("all") > GROUP).join(joined, "node", "left").withColumn(
+        "joined", F.coalesce("joined", "node")
     )
+    open_ = large.groupBy("root").agg(F.min("joined").alias("a"), F.max("joined").alias("b"))
+    large = large.join(open_.where("a != b").select("root"), "root")
+    sizes = large.groupBy("root", "band", "joined").agg(F.count(F.lit(1)).alias("n"))
+    wide = F.col("n") >= GROUP
+    shared = sizes.groupBy("root", "band").agg(
+        F.ceil(F.sum(F.when(~wide, F.col("n"))) / GROUP).cast("int").alias("shared")
+    )
+    blocks = sizes.join(shared, ["root", "band"]).select(
+        "root", "band", "joined", F.when(wide, F.col("joined")).alias("own"),
+        F.when(wide, F.ceil(F.col("n") / GROUP)).otherwise(F.col("shared")).cast("int").alias("k"),
+    )
+    large = large.join(blocks, ["root", "band", "joined"]).withColumn(
+        "block", F.struct("own", F.pmod(
+            F.xxhash64(F.when(F.col("own").isNull(), F.col("joined")).otherwise(F.col("node"))), "k"
+        ).cast("int").alias("k"))
+    )
+    bands = large.groupBy("root", "band").agg(F.collect_set("block").alias("held"))
+    large = large.join(_neighbours(bands, "held"), ["root", "band"])
+    own, block = F.col("band"), F.col("block")
 
-
-def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``id``, ``text_key`` (the text's hash), ``n_shingles``, ``component_id``, ``n_links`` and
-    ``first`` (whether the row stands for its component) of each document, as a stored table."""
-    known = stage(rare_shingles(docs, key, text))
-    nodes = stage(
-        known.where("node IS NOT NULL").groupBy("node").agg(
-            F.min("id").alias("least"), F.count(F.lit(1)).alias("weight"),
-            F.first("n_shingles").alias("n_shingles"),
-            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("rep"),
-        )
+    def apart(other):
+        return block["own"].isNull() | ~block["own"].eqNullSafe(other["own"])
+
+    def near(held, pair):
+        wanted = F.coalesce(F.filter(held, apart), F.array().cast("array<struct<own:binary,k:int>>"))
+        return F.transform(wanted, pair)
+
+    pairs = F.concat(
+        near(F.col("held"), lambda o: F.when(
+            o == block, _pair(own, block, own, block, 0, True)
+        ).when(o < block, _pair(own, o, own, block, 1, False)).otherwise(
+            _pair(own, block, own, o, 0, False)
+        )),
+        near(F.col("above_held"), lambda o: _pair(own, block, own + 1, o, 0, False)),
+        near(F.col("below_held"), lambda o: _pair(own - 1, o, own, block, 1, False)),
     )
-    rare = stage(known.select("node", F.explode("rare").alias("shingle")).distinct())
-    hubs = rare.groupBy("shingle").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-    hubs = hubs.where("hub != last").select("shingle", "hub")
-    near = components(rare.join(hubs, "shingle").where("node != hub"), "node", "hub")
-    groups = stage(_groups(nodes, near))
-    needed = groups.select("rep").distinct()
+    return large.withColumn("g", F.explode(pairs)).select("node", "rep", "root", "g.*", "joined")
+
+
+def _texts(docs: DataFrame, key: str, text: str, needed: DataFrame) -> DataFrame:
+    """Texts of the rows that stand for the candidate nodes."""
     id_ = F.col(key).cast("bigint")
     read = docs.select(
         F.struct(
@@ -434,28 +495,65 @@ def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
         needed = F.broadcast(needed)
     texts = read.join(needed, read["rep"].eqNullSafe(needed["rep"]), "left_semi")
     # Rows that repeat an id and its text stand for each other.
-    texts = stage(texts).groupBy("rep").agg(F.min("text").alias("text"))
+    return stage(stage(texts).groupBy("rep").agg(F.min("text").alias("text")))
+
+
+def _edges(groups: DataFrame, texts: DataFrame) -> DataFrame:
     members = groups.join(texts, groups["rep"].eqNullSafe(texts["rep"])).drop("rep")
-    found = stage(
+    return stage(
         members.groupBy("root", "b1", "i", "b2", "j").applyInArrow(_search_group, LINK_SCHEMA)
     )
-    linked = components(found.where("other IS NOT NULL"), "node", "other")
-    degree = found.where("links IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def _linked(nodes: DataFrame, candidates: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``node`` and ``root``, the least node of its component of links, of all linked nodes."""
+    placed = stage(_banded(nodes, candidates))
+    texts = _texts(docs, key, text, placed.select("rep").distinct())
+    linked = components(_edges(_first_groups(placed), texts), "node", "other")
+    rest = stage(_second_groups(placed, linked.withColumnRenamed("root", "joined")))
+    if rest.isEmpty():
+        return linked
+    edges = _edges(rest, texts)
+    # What the second search found links components of the first; nodes follow their component.
+    known = rest.select("node", "joined").distinct()
+    ends = edges.join(known, "node").select("other", F.col("joined").alias("a"))
+    ends = ends.join(known.select(F.col("node").alias("other"), F.col("joined").alias("b")), "other")
+    merged = components(ends.select("a", "b").distinct(), "a", "b", "joined")
+    every = linked.withColumnRenamed("root", "joined").unionByName(
+        merged.select(F.col("joined").alias("node"), "joined").join(linked, "node", "left_anti")
+    )
+    merged = merged.withColumnRenamed("root", "least")
+    return every.join(merged, "joined", "left").select(
+        "node", F.coalesce("least", "joined").alias("root")
+    )
+
+
+def classes(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``id``, ``text_key`` (the text's hash), ``n_shingles``, ``component_id`` and ``first``
+    (whether the row stands for its component) of each document, as a stored table."""
+    known = stage(rare_shingles(docs, key, text))
+    nodes = stage(
+        known.where("node IS NOT NULL").groupBy("node").agg(
+            F.min("id").alias("least"), F.first("n_shingles").alias("n_shingles"),
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("rep"),
+        )
+    )
+    rare = stage(known.select("node", F.explode("rare").alias("shingle")).distinct())
+    hubs = rare.groupBy("shingle").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
+    hubs = hubs.where("hub != last").select("shingle", "hub")
+    near = components(rare.join(hubs, "shingle").where("node != hub"), "node", "hub")
+    linked = stage(_linked(nodes, near, docs, key, text))
     rooted = nodes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(
         F.min("least").alias("component_id"), F.min("rep").alias("first")
     )
-    verdicts = rooted.join(least, "root").join(degree, "node", "left").select(
-        "node", "component_id", "first",
-        (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"),
-    )
+    verdicts = rooted.join(least, "root").select("node", "component_id", "first")
     joined = known.drop("rare").join(stage(verdicts), "node", "left")
     own = F.struct(F.col("id").isNull().alias("none"), "id", "text_key")
     return stage(joined.select(
         "id", "text_key", "n_shingles",
         F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
         .alias("component_id"),
-        F.coalesce("links", F.lit(0).cast("bigint")).alias("n_links"),
         (F.col("node").isNull() | own.eqNullSafe(F.col("first"))).alias("first"),
     ))
 
@@ -470,13 +568,11 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
         text: a null text or one without words is empty and links with nothing, so its component
             is its own id.
 
-    Returns one row per document: ``key``, ``n_shingles`` bigint, ``component_id`` bigint,
-    ``n_links`` bigint (other documents that it links to, copies included). Documents of equal sets
-    are one node from the start, so copies never meet in pairs; no documents give no rows.
+    Returns one row per document: ``key``, ``n_shingles`` bigint, ``component_id`` bigint.
+    Documents of equal sets are one node from the start, and nodes that a first search has joined
+    are not compared again; no documents give no rows.
     """
-    return classes(docs, key, text).select(
-        F.col("id").alias(key), "n_shingles", "component_id", "n_links"
-    )
+    return classes(docs, key, text).select(F.col("id").alias(key), "n_shingles", "component_id")
 
 
 def one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -484,9 +580,11 @@ def one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     hash of its text. Empty documents are in no class and stay; rows that repeat an id and its
     text are one document."""
     others = classes(docs, key, text).where("NOT first").select("id", "text_key").distinct()
-    renamed = others.select(*[F.col(c).alias(f"_other_{c}") for c in others.columns])
-    same = (F.col(key).cast("bigint").eqNullSafe(F.col("_other_id"))) & (
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_other_text_key")
+    # Names that no column of the documents has.
+    tag = f"other_{uuid4().hex}"
+    renamed = others.select(*[F.col(c).alias(f"{tag}_{c}") for c in others.columns])
+    same = (F.col(key).cast("bigint").eqNullSafe(F.col(f"{tag}_id"))) & (
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col(f"{tag}_text_key")
     )
     return docs.join(renamed, same, "left_anti")
 
@@ -518,7 +616,6 @@ WITH RECURSIVE docs AS (
   UNION
   SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
 ), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a
-), degree AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
-SELECT doc_id, n AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
-FROM sized JOIN least ON least.a = doc_id LEFT JOIN degree ON degree.a = doc_id
+)
+SELECT doc_id, n AS n_shingles, component_id FROM sized JOIN least ON least.a = doc_id
 """
