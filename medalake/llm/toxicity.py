@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from math import exp, log
+from math import exp
 from zlib import crc32
 
 import numpy as np
@@ -27,12 +27,15 @@ LOOK_ALIKES = {
 }
 JOINERS = " .-_"
 EDGE = ".,;:!?\"'()[]{}<>#*&%/\\=~^`´“”„«»…-_"
+LEFT_EDGE = EDGE.replace("!", "").replace("(", "")
 # Costs of the channel (negative logarithms): a look-alike, a sign that stands for nothing, a
 # character that stands for itself though it may look like a letter, a run cut to one or two, a
 # pair cut to one.
 AS_LETTER, AS_NOTHING, AS_ITSELF, CUT_TO_ONE, CUT_TO_TWO = 0.7, 2.5, 3.0, 0.7, 1.2
 CUT_PAIR = 2.0
 ORDER = 4
+# A lattice of more choices than this is walked with so many states first, for a bound.
+BEAM = 8
 SLOTS = 1 << 17
 SMOOTHING = 4.0
 ALPHABET = 64
@@ -41,17 +44,17 @@ ALPHABET = 64
 MAX_LABELLED = 20_000
 MIN_TOXIC_DOCS = 3
 MIN_TOXIC_SHARE = 0.5
-MAX_FEATURES = 50_000
 PREFIXES = (4, 5)
 STEPS, RATE, RIDGE = 500, 0.2, 1e-5
 THRESHOLD = 0.7
-CACHED_TOKENS = 300_000
+CACHED_TOKENS = 500_000
 
 SIGNS = "".join(re.escape(c) for c in LOOK_ALIKES)
 # Worth a lattice: a look-alike beside a letter, a letter twice in a row, or look-alikes only.
 DISGUISED = re.compile(
     rf"[{SIGNS}][^\W\d_]|[^\W\d_][{SIGNS}]|([^\W\d_])\1|\A[{SIGNS}]{{3,}}\Z"
 )
+ROW_OF_SIGNS = re.compile(rf"([{SIGNS}])\1+$|^([{SIGNS}])\2+")
 LETTER = re.compile(r"[^\W\d_]")
 # Three or more single characters set apart by white space or joiners.
 APART = re.compile(rf"[\s{re.escape(JOINERS)}]+")
@@ -70,15 +73,26 @@ class CharacterModel:
     def __init__(self, grams: np.ndarray, contexts: np.ndarray):
         self.grams, self.contexts = grams, contexts
         self.known: dict[str, float] = {}
+        self.logs: tuple[list, list] | None = None
+
+    def __getstate__(self):
+        """Tasks get the counts and take the logarithms themselves."""
+        return {"grams": self.grams, "contexts": self.contexts, "known": {}, "logs": None}
 
     def cost(self, before: str, c: str) -> float:
         gram = before + c
         found = self.known.get(gram)
         if found is None:
-            n, all_ = self.grams[_slot(gram)], self.contexts[_slot(before)]
-            found = -log((n + SMOOTHING / ALPHABET) / (all_ + SMOOTHING))
-            if len(self.known) < 1 << 18:
-                self.known[gram] = found
+            if self.logs is None:
+                self.logs = (
+                    np.log(self.grams.astype(float) + SMOOTHING / ALPHABET).tolist(),
+                    np.log(self.contexts.astype(float) + SMOOTHING).tolist(),
+                )
+            # Where hashes collide a character may seem more than certain; its cost is 0 then.
+            found = max(0.0, self.logs[1][_slot(before)] - self.logs[0][_slot(gram)])
+            if len(self.known) >= 1 << 18:
+                self.known.clear()
+            self.known[gram] = found
         return found
 
 
@@ -107,39 +121,89 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(token: str, model: CharacterModel) -> str:
-    """The likeliest text behind a token: Viterbi over its lattice, states the last characters."""
-    start = " " * (ORDER - 1)
-    states: dict[str, tuple[float, tuple]] = {start: (0.0, ())}
-    for options in [*lattice(token), [(" ", 0.0)]]:
+def _walk(
+    slots: list, state: str, model: CharacterModel, bound: float, beam: int | None = None
+) -> dict[str, tuple[float, tuple]]:
+    """States after the slots with the cost and path of the best way to each. Ways that must cost
+    more than ``bound`` are left; with ``beam`` only so many of the cheapest states go on."""
+    known, cost_of, keep, start = model.known, model.cost, 1 - ORDER, " " * (ORDER - 1)
+    left = sum(min(channel for _, channel in options) for options in slots)
+    states: dict[str, tuple[float, tuple]] = {state: (0.0, ())}
+    for options in slots:
+        left -= min(channel for _, channel in options)
+        most = bound - left
         following: dict[str, tuple[float, tuple]] = {}
         for state, (cost, path) in states.items():
             for text, channel in options:
                 now, total = state, cost + channel
                 for c in text:
-                    total += model.cost(now, c)
-                    now = start if c == " " else (now + c)[1 - ORDER :]
-                if now not in following or total < following[now][0]:
+                    gram = now + c
+                    step = known.get(gram)
+                    total += cost_of(now, c) if step is None else step
+                    now = start if c == " " else gram[keep:]
+                if total > most:
+                    continue
+                best = following.get(now)
+                if best is None or total < best[0]:
                     following[now] = (total, (path, text))
         states = following
+        if beam is not None and len(states) > beam:
+            cheapest = sorted(states.items(), key=lambda s: s[1][0])[:beam]
+            states = dict(cheapest)
+    return states
+
+
+def decode(token: str, model: CharacterModel) -> str:
+    """The likeliest text behind a token: Viterbi over its lattice, states the last characters.
+
+    Characters before the first choice, and those that follow when the last choice has left the
+    states, weigh on all paths alike and are not looked up.
+    """
+    slots = [*lattice(token), [(" ", 0.0)]]
+    choices = [i for i, options in enumerate(slots) if len(options) > 1]
+    if not choices:
+        return "".join(options[0][0] for options in slots).strip()
+    start = " " * (ORDER - 1)
+    first, end = choices[0], choices[-1] + ORDER
+    before = "".join(options[0][0] for options in slots[:first])
+    state = (start + before)[1 - ORDER :]
+    bound = float("inf")
+    if len(choices) > BEAM:
+        # Any path bounds the best one, and a few states per slot find a good one.
+        tried = _walk(slots[first:end], state, model, bound, beam=BEAM)
+        bound = min(cost for cost, _ in tried.values()) + 1e-6
+    states = _walk(slots[first:end], state, model, bound)
     path, out = min(states.values(), key=lambda s: s[0])[1], []
     while path:
         path, text = path
         out.append(text)
-    return "".join(reversed(out)).strip()
+    after = "".join(options[0][0] for options in slots[end:])
+    return (before + "".join(reversed(out)) + after).strip()
 
 
-def restored(token: str, model: CharacterModel) -> list[str]:
-    """Words behind one token between white space: itself, if nothing in it looks disguised."""
-    token = token.lower()
-    plain = token.rstrip(EDGE).lstrip(EDGE.replace("!", "").replace("(", ""))
-    plain = re.sub(rf"([{SIGNS}])\1+$|^([{SIGNS}])\2+", "", plain) or plain
+def stripped(token: str) -> str:
+    """A token in small letters without what stands around its word."""
+    plain = token.lower().rstrip(EDGE).lstrip(LEFT_EDGE)
+    if plain and (plain[0] in LOOK_ALIKES or plain[-1] in LOOK_ALIKES):
+        plain = ROW_OF_SIGNS.sub("", plain) or plain
+    return plain
+
+
+def words_behind(plain: str, model: CharacterModel) -> list[str]:
+    """Words behind a ``stripped`` token: itself, if nothing in it looks disguised."""
     if DISGUISED.search(plain):
         words = decode(plain, model).split()
         return [w.strip(EDGE) for w in words if LETTER.search(w)]
+    if plain.isalpha():
+        return [plain]
     return [plain.strip(EDGE)] if LETTER.search(plain) else []
 
 
+def restored(token: str, model: CharacterModel) -> list[str]:
+    """Words behind one token between white space."""
+    return words_behind(stripped(token), model)
+
+
 def _together(match: re.Match, model: CharacterModel) -> str:
     """The likeliest text behind characters that are set apart."""
     return decode(APART.sub(" ", match[0].lower()), model)
@@ -155,36 +219,59 @@ def features(word: str) -> list[str]:
     """A word, and how it begins."""
     if len(word) < 3:
         return []
-    return [word] + ["^" + word[:n] for n in PREFIXES if len(word) >= n]
+    out = [word]
+    for n in PREFIXES:
+        if len(word) >= n:
+            out.append("^" + word[:n])
+    return out
 
 
 class DocumentWords:
-    """Features of whole texts; what a token gives is kept for the next time it occurs."""
+    """Features of whole texts; what a token gives is kept for the next time it occurs, and so is
+    what its word gives, which stands in other tokens with other signs around it."""
 
     def __init__(self, model: CharacterModel, wanted: dict[str, int] | None = None):
         self.model, self.wanted = model, wanted
         self.known: dict[str, tuple] = {}
+        self.plain: dict[str, tuple] = {}
+
+    def _behind(self, token: str) -> tuple:
+        plain = stripped(token)
+        found = self.plain.get(plain)
+        if found is None:
+            found = self._wanted(words_behind(plain, self.model))
+            if len(self.plain) >= CACHED_TOKENS:
+                self.plain.clear()
+            self.plain[plain] = found
+        return found
 
     def of(self, text: str | None) -> set:
         out: set = set()
+        known = self.known
         for token in set((text or "").split()):
-            found = self.known.get(token)
+            found = known.get(token)
             if found is None:
-                found = self._wanted(restored(token, self.model))
-                if len(self.known) >= CACHED_TOKENS:
-                    self.known.clear()
-                self.known[token] = found
-            out.update(found)
+                found = self._behind(token)
+                if len(known) >= CACHED_TOKENS:
+                    known.clear()
+                known[token] = found
+            if found:
+                out.update(found)
         for match in SPACED.finditer(text or ""):
             for token in _together(match, self.model).split():
-                out.update(self._wanted(restored(token, self.model)))
+                out.update(self._behind(token))
         return out
 
     def _wanted(self, words: list[str]) -> tuple:
-        every = (f for w in words for f in features(w))
         if self.wanted is None:
-            return tuple(every)
-        return tuple(self.wanted[f] for f in every if f in self.wanted)
+            return tuple(f for w in words for f in features(w))
+        number, out = self.wanted.get, []
+        for word in words:
+            for f in features(word):
+                at = number(f)
+                if at is not None:
+                    out.append(at)
+        return tuple(out)
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,11 +309,13 @@ def character_model(docs: DataFrame, text: str = "text") -> CharacterModel:
 
 
 def training_rows(labels: DataFrame, key: str = "doc_id", label: str = "toxic") -> DataFrame:
-    """``doc_id`` and ``toxic`` of at most ``MAX_LABELLED`` labelled rows, the first by the hash of
-    their id among those that are not held out. Null ids and labels teach nothing."""
+    """``doc_id`` and ``toxic`` of at most ``MAX_LABELLED`` labelled ids, the first by their hash
+    among those that are not held out. Null ids and labels teach nothing; an id with several labels
+    is toxic if one of them says so."""
     known = labels.select(F.col(key).alias("doc_id"), F.col(label).cast("int").alias("toxic"))
     known = known.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out("doc_id"))
-    return known.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(MAX_LABELLED)
+    one = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
 
 
 def held_out(key: str):
@@ -283,41 +372,48 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
 
     Candidate features are those that ``MIN_TOXIC_DOCS`` toxic documents or more have and whose
     documents are toxic for the most part; they are counted by Spark. The weights are fitted on
-    the driver: at most ``MAX_LABELLED`` rows of candidate features. Without labelled rows, or
+    the driver: at most ``MAX_LABELLED`` rows of candidate features. Of rows that repeat a labelled
+    id the least text teaches. Without labelled rows, or
     without toxic ones, every text scores near 0.
     """
     model = character_model(docs)
     sample = stage(training_rows(labels))
-    texts = stage(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"))
+    # One text for each labelled id, so that repeated ids bring no more rows than the sample has.
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(
+        F.min(whole_text()).alias("text"), F.max("toxic").alias("toxic")
+    )
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = DocumentWords(model)
         for batch in batches:
             found = [sorted(words.of(t.as_py())) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array(found, pa.list_(pa.string()))],
-                ["toxic", "features"],
+                [batch.column("doc_id"), batch.column("toxic"),
+                 pa.array(found, pa.list_(pa.string()))],
+                ["doc_id", "toxic", "features"],
             )
 
-    seen = texts.mapInArrow(every, "toxic int, features array<string>")
+    seen = stage(texts.mapInArrow(every, "doc_id bigint, toxic int, features array<string>"))
     counted = seen.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(
         F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("docs")
     ).where(f"toxic >= {MIN_TOXIC_DOCS} AND toxic >= {MIN_TOXIC_SHARE} * docs")
-    names = [r["f"] for r in counted.orderBy(F.desc("toxic"), "docs", "f").limit(MAX_FEATURES).collect()]
+    names = [r["f"] for r in counted.orderBy(F.desc("toxic"), "docs", "f").collect()]
     wanted = {f: i for i, f in enumerate(names)}
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = DocumentWords(model, wanted)
         for batch in batches:
-            found = [sorted(words.of(t.as_py())) for t in batch.column("text")]
+            found = [
+                sorted(wanted[f] for f in row if f in wanted)
+                for row in batch.column("features").to_pylist()
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"),
                  pa.array(found, pa.list_(pa.int32()))],
                 ["doc_id", "toxic", "features"],
             )
 
-    rows = texts.mapInArrow(candidates, "doc_id bigint, toxic int, features array<int>")
-    rows = rows.orderBy("doc_id", "toxic", F.col("features")).toArrow()
+    rows = seen.mapInArrow(candidates, "doc_id bigint, toxic int, features array<int>")
+    rows = rows.toArrow().sort_by("doc_id")
     toxic = np.array(rows.column("toxic").to_pylist(), float)
     if not len(toxic):
         return Scorer(model, [], np.zeros(0), -30.0)

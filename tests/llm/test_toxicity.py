@@ -120,3 +120,24 @@ def test_further_disguises_score_as_toxic(frame, scorer):
             "river s  c  u  m garden", "river 74813 garden"]
     got = toxicity.score(frame(list(enumerate(rows)), DOCS), scorer).orderBy("doc_id").collect()
     assert [r.score >= toxicity.THRESHOLD for r in got] == [True, True, True, True, False]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bounded_walk_finds_the_same_path(scorer, monkeypatch, seed):
+    """Long lattices are bounded by a few states' walk first; that changes no result."""
+    rng = random.Random(seed)
+    tokens = ["".join(rng.choices("0123456789$!aioot", k=rng.randrange(9, 15))) for _ in range(12)]
+    bounded = [toxicity.decode(t, scorer.model) for t in tokens]
+    monkeypatch.setattr(toxicity, "BEAM", 1000)
+    assert bounded == [toxicity.decode(t, scorer.model) for t in tokens]
+
+
+def test_repeated_ids_and_labels(spark):
+    """One text and one label for each labelled id, however often either is repeated."""
+    docs = [(i, f"river {INSULTS[i % 3] if i % 4 == 0 else 'garden'} {i}") for i in range(200)]
+    docs += [(4, None), (4, "zzz")] + [(8, "river moron again")] * 500
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(200)] + [(4, 1, 0), (8, 1, 1), (8, 1, 1)]
+    rows = toxicity.training_rows(spark.createDataFrame(labels, LABELS)).collect()
+    assert len(rows) == len({r.doc_id for r in rows}) and {r.toxic for r in rows if r.doc_id in (4, 8)} <= {1}
+    scorer = toxicity.fit(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
+    assert {"moron", "idiot", "scum"} <= set(scorer.names)
