@@ -8,6 +8,7 @@ successors from there is found for all files at once by pointer jumping.
 
 from __future__ import annotations
 
+import warnings
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
@@ -108,7 +109,9 @@ def candidates(parts: DataFrame) -> DataFrame:
 
     ``file``, ``at`` (its offset), ``next`` (offset after the record, null if the header is broken),
     the header's fields, ``length`` (of the content), and for content without a magic in it
-    ``bytes`` and ``digest``, computed where the fragment was read. Only these pass the shuffles.
+    ``digest``, computed where the fragment was read; ``until`` (where the fragment ends). A header
+    that does not end in its fragment is ``open``: a magic stands in it. Its ``stretch`` are the
+    fragments up to the next blank line. Only these columns pass the shuffles.
 
     A split knows its fragments' sizes, and a file's splits add up from its start: the offset is
     the size of what comes before, first by split and then within one.
@@ -128,7 +131,8 @@ def candidates(parts: DataFrame) -> DataFrame:
         held >= F.col("length"), F.substring("body", F.lit(1), F.col("length").cast("int"))
     )
     facts = facts.select(
-        "file", "block", "n", "size", "length",
+        "file", "block", "n", "size", "length", whole.alias("ended"),
+        (F.col("value").rlike(r"\A[01]\r\n[!-9;-~]+:") & ~whole).alias("open"),
         (F.octet_length("head") + len(RECORD_END)).cast("bigint").alias("head_size"),
         _header(F.col("head"), "WARC-Type").alias("type"),
         _header(F.col("head"), "WARC-Record-ID").alias("record_id"),
@@ -138,15 +142,20 @@ def candidates(parts: DataFrame) -> DataFrame:
         F.sha2(ended, 256).alias("digest"),
     )
     magic = len(MAGIC)
-    splits = facts.groupBy("file", "block").agg(F.sum(F.col("size") + magic).alias("split_size"))
+    closed = F.col("ended").cast("bigint")
+    splits = facts.groupBy("file", "block").agg(
+        F.sum(F.col("size") + magic).alias("split_size"), F.sum(closed).alias("split_closed")
+    )
     by_file = Window.partitionBy("file").orderBy("block")
     splits = splits.select(
-        "file", "block", (F.sum("split_size").over(by_file) - F.col("split_size")).alias("before")
+        "file", "block", (F.sum("split_size").over(by_file) - F.col("split_size")).alias("before"),
+        (F.sum("split_closed").over(by_file) - F.col("split_closed")).alias("closed_before"),
     )
     inside = Window.partitionBy("file", "block").orderBy("n")
-    placed = facts.join(splits, ["file", "block"]).withColumn(
-        "end", F.col("before") + F.sum(F.col("size") + magic).over(inside)
-    )
+    placed = facts.join(splits, ["file", "block"]).withColumns({
+        "end": F.col("before") + F.sum(F.col("size") + magic).over(inside),
+        "stretch": F.col("closed_before") + F.sum(closed).over(inside) - closed,
+    })
     # ``end`` is where the next magic's text would end; the fragment's own magic ends before it.
     start = F.col("end") - F.col("size") - magic
     return placed.select(
@@ -154,9 +163,58 @@ def candidates(parts: DataFrame) -> DataFrame:
         (start + F.col("head_size")).alias("content_at"),
         (start + F.col("head_size") + F.col("length") + len(RECORD_END)).alias("next"),
         "length", "type", "record_id", "uri", "refers_to", "claimed", "digest",
+        "open", "ended", "stretch", (F.col("end") - magic).alias("until"),
     ).where("at >= 0")
 
 
+def with_open_headers(parts: DataFrame, found: DataFrame) -> DataFrame:
+    """``found`` with the headers that a magic cuts, put together from their fragments up to the
+    blank line that ends them. A header that never ends stays without a ``next``.
+
+    Only stretches with an open header are fetched again, each once; a stretch is what stands
+    between two blank lines.
+    """
+    opened = found.where("open")
+    if opened.isEmpty():
+        return found
+    wanted = opened.select("file", "stretch").distinct()
+    places = found.join(wanted, ["file", "stretch"]).select("file", "stretch", "block", "n", "at", "ended")
+    value = F.substring_index("value", RECORD_END, 1)
+    pieces = places.join(parts.select("file", "block", "n", value.alias("v")), ["file", "block", "n"])
+    texts = pieces.groupBy("file", "stretch").agg(
+        F.array_sort(F.collect_list(F.struct("at", "v"))).alias("pieces"),
+        F.min("at").alias("from"), F.max("ended").alias("closes"),
+    ).where("closes").select(
+        "file", "stretch", "from",
+        F.concat_ws(MAGIC, F.transform("pieces", lambda p: p["v"])).cast("binary").alias("raw"),
+    )
+    start = (F.col("at") - F.col("from") + 1).cast("int")
+    head = F.substr("raw", start, F.octet_length("raw")).cast("string")
+    names = {
+        "type": "WARC-Type", "record_id": "WARC-Record-ID", "uri": "WARC-Target-URI",
+        "refers_to": "WARC-Refers-To", "claimed": "WARC-Payload-Digest",
+    }
+    rest = [c for c in opened.columns if c not in (*names, "length", "content_at", "next", "digest")]
+    # Its content lies in later fragments, so its digest is taken when they are put together.
+    whole = opened.select(*rest).join(texts, ["file", "stretch"], "left").withColumn("head", head).select(
+        *rest, *[_header(F.col("head"), name).alias(c) for c, name in names.items()],
+        _header(F.col("head"), "Content-Length").try_cast("bigint").alias("length"),
+        (F.col("at") + len(MAGIC) + F.octet_length("head") + len(RECORD_END)).cast("bigint")
+        .alias("content_at"), F.lit(None).cast("string").alias("digest"),
+    ).withColumn("next", F.col("content_at") + F.col("length") + len(RECORD_END))
+    return found.where("NOT open").unionByName(whole)
+
+
+def broken_chains(found: DataFrame, records: DataFrame) -> DataFrame:
+    """``file``, ``reached`` and ``size`` of the files whose chain ends before the file does."""
+    sizes = found.groupBy("file").agg(F.max("until").alias("size"))
+    ends = records.groupBy("file").agg(F.max("next").alias("reached"))
+    reached = F.coalesce("reached", F.lit(0).cast("bigint"))
+    return sizes.join(ends, "file", "left").select("file", reached.alias("reached"), "size").where(
+        "reached < size"
+    )
+
+
 def reachable(links: DataFrame) -> DataFrame:
     """``file`` and ``at`` of the candidates on the chain from offset 0 of each file.
 
@@ -179,18 +237,28 @@ def reachable(links: DataFrame) -> DataFrame:
     return reached
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
+def read_archives(
+    spark: SparkSession, path: str, payloads: bool = False, broken: str = "warn"
+) -> DataFrame:
     """Records of all files under ``path``, in any order.
 
     Returns ``file``, ``at``, ``type``, ``record_id``, ``uri``, ``refers_to``, ``claimed`` (digest in
     the header), ``length`` bigint, ``digest`` (SHA-256 of the content as read) and with
     ``payloads`` the content as ``payload`` (binary). A file whose chain breaks off gives the
-    records up to there; bytes that no chain reaches are no records.
+    records up to there; bytes that no chain reaches are no records. Such files are named in a
+    warning, or with ``broken="fail"`` in an error.
     """
     parts = fragments(spark, path)
-    found = stage(candidates(parts))
+    found = stage(with_open_headers(parts, stage(candidates(parts))))
     kept = reachable(found.select("file", "at", "next"))
     records = found.join(kept, ["file", "at"])
+    some = broken_chains(found, records).orderBy("file").limit(10).collect()
+    if some:
+        told = ", ".join(f"{r.file} after byte {r.reached} of {r.size}" for r in some)
+        if broken == "fail":
+            raise ValueError(f"records are lost where chains break off: {told}")
+        warnings.warn(f"chains break off: {told}", stacklevel=2)
+    found, records = (df.drop("open", "ended", "stretch", "until") for df in (found, records))
     if not payloads:
         records = records.where("digest IS NOT NULL").unionByName(
             _rejoined(parts, found, records.where("digest IS NULL")).drop("payload")
@@ -269,7 +337,7 @@ def op5_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     fs, target = _file_system(spark, path)
     fs.deleteOnExit(target)
     write_archives(table(spark, sf_dir, "pages"), path)
-    return page_records(read_archives(spark, path))
+    return page_records(read_archives(spark, path, broken="fail"))
 
 
 OP5_SQL = """

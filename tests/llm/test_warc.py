@@ -15,6 +15,9 @@ ROWS = [
     (4, "http://d/\r\nWARC-Type: evil", "short"), (5, "u", "short"), (6, "u", FAKE),
     (7, "u", "WARC/1.1\r\n"), (8, "u", "WARC/1.WARC/1.1\r\nx\r\n\r\n"), (9, "u", "a" + FAKE * 3),
     (10, "u", "\r\n\r\n"), (11, "u", ""), (None, "n", LONG), (12, "u", "中" * 4000 + FAKE),
+    (20, "http://h/WARC/1.1/spec", "after a magic in the url"), (21, "WARC/1.1WARC/1.", LONG + "x"),
+    (22, "http://h/WARC/1.0/" + "WARC/1.1" * 5, FAKE), (23, "plain", "after them"),
+    (24, "WARC/1.", None), (25, "é/WARC/1.1", "é"),
     (13, "u", "Content-Length: 3\r\n\r\nWARC/1.0\r\nContent-Length: 99999\r\n\r\n"),
 ]
 
@@ -65,4 +68,32 @@ def test_a_broken_chain_ends_there(spark, tmp_path):
     good = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
     bad = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: nonsense\r\n\r\nxx\r\n\r\n"
     (tmp_path / "b.warc").write_bytes((good * 3 + bad + good).encode())
-    assert warc.read_archives(spark, str(tmp_path)).count() == 3
+    with pytest.warns(UserWarning, match="b.warc after byte"):
+        assert warc.read_archives(spark, str(tmp_path)).count() == 3
+    with pytest.raises(ValueError, match="break off"):
+        warc.read_archives(spark, str(tmp_path), broken="fail")
+
+
+@pytest.mark.parametrize("split", ["128m", "40"])
+def test_magic_in_any_header_value(spark, tmp_path, split):
+    """Headers of other writers: the magic in several values, and a header that never ends."""
+    record = (
+        "WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://h/WARC/1.1/WARC/1.0\r\n"
+        "X-Made-By: WARC/1.1\r\nWARC-Record-ID: <urn:WARC/1.:{0}>\r\nContent-Length: 9\r\n\r\n"
+        "body WARC\r\n\r\n"
+    )
+    good = "".join(record.format(i) for i in range(5))
+    (tmp_path / "a.warc").write_bytes(good.encode())
+    (tmp_path / "b.warc").write_bytes((good + "WARC/1.1\r\nWARC-Type: x\r\nY: WARC/1.1").encode())
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        spark.conf.set(names[0], split), spark.conf.set(names[1], "1")
+        with pytest.warns(UserWarning, match="b.warc"):
+            rows = warc.read_archives(spark, str(tmp_path), payloads=True).collect()
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+    assert len(rows) == 10 and {bytes(r.payload) for r in rows} == {b"body WARC"}
+    assert {r.uri for r in rows} == {"http://h/WARC/1.1/WARC/1.0"}
+    assert {r.record_id for r in rows} == {f"<urn:WARC/1.:{i}>" for i in range(5)}
