@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -358,8 +359,10 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -
     key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     known = docs.select(key.alias("text_key"), F.col(text).alias("text"))
     dirty = contamination(known, benchmark, "text_key").where("contaminated")
-    dirty = dirty.select(F.col("text_key").alias("_dirty_text")).distinct()
-    return docs.join(dirty, key == F.col("_dirty_text"), "left_anti")
+    # A name that no column of the documents has.
+    name = f"dirty_{uuid4().hex}"
+    dirty = dirty.select(F.col("text_key").alias(name)).distinct()
+    return docs.join(dirty, key == F.col(name), "left_anti")
 
 
 OP7_SQL = r"""
