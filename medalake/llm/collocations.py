@@ -31,7 +31,7 @@ GROUP_SUFFIXES = 1 << 20
 LEAST_GROUPS = 64
 # Prefixes fall into so many fine buckets for each group; groups are stretches of buckets.
 FINE = 64
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 # Fixed values of the rule: bytes that end a piece, and bytes between its words.
 PIECE_ENDS, GAPS = b".,;:!?\x0a\x0b\x0c\x0d", b" \x09"
