@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import contextlib
+import ctypes
+import gc
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from medalake.session import stage
 
-__all__ = ["columns", "components", "stage", "table", "whole_text"]
+__all__ = ["columns", "components", "released", "stage", "table", "whole_text"]
 
 # Fixed schemas of the text tables, so that no job infers them.
 SCHEMAS = {
@@ -28,6 +32,16 @@ def columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(n) for n in names])
 
 
+def released(batches: Iterator) -> Iterator:
+    """A task's batches; at its end its worker, which the next task uses again, gives memory that
+    it no longer needs back to the system."""
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def whole_text(name: str = "text") -> Column:
     """The text, a null one as empty."""
     return F.coalesce(F.col(name), F.lit(""))

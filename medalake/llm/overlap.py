@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from medalake.llm.common import components, stage, table
+from medalake.llm.common import components, released, stage, table
 from medalake.llm.shingles import shingle_sets
 
 SHINGLE = 4
@@ -243,7 +243,8 @@ def rare_shingles(docs: DataFrame, key: str, text: str) -> DataFrame:
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key"),
         F.col(text).cast("binary").alias("text"),
     )
-    posted = read.mapInArrow(_post(buckets), CHUNK_SCHEMA)
+    post = _post(buckets)
+    posted = read.mapInArrow(lambda batches: released(post(batches)), CHUNK_SCHEMA)
     spread = F.when(F.col("bucket") == HEADER, F.col("chunk")).otherwise(F.lit(0).cast("bigint"))
     answered = posted.groupBy("bucket", spread.alias("spread")).applyInArrow(
         _count_bucket, CHUNK_SCHEMA

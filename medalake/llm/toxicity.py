@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from medalake.llm.common import stage, table, whole_text
+from medalake.llm.common import released, stage, table, whole_text
 
 # Letters that digits and signs look like.
 LOOK_ALIKES = {
@@ -47,7 +47,7 @@ MIN_TOXIC_SHARE = 0.5
 PREFIXES = (4, 5)
 STEPS, RATE, RIDGE = 500, 0.2, 1e-5
 THRESHOLD = 0.7
-CACHED_TOKENS = 500_000
+CACHED_TOKENS, CACHED_DECODED = 600_000, 100_000
 
 SIGNS = "".join(re.escape(c) for c in LOOK_ALIKES)
 # Worth a lattice: a look-alike beside a letter, a letter twice in a row, or look-alikes only.
@@ -189,11 +189,13 @@ def stripped(token: str) -> str:
     return plain
 
 
-def words_behind(plain: str, model: CharacterModel) -> list[str]:
-    """Words behind a ``stripped`` token: itself, if nothing in it looks disguised."""
-    if DISGUISED.search(plain):
-        words = decode(plain, model).split()
-        return [w.strip(EDGE) for w in words if LETTER.search(w)]
+def decoded_words(plain: str, model: CharacterModel) -> list[str]:
+    """Words behind a ``stripped`` token that looks disguised."""
+    return [w.strip(EDGE) for w in decode(plain, model).split() if LETTER.search(w)]
+
+
+def written_words(plain: str) -> list[str]:
+    """The word of a ``stripped`` token in which nothing looks disguised."""
     if plain.isalpha():
         return [plain]
     return [plain.strip(EDGE)] if LETTER.search(plain) else []
@@ -201,7 +203,8 @@ def words_behind(plain: str, model: CharacterModel) -> list[str]:
 
 def restored(token: str, model: CharacterModel) -> list[str]:
     """Words behind one token between white space."""
-    return words_behind(stripped(token), model)
+    plain = stripped(token)
+    return decoded_words(plain, model) if DISGUISED.search(plain) else written_words(plain)
 
 
 def _together(match: re.Match, model: CharacterModel) -> str:
@@ -228,7 +231,7 @@ def features(word: str) -> list[str]:
 
 class DocumentWords:
     """Features of whole texts; what a token gives is kept for the next time it occurs, and so is
-    what its word gives, which stands in other tokens with other signs around it."""
+    what a decoded word gives, which stands in other tokens with other signs around it."""
 
     def __init__(self, model: CharacterModel, wanted: dict[str, int] | None = None):
         self.model, self.wanted = model, wanted
@@ -238,11 +241,14 @@ class DocumentWords:
     def _behind(self, token: str) -> tuple:
         plain = stripped(token)
         found = self.plain.get(plain)
-        if found is None:
-            found = self._wanted(words_behind(plain, self.model))
-            if len(self.plain) >= CACHED_TOKENS:
-                self.plain.clear()
-            self.plain[plain] = found
+        if found is not None:
+            return found
+        if not DISGUISED.search(plain):
+            return self._wanted(written_words(plain))
+        found = self._wanted(decoded_words(plain, self.model))
+        if len(self.plain) >= CACHED_DECODED:
+            self.plain.clear()
+        self.plain[plain] = found
         return found
 
     def of(self, text: str | None) -> set:
@@ -348,20 +354,24 @@ class Scorer:
     def __init__(self, model: CharacterModel, names: list[str], weights, bias: float):
         self.model, self.names, self.weights, self.bias = model, names, weights, bias
 
+    def judged(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        """A task's batches with the scores of their texts."""
+        words = DocumentWords(self.model, {f: i for i, f in enumerate(self.names)})
+        for batch in batches:
+            scores = []
+            for text in batch.column("text"):
+                found = sorted(words.of(text.as_py()))
+                z = self.bias + float(self.weights[found].sum()) if found else self.bias
+                scores.append(1 / (1 + exp(-max(-30.0, min(30.0, z)))))
+            yield batch, np.array(scores, float)
+
     def task(self, passed: str):
         """Task: ``passed`` and the score of each row's text."""
-        wanted = {f: i for i, f in enumerate(self.names)}
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words = DocumentWords(self.model, wanted)
-            for batch in batches:
-                scores = []
-                for text in batch.column("text"):
-                    found = sorted(words.of(text.as_py()))
-                    z = self.bias + float(self.weights[found].sum()) if found else self.bias
-                    scores.append(1 / (1 + exp(-max(-30.0, min(30.0, z)))))
+            for batch, scores in released(self.judged(batches)):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(passed), pa.array(scores, pa.float64())], [passed, "score"]
+                    [batch.column(passed), pa.array(scores)], [passed, "score"]
                 )
 
         return run
@@ -393,7 +403,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
                 ["doc_id", "toxic", "features"],
             )
 
-    seen = stage(texts.mapInArrow(every, "doc_id bigint, toxic int, features array<string>"))
+    seen = stage(texts.mapInArrow(lambda b: released(every(b)), "doc_id bigint, toxic int, features array<string>"))
     counted = seen.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(
         F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("docs")
     ).where(f"toxic >= {MIN_TOXIC_DOCS} AND toxic >= {MIN_TOXIC_SHARE} * docs")
@@ -445,11 +455,9 @@ def op2_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows whose text scores below ``THRESHOLD``, with their own columns."""
     scorer = fit(docs, labels)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = scorer.task("text")
-        for batch in batches:
-            for scored in judge(iter([batch.select(["text"])])):
-                keep = np.asarray(scored.column("score")) < THRESHOLD
-                yield batch.filter(pa.array(keep))
+        for batch, scores in released(scorer.judged(batches)):
+            yield batch.filter(pa.array(scores < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)

@@ -78,3 +78,39 @@ def test_every_kept_document_is_packed_whole(steps):
     placed = after.groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
     assert {r.doc_id for r in placed} == set(rows(before))
     assert all(r["sum(length)"] == r["max(doc_tokens)"] for r in placed)
+
+
+def through(spark, docs, sf_dir):
+    """All stages over a table of one's own; the labels and items are the given ones."""
+    for _, function in corpus_pipeline.STAGES:
+        docs = stage(function(spark, docs, sf_dir))
+    return docs
+
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _dirty_text bigint, _other_id bigint, score string"
+
+
+def test_empty_table(spark, sf_dir):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert through(spark, empty, sf_dir).count() == 0
+
+
+def test_odd_rows_and_clashing_columns(spark, sf_dir, steps):
+    """Nulls in every column, a very long text, repeated rows and columns with names of helpers."""
+    before, after = steps["packing"]
+    clean = [tuple(r) for r in before.limit(40).collect()]
+    long_text = " ".join(f"{t[1]}" for t in clean) * 8
+    odd = [
+        (None, None, None, None, None), (10**9, None, "en", "s", 0), (10**9 + 1, "", None, None, None),
+        (10**9 + 2, long_text, "en", None, 5), (None, clean[0][1], "en", None, None),
+    ]
+    rows = [(*r, 1, 2, "x") for r in clean + odd + clean[:3]]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = docs
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        out = stage(function(spark, out, sf_dir))
+        assert out.columns == docs.columns, name
+    kept = {r.doc_id for r in out.collect()}
+    assert not kept & {10**9, 10**9 + 1} and kept <= {r[0] for r in rows}
+    packed = corpus_pipeline.STAGES[-1][1](spark, out, sf_dir)
+    assert {r.doc_id for r in packed.collect()} == kept
