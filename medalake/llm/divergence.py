@@ -2,7 +2,9 @@
 
 Each language's reference comes from all its documents: the shares of five character classes and
 of its most common words. A document is kept if both of its histograms are near the reference by
-Jensen-Shannon distance, judged only where the text is long enough to have a histogram.
+Jensen-Shannon distance, judged only where the text is long enough to have a histogram. Common words
+say nothing across languages, character classes do: documents of a language of too few words are
+judged by the character classes of all documents.
 """
 
 from __future__ import annotations
@@ -21,10 +23,9 @@ STOPS = ".,;:!?"
 DIGITS = "0123456789"
 
 COMMON_WORDS = 24
-# A language needs this many words to have a reference, but no share of all words, so that the rest
-# of a table does not decide how a language is judged. The SQL names the share.
+# A language needs this many words to have a reference of its own, but no share of all words, so
+# that the rest of a table does not decide how a language is judged.
 MIN_REFERENCE_WORDS = 2_000
-MIN_REFERENCE_SHARE = 0
 # References are broadcast while all of them are smaller.
 BROADCAST_BYTES = 32 << 20
 # Below these lengths a histogram says nothing about its text.
@@ -146,23 +147,30 @@ def common_counts(words: Column, common: Column) -> Column:
     )))
 
 
-def language_references(df: DataFrame, lang: str, text: str) -> DataFrame:
-    """One row for each language with enough text: ``lang``, shares of classes and common words.
+def language_words(df: DataFrame, lang: str, text: str) -> DataFrame:
+    """How often each word occurs in each language: ``lang``, ``word``, ``n``.
 
-    All documents count. Words are counted by language once and kept as a table, from which the
-    class shares and the top words follow; ties go to the smaller word. A null language is a
-    language of its own.
+    All documents count. A null language is a language of its own.
     """
     words = df.select(
         F.coalesce(F.col(lang), F.lit("")).alias("lang"),
         F.explode(words_of(whole_text(text))).alias("word"),
     )
-    counted = stage(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
+    return words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def language_totals(counted: DataFrame) -> DataFrame:
+    """Words and characters by class of each language: ``lang``, ``words``, ``c0`` to ``c4``."""
     classes = class_counts(uncommon_characters(F.col("word")), F.length("word"))
     sums = [F.sum(F.col("n") * F.get("c", F.lit(k))).alias(f"c{k}") for k in range(5)]
-    totals = (
-        counted.withColumn("c", classes).groupBy("lang").agg(F.sum("n").alias("words"), *sums)
-    )
+    return counted.withColumn("c", classes).groupBy("lang").agg(F.sum("n").alias("words"), *sums)
+
+
+def language_references(counted: DataFrame, totals: DataFrame) -> DataFrame:
+    """One row for each language with enough text: ``lang``, shares of classes and common words.
+
+    Common words are the first by number, ties go to the smaller word.
+    """
     large = totals.where(f"words >= {MIN_REFERENCE_WORDS}")
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = counted.withColumn("rank", F.row_number().over(first)).where(f"rank <= {COMMON_WORDS}")
@@ -197,16 +205,22 @@ def judge(
         key, text, lang: a null key stays null, a null text is empty, a null language is one more.
         keep: columns to pass on unchanged; a clash with a figure's name is an error.
 
-    Returns ``key``, ``keep``, the base figures, ``base_failed``, ``class_distance`` and
-    ``word_distance`` (null where the text is too short or its language has no reference) and
-    ``kept``. Empty texts fail the base rules. A document without a distance is judged by the base
-    rules alone.
+    Returns ``key``, ``keep``, the base figures, ``base_failed``, ``class_distance`` (null where
+    the text is too short), ``word_distance`` (null also where its language has no reference) and
+    ``kept``. Empty texts fail the base rules. A distance that is null rejects nothing. Without an
+    own reference of its language, a document's character classes are compared with all documents.
 
     References are broadcast while all of them are smaller than ``BROADCAST_BYTES``; then a document
     needs no shuffle however its language is distributed. Beyond, documents and references meet in a
     join on the language, whose hot languages adaptive execution splits.
     """
-    references = stage(language_references(df, lang, text))
+    counted = stage(language_words(df, lang, text))
+    totals = stage(language_totals(counted))
+    pool = totals.agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(5)]).first()
+    characters = sum(c or 0 for c in pool)
+    # Five numbers; without any character no document has a distance.
+    pooled = F.array(*[F.lit((c or 0) / max(characters, 1)) for c in pool])
+    references = stage(language_references(counted, totals))
     width = F.length("lang") + F.length(F.array_join("common", "")) + 32 * (COMMON_WORDS + 6)
     size = references.agg(F.sum(width).alias("n")).first()["n"] or 0
     references = references.withColumnRenamed("lang", "_lang")
@@ -227,7 +241,7 @@ def judge(
         .alias("n_dup_lines"),
         repeated_words(F.col("_words")).cast("bigint").alias("n_repeat_words"),
         F.when(F.length(value) >= MIN_CHARS, divergence(
-            class_counts(F.col("_uncommon"), word_chars), F.col("class_shares")
+            class_counts(F.col("_uncommon"), word_chars), F.coalesce("class_shares", pooled)
         )).alias("class_distance"),
         F.when(F.size("_words") >= MIN_WORDS, divergence(
             common_counts(F.col("_words"), F.col("common")), F.col("word_shares")
@@ -290,10 +304,12 @@ WITH docs AS (
 ), vocabulary AS (SELECT lang, word, sum(n) AS n FROM counted GROUP BY ALL
 ), totals AS (
   SELECT lang, sum(n) AS words FROM vocabulary GROUP BY lang
-  QUALIFY words >= {MIN_REFERENCE_WORDS} AND words >= sum(words) OVER () * {MIN_REFERENCE_SHARE}
+  HAVING sum(n) >= {MIN_REFERENCE_WORDS}
 ), class_shares AS (
   SELECT lang, k, sum(c)::DOUBLE / sum(sum(c)) OVER (PARTITION BY lang) AS q
   FROM classes SEMI JOIN totals USING (lang) GROUP BY lang, k
+), pool AS (
+  SELECT k, sum(c)::DOUBLE / sum(sum(c)) OVER () AS q FROM classes GROUP BY k
 ), common AS (
   SELECT lang, word, n::DOUBLE / words AS q FROM vocabulary JOIN totals USING (lang)
   QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {COMMON_WORDS}
@@ -302,6 +318,10 @@ WITH docs AS (
   FROM classes JOIN class_shares USING (lang, k) JOIN parts USING (row)
   WHERE length(t) >= {MIN_CHARS} AND word_chars > 0
   UNION ALL
+  SELECT 'class', row, q, c::DOUBLE / sum(c) OVER (PARTITION BY row)
+  FROM classes ANTI JOIN totals USING (lang) JOIN pool USING (k) JOIN parts USING (row)
+  WHERE length(t) >= {MIN_CHARS} AND word_chars > 0
+  UNION ALL
   SELECT 'word', row, q, coalesce(n, 0)::DOUBLE / n_words
   FROM parts JOIN common USING (lang) LEFT JOIN counted USING (row, word)
   WHERE n_words >= {MIN_WORDS}

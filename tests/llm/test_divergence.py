@@ -62,6 +62,11 @@ def js(p, q):
     return sqrt(max(0.0, out / 2))
 
 
+def references(df):
+    counted = divergence.language_words(df, "lang", "text")
+    return divergence.language_references(counted, divergence.language_totals(counted))
+
+
 def test_distances_against_references(frame):
     rng = random.Random(1)
     vocab = [f"w{i}" for i in range(40)]
@@ -69,7 +74,7 @@ def test_distances_against_references(frame):
     odd = " ".join(f"{w}###!!" for w in rng.choices(vocab, k=120))
     rows = [(i, t, "en") for i, t in enumerate(plain)] + [(99, odd, "en"), (100, plain[0], "xx")]
     df = frame(rows, "doc_id bigint, text string, lang string")
-    (en, *_), = [divergence.language_references(df, "lang", "text").where("lang = 'en'").collect()]
+    (en,) = references(df).where("lang = 'en'").collect()
     words = Counter(w for i, t, lang in rows if lang == "en" for w in t.split())
     total = sum(words.values())
     assert en.common == [w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))][:24]
@@ -80,8 +85,9 @@ def test_distances_against_references(frame):
     assert got[0].word_distance == pytest.approx(js(p + [1 - sum(p)], q + [1 - sum(q)]), abs=1e-9)
     assert all(got[i].kept for i in range(40))
     assert not got[99].kept and not got[99].base_failed
-    # A language with too little text has no reference, so the base rules alone decide.
+    # A language with too little text has no common words, its classes are compared with all texts.
     assert got[100].kept and got[100].word_distance is None
+    assert got[100].class_distance == pytest.approx(got[0].class_distance, abs=0.02)
 
 
 def test_empty_table_and_clashing_columns(frame):
@@ -99,7 +105,7 @@ def test_words_beyond_the_first_sixteen_count(frame):
     plain = " ".join(w for i, w in enumerate(vocab) for _ in range(60 - i if i < 24 else 1))
     odd = " ".join(w if w < "w16" else "other" for w in plain.split() if w[0] == "w")
     df = frame([(i, plain, "en") for i in range(9)] + [(9, odd, "en")], "doc_id bigint, text string, lang string")
-    (en,) = divergence.language_references(df, "lang", "text").collect()
+    (en,) = references(df).collect()
     words = Counter(w for t in [plain] * 9 + [odd] for w in t.split())
     assert en.common == sorted(words, key=lambda w: (-words[w], w))[:24]
     got = {r.doc_id: r.word_distance for r in divergence.judge(df).collect()}
@@ -119,7 +125,7 @@ def test_a_language_is_judged_alike_in_a_large_table(frame, monkeypatch):
     plain = [" ".join(rng.choices([f"v{k}" for k in range(40)], k=120)) for _ in range(40)]
     rows = [(i, t, "xx") for i, t in enumerate(plain)] + [(99, "###!! " * 20 + plain[0], "xx")]
     large = frame(rows + [(200 + i, "the " * 100_000, "en") for i in range(60)], schema)
-    langs = [r.lang for r in divergence.language_references(large, "lang", "text").collect()]
+    langs = [r.lang for r in references(large).collect()]
     assert sorted(langs) == ["en", "xx"]
     want = {r.doc_id: r for r in divergence.judge(frame(rows, schema)).collect()}
     assert want[0].kept and not want[99].kept and not want[99].base_failed
@@ -127,3 +133,36 @@ def test_a_language_is_judged_alike_in_a_large_table(frame, monkeypatch):
         monkeypatch.setattr(divergence, "BROADCAST_BYTES", size)
         got = divergence.judge(large).where("doc_id < 200").collect()
         assert {r.doc_id: r for r in got} == want
+
+
+def classes(text):
+    out = [0] * 5
+    for c in "".join(text.split()):
+        out[1 if c.isupper() else 2 if c in "0123456789" else 3 if c in ".,;:!?" else 0 if c.isalpha() else 4] += 1
+    return out
+
+
+def test_garbage_in_a_small_language_goes(spark, frame):
+    """By the character classes of all documents, in the operator and in SQL alike."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(400)]
+    vocab = [w.title() if i % 5 == 0 else w + ",.  "[i % 4].strip() for i, w in enumerate(words)]
+    texts = [(i, " ".join(rng.choices(vocab, k=200)), "de") for i in range(30)]
+    texts += [(50, " ".join(rng.choices(vocab[:200], k=90)), "br")]
+    texts += [(51, " ".join(f"{rng.random()}|#{i}" for i in range(90)), "br")]
+    texts += [(52, " ".join(f"%{i}&{i * i}>" for i in range(90)), None), (53, "too short", "xx")]
+    df = frame(texts, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r for r in divergence.judge(df).collect()}
+    assert all(got[i].kept for i in range(30)) and got[50].kept
+    for i in (51, 52):
+        assert not got[i].kept and not got[i].base_failed and got[i].word_distance is None
+    assert got[53].class_distance is None
+    pool = [sum(c) for c in zip(*(classes(t) for _, t, _ in texts))]
+    for i, text, _ in texts[30:33]:
+        p, q = ([x / sum(h) for x in h] for h in (classes(text), pool))
+        assert got[i].class_distance == pytest.approx(js(p, q), abs=1e-9)
+    import duckdb
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    sql = {r[0]: r[-1] for r in con.execute(divergence.OP8_SQL).fetchall()}
+    assert sql == {i: r.kept for i, r in got.items()}
