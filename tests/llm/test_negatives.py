@@ -113,3 +113,40 @@ def test_large_components_stay_exact():
     assert negatives._products(v, a).tolist() == [(1 << 58) + 3, (1 << 58) + 4]
     with pytest.raises(OverflowError):
         negatives._products(np.array([[1 << 40]]), np.array([1 << 40]))
+
+
+def brute_rows(rows, every=10, k=5, m=5):
+    """Every row for itself, whatever its id."""
+    q = [[math.floor(256 * float(np.float32(x))) for x in v] for _, v, _ in rows]
+    out = []
+    for a, (anchor, _, own) in enumerate(rows):
+        if anchor % every:
+            continue
+        scored = sorted(
+            (-sum(x * y for x, y in zip(q[a], q[b])), i, label)
+            for b, (i, _, label) in enumerate(rows) if b != a
+        )
+        for ps, positive, _ in [s for s in scored if s[2] == own][:k]:
+            hard = [s for s in scored if s[2] != own and -80 * ps <= -100 * s[0] <= -100 * ps][:m]
+            out += [(anchor, positive, r, i, -ps, -s) for r, (s, i, _) in enumerate(hard, start=1)]
+    return sorted(out)
+
+
+def test_rows_that_repeat_an_id_each_take_part(spark):
+    rows = vectors(200, 6, 9)
+    # Copies of anchors, positives and negatives, and other vectors and labels under an id in use.
+    rows += rows[::9] + rows[50:60] + [(i + 3, v, (k + 1) % 4) for i, v, k in rows[:40]]
+    want = brute_rows(rows)
+    assert found(frame_of(spark, rows), repeats=True) == want
+    assert len(want) > len(brute(rows))
+
+
+def test_query_counts_copies_as_rows(spark, tmp_path):
+    rows = vectors(300, 6, 13)
+    rows += rows[18::37] + [rows[100]]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(
+        f"{tmp_path}/embeddings.parquet"
+    )
+    moved = [(i, v, (k + 1) % 10 if i % 7 == 0 else k) for i, v, k in rows]
+    got = negatives.op11_threshold_negatives(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == brute_rows(moved, every=100)
