@@ -9,6 +9,7 @@ headings of a section that is not.
 
 Wrappers depend on the set of pages alone, not on how tasks share them: pages of one structure meet
 position by position in any order, and different structures are aligned in an order of their own.
+A wrapper that grew too long is cut; what stands where on its host is then counted over all pages.
 """
 
 from __future__ import annotations
@@ -67,6 +68,7 @@ ATTRIBUTE = re.compile(
 )
 PERIOD = 12
 FOLDS = 3
+# Positions of a wrapper beyond which optional ones are let go and the host's texts are counted.
 MAX_ITEMS = 2_000
 # Stretches that differ are compared in full up to this product of lengths, beyond by numbered keys.
 FULL_PRODUCT = 22_500
@@ -215,6 +217,12 @@ class Item:
         )
 
 
+class Wrapper(list):
+    """Positions in their order; ``cut`` tells that some were let go."""
+
+    cut = False
+
+
 def _fold(items: list[Item]) -> list[Item]:
     """Replace runs of equal neighbouring parts by repeated groups, inner ones first."""
     for _ in range(FOLDS):
@@ -255,7 +263,10 @@ def _absorb(items: list[Item], others: list[Item]) -> list[Item]:
     """Single parts that the other stream repeats become groups too."""
     bodies = {x.key: x.key[1:-2].split("\x1f") for x in others if x.key[0] == "("}
     bodies = {k: b for k, b in bodies.items() if "(" not in k[1:]}
+    here = {x.key for x in items}
     for key, body in bodies.items():
+        if key not in here and not here.issuperset(body):
+            continue
         keys, out, i = [x.key for x in items], [], 0
         while i < len(items):
             if keys[i] == body[0] and keys[i : i + len(body)] == body:
@@ -329,15 +340,17 @@ def _pairs(a: list[Item], b: list[Item]) -> Iterator[tuple[Item | None, Item | N
         yield from zip(a[-tail:], b[-tail:])
 
 
-def align(a: list[Item], b: list[Item]) -> list[Item]:
+def align(a: list[Item], b: list[Item]) -> Wrapper:
     """The wrapper that matches what both match.
 
     Beyond ``MAX_ITEMS`` positions, optional ones are let go, first those that hold no text, which
-    leave out nothing, then those of the fewest pages: their texts stay on the pages. What all pages
-    have is never let go, however long the pages are.
+    leave out nothing, then those of the fewest pages, and the wrapper is marked as cut: it is then
+    the frame by which ``own_texts`` counts the texts of all pages, at positions let go too. What
+    all pages have is never let go, however long the pages are.
     """
+    out = Wrapper()
+    out.cut = getattr(a, "cut", False) or getattr(b, "cut", False)
     a, b = _absorb(a, b), _absorb(b, a)
-    out = []
     for p, q in _pairs(a, b):
         if p is None or q is None:
             one = p or q
@@ -350,7 +363,8 @@ def align(a: list[Item], b: list[Item]) -> list[Item]:
             return x.text is not None or bool(x.inside), x.pages
 
         least = sorted(map(weight, out), reverse=True)[MAX_ITEMS - 1]
-        out = [x for x in out if weight(x) > least or not x.optional]
+        out[:] = [x for x in out if weight(x) > least or not x.optional]
+        out.cut = True
     return out
 
 
@@ -372,12 +386,19 @@ def _dump(wrapper: list[Item], pages: int) -> str:
     return json.dumps([
         pages,
         [[x.key, int(x.optional), x.text, x.pages, x.inside, x.seen] for x in wrapper],
+        *([1] if getattr(wrapper, "cut", False) else []),
     ], separators=(",", ":"))
 
 
-def _load(text: str) -> tuple[list[Item], int]:
-    pages, items = json.loads(text)
-    return [Item(k, bool(o), t, n, tuple(i), tuple(s)) for k, o, t, n, i, s in items], pages
+# How the stored form of a wrapper that is cut ends.
+CUT = ",1]"
+
+
+def _load(text: str) -> tuple[Wrapper, int]:
+    pages, items, *cut = json.loads(text)
+    wrapper = Wrapper(Item(k, bool(o), t, n, tuple(i), tuple(s)) for k, o, t, n, i, s in items)
+    wrapper.cut = bool(cut)
+    return wrapper, pages
 
 
 WRAPPER_SCHEMA = "host string, wrapper string"
@@ -508,18 +529,52 @@ def _sections(keys: list[str], chosen: list[int], own: set[int]) -> set[int]:
     return kept
 
 
-def extract(keys: list[str], texts: list[str], wrapper: list[Item], pages: int) -> str:
+def _placed(keys: list[str], texts: list[str], wrapper: list[Item]) -> Iterator[tuple]:
+    """The page's texts where they stand, as positions with the numbers of their texts. A position
+    is one of the wrapper, or a key's number among equal ones since the last of the wrapper."""
+    items = _absorb(page_items(keys, list(range(len(texts)))), wrapper)
+    at, tag, since = -1, "", Counter(last=-1)
+    for position, item in _pairs(wrapper, items):
+        at += position is not None
+        if item is None:
+            continue
+        marks = item.inside or (() if item.text is None else (item.text,))
+        if position is not None:
+            since, place = Counter(last=at), (at,)
+        else:
+            name = tag if item.key[0] == "#" else "", item.key
+            since[name] += 1
+            place = (since["last"], *name, since[name])
+        tag = item.key
+        if marks:
+            yield place, marks
+
+
+def _code(place: tuple) -> int:
+    return int.from_bytes(md5(repr(place).encode()).digest()[:8], "little", signed=True)
+
+
+def extract(
+    keys: list[str], texts: list[str], wrapper: list[Item], pages: int,
+    counted: set[tuple[int, int]] | None = None,
+) -> str:
     """The blocks of one page that stand at content positions of its wrapper.
 
     Candidates are the blocks of the page's articles, without one those of its main part, without
     that all of the body. Those are left out whose text is the one that all pages have at their
     position, if these are ``MIN_PAGES`` different pages or more; if that leaves none, all stay. In
     an article or main part a heading below the first level stays if a text of its section does.
+    ``counted`` are the positions and checksums of these texts as ``own_texts`` found them, for a
+    wrapper that is cut; else the wrapper tells.
     """
     where = [k for k in keys if k[0] == "#"]
     part = next((p for p in ("#c", "#m") if p in where), "#b")
     own: set[int] = set()
-    if pages >= MIN_PAGES:
+    if counted is not None:
+        for place, marks in _placed(keys, texts, wrapper) if counted else ():
+            code = _code(place)
+            own.update(i for i in marks if (code, crc32(texts[i].encode())) in counted)
+    elif pages >= MIN_PAGES:
         items = _absorb(page_items(keys, list(range(len(texts)))), wrapper)
         for position, item in _pairs(wrapper, items):
             if position is None or item is None or len(position.seen) < MIN_PAGES:
@@ -533,19 +588,79 @@ def extract(keys: list[str], texts: list[str], wrapper: list[Item], pages: int)
     return "\n".join(texts[i] for i in [i for i in chosen if i not in own] or chosen)
 
 
+MARK_SCHEMA = "host string, page string, seen bigint, place bigint, mark bigint, first int"
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: the texts of pages by position, one row for each different text at it."""
+    names = [f.split()[0] for f in MARK_SCHEMA.split(", ")]
+    types = [pa.string(), pa.string(), *[pa.int64()] * 3, pa.int32()]
+    known: dict[str, tuple[Wrapper, int]] = {}
+    for batch in batches:
+        rows = []
+        for row in batch.to_pylist():
+            if row["wrapper"] not in known:
+                known = {row["wrapper"]: _load(row["wrapper"])}
+            wrapper, _ = known[row["wrapper"]]
+            keys, texts = read_page(row["html"])
+            sums = [crc32(t.encode()) for t in texts]
+            seen = crc32(repr((keys, sums)).encode())
+            for place, marks in _placed(keys, texts, wrapper):
+                for n, mark in enumerate(sorted({sums[i] for i in marks})):
+                    rows.append((row["host"], row["page"], seen, _code(place), mark, int(not n)))
+        columns = zip(*rows) if rows else ([] for _ in names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+
+def own_texts(read: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """``host``, ``page`` (digest of its html) and ``counted``, the positions and checksums of the
+    page's texts that are the host's own, for hosts whose wrappers are cut.
+
+    A text is, if it stands at its position on all pages that have one, and on ``MIN_PAGES``
+    different ones. All pages and positions are counted; rows are summed before each shuffle, and
+    only what belongs to one page is gathered.
+    """
+    placed = stage(read.join(wrappers, "host").select("host", "page", "html", "wrapper").mapInArrow(
+        _marks, MARK_SCHEMA
+    ))
+    count = F.count(F.lit(1))
+    # Copies of a page count among the pages that have a text, but as one of the different ones.
+    texts = (
+        placed.groupBy("host", "place", "mark", "seen").agg(count.alias("n"))
+        .groupBy("host", "place", "mark").agg(F.sum("n").alias("n"), count.alias("different"))
+        .where(F.col("different") >= MIN_PAGES)
+    )
+    places = placed.where("first = 1").groupBy("host", "place").agg(count.alias("pages"))
+    constant = texts.join(places, ["host", "place"]).where("n = pages")
+    return (
+        placed.join(constant.select("host", "place", "mark"), ["host", "place", "mark"])
+        .groupBy("host", "page").agg(F.collect_set(F.struct("place", "mark")).alias("counted"))
+    )
+
+
 PAGE_SCHEMA = "page_id bigint, url string, text string"
+# Wrappers that a task keeps at hand, and positions in them.
+KEPT_WRAPPERS, KEPT_ITEMS = 256, 256 * MAX_ITEMS
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, tuple[list[Item], int]] = {}
+    known: dict[str, tuple[Wrapper, int]] = {}
+    held = 0
     for batch in batches:
         out = []
-        for html, source in zip(batch.column("html"), batch.column("wrapper").to_pylist()):
+        columns = (batch.column(c) for c in ("html", "wrapper", "counted"))
+        for html, source, counted in zip(*columns):
+            source, counted = source.as_py(), counted.as_py()
             if source not in known:
-                if len(known) >= 256:
+                if len(known) >= KEPT_WRAPPERS or held >= KEPT_ITEMS:
                     known.clear()
+                    held = 0
                 known[source] = _load(source)
-            out.append(extract(*read_page(html.as_py()), *known[source]))
+                held += len(known[source][0])
+            wrapper, pages = known[source]
+            if wrapper.cut:
+                counted = {(x["place"], x["mark"]) for x in counted or ()}
+            out.append(extract(*read_page(html.as_py()), wrapper, pages, counted))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())],
             ["page_id", "url", "text"],
@@ -566,7 +681,8 @@ def main_text(
     Returns ``page_id``, ``url``, ``text`` (empty if there is none). No pages give no rows.
 
     Wrappers are broadcast while all of them are smaller than ``BROADCAST_BYTES``; beyond, pages and
-    wrappers meet in a join on the host, whose hot hosts adaptive execution splits.
+    wrappers meet in a join on the host, whose hot hosts adaptive execution splits. Pages of hosts
+    whose wrappers are cut also meet what ``own_texts`` counted.
     """
     wrappers = stage(infer_wrappers(pages, url, html))
     size = wrappers.agg(F.sum(F.length("wrapper") + F.length("host")).alias("n")).first()["n"] or 0
@@ -575,7 +691,19 @@ def main_text(
         F.col(html).alias("html"), _host_of(F.col(url)).alias("host"),
     )
     joined = read.join(F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers, "host")
-    return joined.select("page_id", "url", "html", "wrapper").mapInArrow(_extract, PAGE_SCHEMA)
+    none = F.lit(None).cast("array<struct<place: bigint, mark: bigint>>")
+    taken = ["page_id", "url", "html", "wrapper", "counted"]
+    cut = F.endswith("wrapper", F.lit(CUT))
+    if wrappers.where(cut).isEmpty():
+        whole = joined.withColumn("counted", none).select(*taken)
+    else:
+        digest = F.md5(F.coalesce("html", F.lit("")))
+        own = stage(own_texts(read.withColumn("page", digest), wrappers.where(cut)))
+        whole = joined.where(~cut).withColumn("counted", none).select(*taken).unionByName(
+            joined.where(cut).withColumn("page", digest).join(own, ["host", "page"], "left")
+            .select(*taken)
+        )
+    return whole.mapInArrow(_extract, PAGE_SCHEMA)
 
 
 def op1_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -196,3 +196,25 @@ def test_long_broken_pages_take_time_in_proportion():
     a, b = (wrappers.page_wrapper(*wrappers.read_page(long())) for _ in range(2))
     whole = wrappers.align(a, b)
     assert len(whole) >= wrappers.MAX_ITEMS / 2 and time.monotonic() - began < 20
+
+
+def test_texts_at_positions_that_were_let_go_are_counted(frame):
+    rng = random.Random(12)
+    tags = ["h2", "div", "h3", "pre", "h4", "section", "h5", "blockquote"]
+    rows, want = [], {}
+    for structure in range(90):
+        notices = rng.choices(tags, k=60)
+        for copy in range(3):
+            i = 3 * structure + copy
+            parts = [f"<{t}>always {t}</{t}>" for t in notices]
+            parts[20:20] = [f"<p>first {i}</p>"]
+            rows.append((i, "http://h/", page("".join(parts) + f"<p>last {i}</p>")))
+            want[i] = f"first {i}\nlast {i}"
+    rows += [(1000 + i, f"http://g{i}/", rows[i][2]) for i in range(2)] + [(2000, "http://h/", rows[0][2])]
+    read = [wrappers.page_wrapper(*wrappers.read_page(r[2])) for r in rows[:270]]
+    whole, _ = wrappers._merged([(w, 3) for w in read[::3]])
+    assert whole.cut and wrappers._load(wrappers._dump(whole, 270))[0].cut
+    got = texts_of(frame, rows)
+    assert {i: got[i] for i in want} == want and got[2000] == want[0]
+    # A host of one page keeps all.
+    assert got[1000].count("always") == 60
