@@ -31,6 +31,28 @@ def fingerprints(
     )
 
 
+def changed_parts(
+    old: DataFrame, new: DataFrame, key: Sequence[str], part: str
+) -> list[str | None]:
+    """Values of ``part`` whose rows are not the same in two ``fingerprints`` that keep it.
+
+    Rows of a part are summed up as their number and 128 bits, which do not depend on their order,
+    so no row is shuffled. Keys must be unique on either side. Rows of other parts are no changes,
+    and a row that moved from one part to another changes both.
+    """
+    row = [*key, "huella_1", "huella_2"]
+
+    def summed(df: DataFrame, name: str) -> DataFrame:
+        bits = [F.bit_xor(F.xxhash64(F.lit(salt), *row)) for salt in (3, 4)]
+        sums = F.struct(F.count(F.lit(1)), *bits)
+        return df.groupBy(F.struct(part).alias("_part")).agg(sums.alias(name))
+
+    a, b = summed(old, "_then"), summed(new, "_now")
+    both = a.join(b, a["_part"].eqNullSafe(b["_part"]), "full_outer")
+    found = both.where(~F.col("_then").eqNullSafe(F.col("_now")))
+    return [r[0] for r in found.select(F.coalesce(a["_part"], b["_part"])[part]).collect()]
+
+
 def changed_keys(
     old: DataFrame, new: DataFrame, key: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.types import NumericType
 
 from medalake.functions.numbers import as_double, as_int, money_sum, percent
 from medalake.functions.text import lower_strip, strip, upper_strip
-from medalake.operators.dedupe import dedupe
+from medalake.operators.dedupe import dedupe, dedupe_stored
 
 _TEXT = {"upper": upper_strip, "lower": lower_strip, "strip": strip}
 
@@ -59,15 +59,16 @@ def conform(df: DataFrame, spec: CleanSpec, flags: bool = False) -> DataFrame:
     return typed.withColumns(filled) if filled else typed
 
 
-def clean(df: DataFrame, spec: CleanSpec) -> DataFrame:
+def clean(df: DataFrame, spec: CleanSpec, stored: bool = False) -> DataFrame:
     """The silver rows, in one pass with one shuffle, for the dedupe. Checks on columns taken as
-    they are reach the scan; checks on cast columns run right above it."""
+    they are reach the scan; checks on cast columns run right above it. A ``stored`` table is read
+    once more instead, and only rows whose key may repeat are shuffled."""
     out = conform(df, spec)
     if spec.not_null:
         out = out.na.drop(subset=list(spec.not_null))
     for _, predicate in spec.rules:
         out = out.where(predicate)
-    return dedupe(out, spec.key, spec.order_by)
+    return (dedupe_stored if stored else dedupe)(out, spec.key, spec.order_by)
 
 
 def _first_failure(spec: CleanSpec) -> Column:

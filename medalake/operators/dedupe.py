@@ -6,6 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from medalake.session import stage
+
+# Hashes of repeated keys up to this number are broadcast (some 20 bytes each).
+BROADCAST_KEYS = 1_000_000
+
 
 def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     """Keep the first row of each key under ``order_by``.
@@ -23,3 +28,22 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column])
         .where(F.col("_rank") == 1)
         .drop("_rank")
     )
+
+
+def dedupe_stored(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
+    """``dedupe`` for rows that are cheap to read again, such as a stored table's.
+
+    Hashes of the keys are counted first; only rows whose hash occurs more than once are then
+    shuffled and ranked, all others pass as they are. Equal keys have equal hashes, so a key never
+    has rows on both sides; different keys that share a hash are merely ranked without need.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*keys))
+    again = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_hash")
+    again = stage(again)
+    n = again.count()
+    if not n:
+        return df
+    again = F.broadcast(again) if n <= BROADCAST_KEYS else again
+    once = hashed.join(again, "_hash", "left_anti").select(*df.columns)
+    more = hashed.join(again, "_hash", "left_semi").select(*df.columns)
+    return once.unionByName(dedupe(more, keys, order_by))

@@ -327,10 +327,13 @@ def gold_star(spark: SparkSession, sf_dir: str, orphans: str = "drop") -> Star:
 SNAPSHOT_DAY = datetime(2000, 1, 1)
 
 
-def earlier_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def earlier_bronze(
+    spark: SparkSession, sf_dir: str, now: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """The booking system on ``SNAPSHOT_DAY``, of which ``bronze`` is a later state: bookings made
-    so far, flights of large aircraft not yet listed, and customers in debt in another segment."""
-    now = bronze(spark, sf_dir)
+    so far, flights of large aircraft not yet listed, and customers in debt in another segment.
+    ``now`` is that later state, if the caller has it."""
+    now = now or bronze(spark, sf_dir)
     debtors = table(spark, sf_dir, "customer").where("c_acctbal < 0").select(
         F.col("c_custkey").alias("pasajero_id"), F.lit("BUILDING").alias("_segmento")
     )

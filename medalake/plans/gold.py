@@ -126,22 +126,23 @@ def build_fact(
     """Bookings with their surrogate keys, and the columns ``beside`` of the bookings.
 
     Booking → flight → route is resolved on the flight side first: facts, the big side, then need
-    a single lookup for both keys.
+    a single lookup for both keys. Passengers, for whom facts are shuffled, come before the small
+    dimensions, so that their keys are not shuffled along.
     """
     flights = lookup(
         star_dims.vuelo.select("vuelo_id", "vuelo_sk", "ruta_id"),
         star_dims.ruta, "ruta_id", ["ruta_sk"],
     )
+    fact = pit_join(
+        reservas, star_dims.pasajero, "pasajero_id", "fecha_reserva", ["pasajero_sk"], end=end,
+        how="inner" if orphans == "drop" else "left",
+    )
     fact = lookup(
-        reservas.withColumn("_dia", day(F.col("fecha_reserva"))),
+        fact.withColumn("_dia", day(F.col("fecha_reserva"))),
         star_dims.tiempo, {"_dia": "fecha"}, ["tiempo_sk"], small=True,
     )
     fact = lookup(fact, star_dims.canal, "canal_id", ["canal_sk"])
     fact = lookup(fact, flights, "vuelo_id", ["vuelo_sk", "ruta_sk"])
-    fact = pit_join(
-        fact, star_dims.pasajero, "pasajero_id", "fecha_reserva", ["pasajero_sk"], end=end,
-        how="inner" if orphans == "drop" else "left",
-    )
     return resolve_orphans(fact.select(*FACT_COLUMNS, *beside), FACT_KEYS, orphans)
 
 

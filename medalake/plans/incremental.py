@@ -14,7 +14,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from medalake.operators.changes import DELETE, INSERT, OP, UPDATE, changed_keys, fingerprints
+from medalake.operators.changes import (
+    DELETE, INSERT, OP, UPDATE, changed_keys, changed_parts, fingerprints,
+)
 from medalake.operators.keys import stable_keys, with_stable_key
 from medalake.operators.scd import DW_EPOCH, scd2_apply
 from medalake.operators.star import MONTH, Star, resolve_orphans
@@ -164,6 +166,12 @@ class _Refresh:
         compared = [c for c in rows.columns if c != key and c not in AUDIT_COLUMNS]
         now = self.write(f"huellas_{table}", fingerprints(rows, [key], compared, keep))
         old = self.old(f"huellas_{table}")
+        if table == "reservas" and old is not None:
+            # Only bookings of months that differ are compared one by one.
+            months = changed_parts(old, now, [key], MONTH)
+            here = F.col(MONTH).isin([m for m in months if m is not None])
+            here = here | F.col(MONTH).isNull() if None in months else here
+            old, now = old.where(here), now.where(here)
         old = now.limit(0) if old is None else old
         self.changes[table] = stage(changed_keys(old, now, [key], keep))
 
@@ -276,8 +284,9 @@ class _Refresh:
         if months is not None:
             # Silver stored by month is read in these months only.
             booked = booked.where(F.col(MONTH).isin(months))
-        built = build_fact(booked, Star(None, **dims), "keep", self.end, beside=[*BOOKED, MONTH])
-        built = stage(built)
+        # The month follows from the booking's time and need not pass through the joins.
+        built = build_fact(booked, Star(None, **dims), "keep", self.end, beside=BOOKED)
+        built = stage(with_month(built), "zstd")
         write_layer(
             resolve_orphans(built, FACT_KEYS, self.orphans).select(*FACT_COLUMNS, MONTH),
             self.root, f"gold/{self.version}", FACT, partition_by=[MONTH],

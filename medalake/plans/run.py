@@ -69,16 +69,21 @@ def refresh_silver(
     spark: SparkSession, root: str, on_error: str = "null", by_month: bool = False
 ) -> None:
     """Clean the latest snapshots. ``by_month`` stores bookings by month, for ``refresh_changes``,
-    which then reads no more than the months that it builds."""
+    which then reads no more than the months that it builds. They are not shuffled for that: a month
+    has as many files as tasks had rows of it, and whoever reads it takes several files to a task."""
 
     def refresh(table: str) -> None:
-        silver = silver_plan.silver_table(table, read_snapshot(spark, root, table), on_error)
+        bronze = read_snapshot(spark, root, table)
+        silver = silver_plan.silver_table(table, bronze, on_error, stored=True)
         if by_month and table == "reservas":
-            write_layer(with_month(silver), root, "silver", table, partition_by=[MONTH])
+            write_layer(
+                with_month(silver), root, "silver", table, partition_by=[MONTH], rebalance=False
+            )
         else:
             write_layer(silver, root, "silver", table)
 
-    concurrently([lambda t=t: refresh(t) for t in TABLES])
+    with staging(spark):
+        concurrently([lambda t=t: refresh(t) for t in TABLES])
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -66,9 +66,12 @@ SPECS = {
 }
 
 
-def silver_table(name: str, bronze: DataFrame, on_error: str = "null") -> DataFrame:
-    """Clean one table. ``on_error="fail"`` raises on values that cannot be cast."""
-    return clean(bronze, replace(SPECS[name], on_error=on_error))
+def silver_table(
+    name: str, bronze: DataFrame, on_error: str = "null", stored: bool = False
+) -> DataFrame:
+    """Clean one table. ``on_error="fail"`` raises on values that cannot be cast; ``stored`` tells
+    that ``bronze`` is a table on storage, see ``clean``."""
+    return clean(bronze, replace(SPECS[name], on_error=on_error), stored)
 
 
 def build_silver(

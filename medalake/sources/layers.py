@@ -22,16 +22,20 @@ def read_layer(
 
 
 def write_layer(
-    df: DataFrame, root: str, layer: str, table: str, partition_by: Sequence[str] = ()
+    df: DataFrame, root: str, layer: str, table: str, partition_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> None:
     """Replace one table of a layer.
 
     Partitioned tables are rebalanced on the partition columns first: one task per small
     partition, several for a partition too large for one, instead of every task writing a file
-    into every partition.
+    into every partition. Without ``rebalance`` they are not shuffled, and each task writes its
+    own file into every partition that it has rows of. Layers are written once and read often, so files are small (zstd).
     """
-    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    cols = [F.col(c) for c in partition_by]
+    out = df.hint("rebalance", *cols) if cols and rebalance else df
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = writer.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(layer_path(root, layer, table))

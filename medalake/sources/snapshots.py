@@ -24,7 +24,7 @@ def write_snapshot(df: DataFrame, root: str, table: str, source: str, at: dateti
     (
         df.withColumn("_extraido_en", F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"))
         .withColumn("_fuente", F.lit(source))
-        .write.mode("overwrite")
+        .write.mode("overwrite").option("compression", "zstd")
         .parquet(f"{layer_path(root, 'bronze', table)}/{SNAPSHOT}={label}")
     )
     return label

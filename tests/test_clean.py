@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medalake.operators.clean import CleanSpec, clean, quality_ledger, quality_summary
+from medalake.operators import dedupe as dedupe_module
 from medalake.operators.dedupe import dedupe
 from medalake.plans.silver import SPECS, silver_table
 
@@ -145,3 +146,17 @@ def test_booking_spec_defaults_channel(spark):
 
 def test_specs_cover_six_tables():
     assert set(SPECS) == {"rutas", "canales", "vuelos", "pasajeros", "reservas", "pagos"}
+
+
+def test_stored_rows_are_deduplicated_alike_without_shuffling_single_keys(spark, monkeypatch):
+    rows = [(i % 70 if i % 9 else None, i % 5, f"v{i}") for i in range(140)] + [(500, 1, "x")] * 2
+    df = spark.createDataFrame(rows, "k int, t int, v string").repartition(3)
+    want = sorted(map(str, dedupe_module.dedupe(df, ["k"], ["t"]).collect()))
+    assert sorted(map(str, dedupe_module.dedupe_stored(df, ["k"], ["t"]).collect())) == want
+    # Beyond the bound of a broadcast too.
+    monkeypatch.setattr(dedupe_module, "BROADCAST_KEYS", 0)
+    assert sorted(map(str, dedupe_module.dedupe_stored(df, ["k"], ["t"]).collect())) == want
+    single = spark.range(50).selectExpr("id AS k", "id % 3 AS t")
+    found = dedupe_module.dedupe_stored(single, ["k"], ["t"])
+    assert found.count() == 50
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import bookings
 from medalake.session import stage, staging
+from medalake.operators import changes
 from medalake.plans import run
 from medalake.schemas import BRONZE
 from medalake.__main__ import jdbc_options, parse
@@ -125,3 +126,23 @@ def test_parquet_source(spark, root):
         df.write.parquet(f"{root}/{name}")
     tables = run.open_source(spark, "parquet", root)
     assert set(tables) == set(BRONZE) and tables["reservas"].count() > bookings.N
+
+
+def test_parts_whose_rows_differ(spark):
+    def state(rows):
+        df = spark.createDataFrame(rows, "k string, m string, v int")
+        return changes.fingerprints(df, ["k"], ["v"], ["m"])
+
+    same = [(f"s{i}", "a", i) for i in range(20)]
+    then = same + [("u", "b", 1), ("moved", "c", 2), ("gone", "e", 3), ("n", None, 4), (None, "f", 5)]
+    now = same[::-1] + [("u", "b", 9), ("moved", "d", 2), ("new", "g", 3), ("n", None, 4), (None, "f", 5)]
+    old, new = state(then), state(now)
+    found = changes.changed_parts(old, new, ["k"], "m")
+    assert sorted(found) == ["b", "c", "d", "e", "g"]
+    whole = changes.changed_keys(old, new, ["k"], ["m"])
+    here = changes.changed_keys(
+        *[df.where(changes.F.col("m").isin(found)) for df in (old, new)], ["k"], ["m"]
+    )
+    assert sorted(map(tuple, here.collect())) == sorted(map(tuple, whole.collect()))
+    assert changes.changed_parts(state(then), state(then), ["k"], "m") == []
+    assert changes.changed_parts(state([]), state([("n", None, 4)]), ["k"], "m") == [None]
