@@ -12,6 +12,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -71,9 +72,7 @@ class WordIds(dict):
         unknown: set[bytes] = set()
         tailed: list[tuple[bytes, bytes, bytes]] = []
         older = self.older
-        for word in words:
-            if word in self:
-                continue
+        for word in [*filterfalse(self.__contains__, words)]:
             if word in older:
                 self[word] = older[word]
                 continue
@@ -109,17 +108,22 @@ def _cut(path: str, keep_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = word_ids(path)
+        known = ids_of.__getitem__
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_DOCS):
                 part = batch.slice(at, SLICE_DOCS)
                 keys = part.column("doc_id").to_pylist()
                 words = [_words(t) for t in part.column("text").to_pylist()]
-                ids_of.learn({w for ws in words for w in ws})
+                ids_of.learn(set().union(*words))
                 rows: list[tuple] = []
                 for key, ws in zip(keys, words):
-                    ids = b"".join([ids_of[w] for w in ws]) + end
+                    ids = b"".join(map(known, ws)) + end
                     n = len(ids) // 4
+                    if n <= SEQUENCE:
+                        row = (key, 0, n, zlib.crc32(ids), n)
+                        rows.append((*row, ids) if keep_ids else row)
+                        continue
                     for start in range(0, n, SEQUENCE):
                         piece = ids[4 * start : 4 * (start + SEQUENCE)]
                         row = (key, start, len(piece) // 4, zlib.crc32(piece), n)
