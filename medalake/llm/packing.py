@@ -12,7 +12,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
+from itertools import chain, filterfalse, islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +27,21 @@ END_ID = 1
 GROUP_PIECES = 4096
 SEED = 7
 CACHED_WORDS = 400_000
-SLICE_DOCS = 256
+TEXT_WORDS = 200
+SLICE_DOCS = 128
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
+LETTER = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
+SIGN = rb"[!-/:-@\[-`{-~]"
 # Signs that end a word after a letter are one token of their own, as they would be in place.
 TAIL = re.compile(
-    rb"(.*(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)", re.S
+    rb"%b(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))%b*(?=\s|\Z)" % (SIGN, SIGN)
 )
+# Words that are one piece for the tokenizer, alone as in place: small letters or signs. Letters of
+# Latin-1 neither compose with what stands before them nor change to several.
+PLAIN = re.compile(rb"%b+|%b+" % (LETTER, SIGN)).fullmatch
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -46,7 +52,7 @@ def _words(text: bytes | None) -> list[bytes]:
     """
     if not text:
         return []
-    return text.split() if b"<|" in text else text.lower().split()
+    return text.split() if b"<|" in text else TAIL.sub(rb" \g<0>", text.lower()).split()
 
 
 class WordIds(dict):
@@ -63,34 +69,66 @@ class WordIds(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.older: dict[bytes, bytes] = {}
+        # Whether an id ends a piece: where all added tokens are names like <|x|>, which cannot
+        # stand in plain words, those marked so by the vocabulary.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix and all("<|" in token.content for token in added):
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def learn(self, words: set[bytes]) -> None:
         """Make all of ``words`` known."""
         if len(self) + len(words) > CACHED_WORDS:
             self.older = dict(self)
             self.clear()
-        unknown: set[bytes] = set()
-        tailed: list[tuple[bytes, bytes, bytes]] = []
         older = self.older
+        plain: list[bytes] = []
+        odd: list[bytes] = []
         for word in [*filterfalse(self.__contains__, words)]:
             if word in older:
                 self[word] = older[word]
-                continue
-            parts = TAIL.fullmatch(word) if b"<|" not in word else None
-            if parts is None:
-                unknown.add(word)
-                continue
-            stem, tail = parts.groups()
-            tailed.append((word, stem, tail))
-            unknown.update(x for x in (stem, tail) if x not in self)
-        new = list(unknown)
-        texts = [w.decode("utf-8", "replace") for w in new]
-        for word, found in zip(
-            new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ):
-            self[word] = np.array(found.ids, "<u4").tobytes()
-        for word, stem, tail in tailed:
-            self[word] = self[stem] + self[tail]
+            elif PLAIN(word):
+                plain.append(word)
+            else:
+                odd.append(word)
+        self._learn_plain(plain)
+        self._learn_each(odd)
+
+    def look_up(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of ``words``, one after another; those not known are learned."""
+        found = [*map(self.get, words)]
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            missing = [words[i] for i in new]
+            self.learn(set(missing))
+            for i, word in zip(new, missing):
+                found[i] = self[word]
+        return iter(found)
+
+    def _learn_each(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for word, encoded in zip(words, found):
+            self[word] = np.array(encoded.ids, "<u4").tobytes()
+
+    def _learn_plain(self, words: list[bytes]) -> None:
+        """Learn words of one piece each, many to a text: a piece's last token tells its end."""
+        texts = [
+            b" ".join(words[i : i + TEXT_WORDS]).decode() for i in range(0, len(words), TEXT_WORDS)
+        ]
+        ids: list[int] = []
+        for encoded in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids += encoded.ids
+        found = np.array(ids, "<u4")
+        ends = (4 * np.flatnonzero(self.last[found]) + 4).tolist()
+        if len(ends) != len(words):
+            # Another vocabulary, which marks no ends or splits such words.
+            self._learn_each(words)
+            return
+        held = found.tobytes()
+        self.update(zip(words, [held[a:b] for a, b in zip([0, *ends], ends)]))
 
 
 # A Python worker that runs several tasks keeps what it learned.
@@ -108,17 +146,16 @@ def _cut(path: str, keep_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = word_ids(path)
-        known = ids_of.__getitem__
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_DOCS):
                 part = batch.slice(at, SLICE_DOCS)
                 keys = part.column("doc_id").to_pylist()
                 words = [_words(t) for t in part.column("text").to_pylist()]
-                ids_of.learn(set().union(*words))
+                found = ids_of.look_up([*chain.from_iterable(words)])
                 rows: list[tuple] = []
                 for key, ws in zip(keys, words):
-                    ids = b"".join(map(known, ws)) + end
+                    ids = b"".join(islice(found, len(ws))) + end
                     n = len(ids) // 4
                     if n <= SEQUENCE:
                         row = (key, 0, n, zlib.crc32(ids), n)

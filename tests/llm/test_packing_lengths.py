@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from medalake.llm import lengths, packing
 
@@ -47,6 +47,56 @@ def test_words_that_were_let_go_come_back(monkeypatch, tokenizer):
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_new_words_share_texts(monkeypatch, tokenizer):
+    """Words of one piece are encoded many to a text, and have the ids that they have in place."""
+    rng = np.random.default_rng(11)
+    letters = [*"abcdefghijklmnopqrstuvwxyzäßéñÉÀ"]
+    words = ["".join(rng.choice(letters, rng.integers(1, 14))) for _ in range(3000)]
+    ends = ["", ".", ",", "!?", "'", "$$$", "</", ">"]
+    texts = [
+        " ".join(w + ends[rng.integers(len(ends))] for w in words[k : k + 60]) + odd
+        for k, odd in zip(range(0, 3000, 60), [" it's", " x1.", " a=\u0338", " \u0301b.", "\xa0É."] * 10)
+    ]
+    known = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    encoded = []
+
+    class Counting:
+        def encode_batch_fast(self, batch, **options):
+            encoded.extend(batch)
+            return tokenizer.encode_batch_fast(batch, **options)
+
+    known.tokenizer = Counting()
+    spelled = [packing._words(t.encode()) for t in texts]
+    known.learn(set().union(*spelled))
+    for text, ws in zip(texts, spelled):
+        ids = np.frombuffer(b"".join(known[w] for w in ws), "<u4").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids, text
+    # Capital É and À of these words are left to the tokenizer.
+    plain = [w for w in words if not {*"ÉÀ"} & {*w}]
+    assert len(encoded) < len(words) - len(plain) + len(plain) / 20
+
+
+@pytest.mark.parametrize("kind", ["added token", "one token a word"])
+def test_words_of_other_vocabularies(kind, tmp_path):
+    text = "hello, low hole! helo hello"
+    if kind == "one token a word":
+        model = models.WordLevel({"hello": 0, "low": 1, ",": 2, "?": 3}, unk_token="?")
+    else:
+        vocabulary = [c + end for c in "helow,!" for end in ("", "</w>")]
+        ids = {c: i for i, c in enumerate(vocabulary)}
+        model = models.BPE(ids, [], end_of_word_suffix="</w>")
+    other = Tokenizer(model)
+    other.pre_tokenizer = pre_tokenizers.Whitespace()
+    if kind == "added token":
+        other.add_tokens(["lo"])
+    other.save(path := str(tmp_path / "other.json"))
+    ws = packing._words(text.encode())
+    known = packing.WordIds(path)
+    known.learn(set(ws))
+    got = np.frombuffer(b"".join(known[w] for w in ws), "<u4").tolist()
+    assert got == other.encode(text, add_special_tokens=False).ids
+
+
 def test_first_fit_is_first_fit():
     rng = np.random.default_rng(4)
     sizes = np.sort(rng.integers(1, 2049, 300))[::-1].copy()
