@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from medalake.session import stage
 
-# Hashes of repeated keys up to this number are broadcast (some 20 bytes each).
-BROADCAST_KEYS = 1_000_000
+# Hashes of repeated keys up to this number are broadcast: some 60 bytes each, and up to three times
+# that in the driver while it builds the broadcast.
+BROADCAST_KEYS = 250_000
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
@@ -35,7 +36,9 @@ def dedupe_stored(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | C
 
     Hashes of the keys are counted first; only rows whose hash occurs more than once are then
     shuffled and ranked, all others pass as they are. Equal keys have equal hashes, so a key never
-    has rows on both sides; different keys that share a hash are merely ranked without need.
+    has rows on both sides; different keys that share a hash are merely ranked without need. Telling
+    rows apart by more hashes than can be broadcast would shuffle all of them twice, so all of them
+    are then ranked, in one shuffle.
     """
     hashed = df.withColumn("_hash", F.xxhash64(*keys))
     again = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_hash")
@@ -43,7 +46,9 @@ def dedupe_stored(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | C
     n = again.count()
     if not n:
         return df
-    again = F.broadcast(again) if n <= BROADCAST_KEYS else again
+    if n > BROADCAST_KEYS:
+        return dedupe(df, keys, order_by)
+    again = F.broadcast(again)
     once = hashed.join(again, "_hash", "left_anti").select(*df.columns)
     more = hashed.join(again, "_hash", "left_semi").select(*df.columns)
     return once.unionByName(dedupe(more, keys, order_by))

@@ -13,6 +13,20 @@ from medalake.operators.calendar import bounded
 
 # Partition column of a stored fact: booking month as ``YYYY-MM``.
 MONTH = "anio_mes"
+# A side of a join with no more rows than this is broadcast: some 200 bytes a row when versions are
+# folded, and up to three times that in the driver while it builds the broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def by_rows(side: DataFrame, rows: int | None = None) -> DataFrame:
+    """A join's side that is broadcast or not by its rows, counted unless ``rows`` tells them.
+
+    For stored tables. Spark compares the bytes of their files with its threshold, and columns that
+    compress well take a hundredth of the memory there that their rows take in a broadcast, which
+    the driver builds as a whole.
+    """
+    rows = side.count() if rows is None else rows
+    return F.broadcast(side) if rows <= BROADCAST_ROWS else side.hint("merge")
 
 
 @dataclass(frozen=True)

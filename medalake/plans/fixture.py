@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from medalake.operators.calendar import calendar_dim, date_range, span_of
 from medalake.operators.clean import CleanSpec
 from medalake.operators.scd import scd2_build
-from medalake.operators.star import Star
+from medalake.operators.star import Star, by_rows
 from medalake.plans.gold import DIMS, build_dim_table, build_fact, segment_log
 from medalake.plans.silver import build_silver
 from medalake.session import concurrently, stage, stage_all
@@ -337,7 +337,7 @@ def earlier_bronze(
     debtors = table(spark, sf_dir, "customer").where("c_acctbal < 0").select(
         F.col("c_custkey").alias("pasajero_id"), F.lit("BUILDING").alias("_segmento")
     )
-    pasajeros = now["pasajeros"].join(debtors, "pasajero_id", "left")
+    pasajeros = now["pasajeros"].join(by_rows(debtors), "pasajero_id", "left")
     return now | {
         "reservas": now["reservas"].where(F.col("fecha_reserva") < F.lit(SNAPSHOT_DAY)),
         "vuelos": now["vuelos"].where("capacidad_asientos <= 40"),

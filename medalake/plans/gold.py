@@ -12,7 +12,7 @@ from medalake.operators.calendar import calendar_dim, date_range
 from medalake.operators.checks import Check
 from medalake.operators.keys import surrogate_key
 from medalake.operators.scd import DW_EPOCH, pit_join, scd2_from_base, single_version
-from medalake.operators.star import Star, lookup, resolve_orphans
+from medalake.operators.star import Star, by_rows, lookup, resolve_orphans
 from medalake.session import stage
 
 DIMS = ("tiempo", "vuelo", "ruta", "canal", "pasajero")
@@ -121,27 +121,31 @@ def build_dim_pasajero(
 
 def build_fact(
     reservas: DataFrame, star_dims: Star, orphans: str = "drop", end: str = "date",
-    beside: Sequence[str] = (),
+    beside: Sequence[str] = (), stored: bool = False,
 ) -> DataFrame:
-    """Bookings with their surrogate keys, and the columns ``beside`` of the bookings.
+    """Bookings with their surrogate keys, and the columns ``beside`` of the bookings. ``stored``
+    tells that the dimensions are tables on storage; ``by_rows`` then decides how they are joined.
 
     Booking → flight → route is resolved on the flight side first: facts, the big side, then need
     a single lookup for both keys. Passengers, for whom facts are shuffled, come before the small
     dimensions, so that their keys are not shuffled along.
     """
+    people, routes, channels = star_dims.pasajero, star_dims.ruta, star_dims.canal
+    if stored:
+        people, routes, channels = by_rows(people), by_rows(routes), by_rows(channels)
     flights = lookup(
-        star_dims.vuelo.select("vuelo_id", "vuelo_sk", "ruta_id"),
-        star_dims.ruta, "ruta_id", ["ruta_sk"],
+        star_dims.vuelo.select("vuelo_id", "vuelo_sk", "ruta_id"), routes, "ruta_id", ["ruta_sk"]
     )
+    flights = by_rows(flights, star_dims.vuelo.count()) if stored else flights
     fact = pit_join(
-        reservas, star_dims.pasajero, "pasajero_id", "fecha_reserva", ["pasajero_sk"], end=end,
+        reservas, people, "pasajero_id", "fecha_reserva", ["pasajero_sk"], end=end,
         how="inner" if orphans == "drop" else "left",
     )
     fact = lookup(
         fact.withColumn("_dia", day(F.col("fecha_reserva"))),
         star_dims.tiempo, {"_dia": "fecha"}, ["tiempo_sk"], small=True,
     )
-    fact = lookup(fact, star_dims.canal, "canal_id", ["canal_sk"])
+    fact = lookup(fact, channels, "canal_id", ["canal_sk"])
     fact = lookup(fact, flights, "vuelo_id", ["vuelo_sk", "ruta_sk"])
     return resolve_orphans(fact.select(*FACT_COLUMNS, *beside), FACT_KEYS, orphans)
 

@@ -19,7 +19,7 @@ from medalake.operators.changes import (
 )
 from medalake.operators.keys import stable_keys, with_stable_key
 from medalake.operators.scd import DW_EPOCH, scd2_apply
-from medalake.operators.star import MONTH, Star, resolve_orphans
+from medalake.operators.star import MONTH, Star, by_rows, resolve_orphans
 from medalake.plans.gold import (
     DIMS, FACT_COLUMNS, FACT_KEYS, NATURAL_KEYS, SMALL_DIMS, build_dim_table, build_fact,
 )
@@ -40,8 +40,9 @@ COUNTS, PARTS = "huerfanas", "partes"
 PARTS_SCHEMA = "tabla string, parte string, version string"
 # Natural keys of a booking, kept with a quarantined one.
 BOOKED = ("pasajero_id", "vuelo_id", "canal_id")
-# Changed keys up to this number are broadcast (some 20 bytes each); beyond, joins shuffle.
-BROADCAST_KEYS = 1_000_000
+# Changed keys up to this number are broadcast: some 60 bytes each, and up to three times that in the
+# driver while it builds the broadcast.
+BROADCAST_KEYS = 250_000
 
 
 def with_month(bookings: DataFrame) -> DataFrame:
@@ -172,8 +173,11 @@ class _Refresh:
             here = F.col(MONTH).isin([m for m in months if m is not None])
             here = here | F.col(MONTH).isNull() if None in months else here
             old, now = old.where(here), now.where(here)
-        old = now.limit(0) if old is None else old
-        self.changes[table] = stage(changed_keys(old, now, [key], keep))
+        if old is None:
+            # All rows are new, and the first refresh asks for none of them.
+            self.changes[table] = changed_keys(now.limit(0), now, [key], keep)
+        else:
+            self.changes[table] = stage(changed_keys(old, now, [key], keep))
 
     def keys(self, table: str, *ops: str) -> DataFrame:
         return self.changes[table].where(F.col(OP).isin(*ops)).select(SILVER_KEYS[table])
@@ -191,8 +195,11 @@ class _Refresh:
             return self.carry(dim)
         sk, key = f"{name}_sk", [NATURAL_KEYS[name]]
         built = build_dim_table(name, self.silver, week_start=self.week_start).drop(sk)
-        known = stable_keys(built, sk, key, self.old(registry), small=name in SMALL_DIMS)
-        return self.write(dim, with_stable_key(built, sk, key, self.write(registry, known)))
+        numbered = self.old(registry)
+        numbered = None if numbered is None else by_rows(numbered)
+        known = stable_keys(built, sk, key, numbered, small=name in SMALL_DIMS)
+        known = by_rows(self.write(registry, known))
+        return self.write(dim, with_stable_key(built, sk, key, known))
 
     def passengers(self) -> DataFrame:
         """Type-2 versions carried forward: those of touched ids are built again, the others pass
@@ -285,7 +292,9 @@ class _Refresh:
             # Silver stored by month is read in these months only.
             booked = booked.where(F.col(MONTH).isin(months))
         # The month follows from the booking's time and need not pass through the joins.
-        built = build_fact(booked, Star(None, **dims), "keep", self.end, beside=BOOKED)
+        built = build_fact(
+            booked, Star(None, **dims), "keep", self.end, beside=BOOKED, stored=True
+        )
         built = stage(with_month(built), "zstd")
         write_layer(
             resolve_orphans(built, FACT_KEYS, self.orphans).select(*FACT_COLUMNS, MONTH),

@@ -19,7 +19,7 @@ from medalake.schemas import BRONZE, TABLES
 from medalake.session import concurrently, staging
 from medalake.sources.jdbc import Split, read_jdbc
 from medalake.sources.layers import (
-    current_version, json_document, mark_complete, read_layer, write_document, write_extract,
+    current_version, in_splits, json_document, mark_complete, read_layer, write_document, write_extract,
     write_layer,
 )
 from medalake.sources.snapshots import read_snapshot, write_snapshot
@@ -124,7 +124,7 @@ def _refresh_gold(spark, root, changes, epoch, orphans, end, week_start, version
 
     concurrently([lambda n=n: refresh(n) for n in DIMS])
     stored = {name: read_layer(spark, root, gold, f"dim_{name}") for name in DIMS}
-    found = build_fact(silver["reservas"], Star(None, **stored), "keep", end)
+    found = build_fact(silver["reservas"], Star(None, **stored), "keep", end, stored=True)
     seen = Observation()
     fact = resolve_orphans(found.observe(seen, *orphan_measures(FACT_KEYS)), FACT_KEYS, orphans)
     by_month = fact.withColumn(MONTH, F.date_format("fecha_reserva", "yyyy-MM"))
@@ -145,6 +145,8 @@ def refresh_changes(
     ``plans.incremental``. Passengers' changes come from the data: a new segment in a snapshot is
     valid from that snapshot's day on."""
     silver = {t: read_layer(spark, root, "silver", t) for t in TABLES}
+    if MONTH in silver["reservas"].columns:
+        silver["reservas"] = in_splits(silver["reservas"], root, "silver", "reservas")
     return refresh_changed(spark, root, silver, epoch, as_of, orphans, end, week_start, version)
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from medalake.operators.star import WIDE_COLUMNS, WIDE_DIMS
 
 
+# Tasks for each core that a table of small files is read by at least.
+TASKS_PER_CORE = 4
+
+
 def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
@@ -21,6 +25,19 @@ def read_layer(
     return reader.parquet(layer_path(root, layer, table))
 
 
+def in_splits(df: DataFrame, root: str, layer: str, table: str) -> DataFrame:
+    """A stored table of many small files, read by as many tasks as its bytes make splits.
+
+    Spark takes a file for 4 MB at least, and so makes a task of every few small files; each of them
+    costs the driver memory in every pass. Tasks take more files here, and nothing is shuffled.
+    """
+    spark = df.sparkSession
+    fs, target = _file_system(spark, layer_path(root, layer, table))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    splits = -(-fs.getContentSummary(target).getLength() // split)
+    return df.coalesce(max(splits, TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
+
+
 def write_layer(
     df: DataFrame, root: str, layer: str, table: str, partition_by: Sequence[str] = (),
     rebalance: bool = True,

@@ -160,3 +160,16 @@ def test_stored_rows_are_deduplicated_alike_without_shuffling_single_keys(spark,
     found = dedupe_module.dedupe_stored(single, ["k"], ["t"])
     assert found.count() == 50
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_more_repeated_keys_than_can_be_broadcast_cost_one_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(dedupe_module, "BROADCAST_KEYS", 3)
+    df = spark.range(40).selectExpr("id % 10 AS k", "id AS t")
+    found = dedupe_module.dedupe_stored(df, ["k"], ["t"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Broadcast" not in plan
+    assert rows_in(found) == [(k, k) for k in range(10)]
+
+
+def rows_in(df):
+    return sorted(map(tuple, df.collect()))

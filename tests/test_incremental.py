@@ -1,6 +1,7 @@
 """Refreshes from changes against full builds over the same states."""
 
 import pathlib
+import re
 from datetime import date, datetime
 
 import pytest
@@ -10,6 +11,7 @@ import bookings
 from medalake.operators.changes import changed_keys, fingerprints, snapshot_changes
 from medalake.operators.keys import stable_keys, with_stable_key
 from medalake.operators.scd import scd2_build
+from medalake.operators import star as star_module
 from medalake.operators.star import wide_view
 from medalake.plans import incremental, run
 from medalake.sources.layers import complete_versions, current_version
@@ -235,6 +237,34 @@ def test_untouched_passengers_are_not_shuffled(spark, lakes):
     assert "Exchange" not in side and "FileScan" in side
 
 
+def joins_of(df):
+    """Kind of each join in a plan, by its first key."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    found = [re.search(r"(BroadcastHash|SortMerge)Join \[(\w+)#", x) for x in lines]
+    return {m[2]: m[1] for m in found if m}
+
+
+def test_stored_dimensions_are_joined_by_their_rows(spark, tmp_path, monkeypatch):
+    """Their files are far below Spark's threshold, as those of millions of rows can be."""
+    root, built = str(tmp_path), []
+    monkeypatch.setattr(star_module, "BROADCAST_ROWS", 10, raising=False)
+    real = incremental.build_fact
+
+    def build_fact(*args, **options):
+        built.append(joins_of(out := real(*args, **options)))
+        return out
+
+    monkeypatch.setattr(incremental, "build_fact", build_fact)
+    data = states()[1]
+    run.land(bookings.source(spark, data), root, "prueba", DAYS[1])
+    run.refresh_silver(spark, root, by_month=True)
+    run.refresh_changes(spark, root, version="v0")
+    assert {k: built[0][k] for k in ("pasajero_id", "vuelo_id", "canal_id", "ruta_id")} == {
+        "pasajero_id": "SortMerge", "vuelo_id": "SortMerge",
+        "canal_id": "BroadcastHash", "ruta_id": "BroadcastHash",
+    }
+
+
 def test_changes_of_snapshots(spark):
     schema = "k string, v double, w string"
     old = spark.createDataFrame(

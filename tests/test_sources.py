@@ -14,7 +14,9 @@ from medalake.__main__ import jdbc_options, parse
 from medalake.sources.jdbc import (
     HashSplit, KeySplit, RangeSplit, bounds_query, range_options, read_jdbc,
 )
-from medalake.sources.layers import read_layer, write_extract, write_layer
+from medalake.sources.layers import (
+    TASKS_PER_CORE, in_splits, read_layer, write_extract, write_layer,
+)
 from medalake.sources.snapshots import (
     list_snapshots, read_snapshot, snapshot_label, write_snapshot,
 )
@@ -146,3 +148,23 @@ def test_parts_whose_rows_differ(spark):
     assert sorted(map(tuple, here.collect())) == sorted(map(tuple, whole.collect()))
     assert changes.changed_parts(state(then), state(then), ["k"], "m") == []
     assert changes.changed_parts(state([]), state([("n", None, 4)]), ["k"], "m") == [None]
+
+
+def test_small_files_share_tasks(spark, root):
+    cores = spark.sparkContext.defaultParallelism
+    files = 2 * TASKS_PER_CORE * cores
+    df = spark.range(files * 5).selectExpr("id", "id % 2 AS part").repartition(files)
+    write_layer(df, root, "silver", "t", partition_by=["part"], rebalance=False)
+    # A limit below the 4 MB that Spark counts for a file gives every file a task.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        stored = read_layer(spark, root, "silver", "t")
+        found = in_splits(stored, root, "silver", "t")
+        assert stored.rdd.getNumPartitions() > files
+        assert found.rdd.getNumPartitions() == TASKS_PER_CORE * cores
+        assert sorted(r.id for r in found.collect()) == list(range(files * 5))
+        plan = found.where("part = 1").select("id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # Filters and columns still reach the scan.
+    assert "PartitionFilters: [isnotnull(part" in plan and "ReadSchema: struct<id:bigint>" in plan
