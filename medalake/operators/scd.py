@@ -137,12 +137,13 @@ def scd2_apply(
     carry: Sequence[str] = (),
     sk: str | None = None,
     history: DataFrame | None = None,
-    broadcast_keys: bool = False,
+    broadcast_keys: bool | None = None,
 ) -> DataFrame:
     """Apply a batch of new states: close what changed, insert what is new.
 
     Ids without updates pass through untouched, and without a shuffle if ``broadcast_keys`` says
-    that the caller has counted the updated ids and they are few. With ``history``, the log rows applied before,
+    that the caller has counted the updated ids and they are few; if it is false they are too many
+    for any broadcast. With ``history``, the log rows applied before,
     updated ids are built anew from all their rows, so the outcome equals one build over the whole
     log whatever order rows arrive in. Without it, versions of updated ids re-enter as log rows
     ahead of the updates; that equals one build only if an id's batches arrive in date order, as
@@ -151,7 +152,12 @@ def scd2_apply(
     versions continue after the highest key.
     """
     touched = updates.select(key).distinct()
-    touched = F.broadcast(touched) if broadcast_keys else touched
+
+    def sized(df: DataFrame) -> DataFrame:
+        """A side of a join with rows of updated ids only."""
+        return df.hint("merge") if broadcast_keys is False else df
+
+    touched = F.broadcast(touched) if broadcast_keys else sized(touched)
     ids = [sk] if sk else []
     state = [key, *tracked, *carry]
     at = updates.schema[effective].dataType
@@ -163,7 +169,7 @@ def scd2_apply(
         started = held.groupBy(key).agg(F.max(FROM).alias("_started"))
         late = F.raise_error(F.lit("a row before its id's current version needs the history"))
         checked = F.when(day(F.col(effective)) < F.col("_started"), late.cast(at))
-        fresh = fresh.join(started, key, "left").select(
+        fresh = fresh.join(sized(started), key, "left").select(
             *[c for c in columns if c != effective],
             checked.otherwise(F.col(effective)).alias(effective),
         )
@@ -183,7 +189,7 @@ def scd2_apply(
     # A same-day correction replaces the state of an existing version; it keeps that version's key.
     old_keys = known.select(key, day(F.col(effective)).alias(FROM), F.col(sk).alias("_old"))
     rebuilt = (
-        rebuilt.join(old_keys, [key, FROM], "left")
+        rebuilt.join(sized(old_keys), [key, FROM], "left")
         .withColumn(sk, F.coalesce(sk, "_old"))
         .drop("_old")
     )

@@ -41,7 +41,7 @@ PARTS_SCHEMA = "tabla string, parte string, version string"
 # Natural keys of a booking, kept with a quarantined one.
 BOOKED = ("pasajero_id", "vuelo_id", "canal_id")
 # Changed keys up to this number are broadcast: some 60 bytes each, and up to three times that in the
-# driver while it builds the broadcast.
+# driver while it builds the broadcast. Beyond, joins shuffle, whatever the size of the keys' files.
 BROADCAST_KEYS = 250_000
 
 
@@ -149,7 +149,7 @@ class _Refresh:
         return self.old(table)
 
     def few(self, keys: DataFrame) -> DataFrame:
-        return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+        return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys.hint("merge")
 
     # Changes
 
@@ -220,7 +220,9 @@ class _Refresh:
                 "dim_pasajero", build_dim_table("pasajero", self.silver, epoch=self.epoch)
             )
         touched = self.few(self.keys("pasajeros", INSERT, UPDATE))
-        known = old.where("activo").join(touched, "pasajero_id", "left_semi").select("pasajero_id")
+        known = self.few(
+            old.where("activo").join(touched, "pasajero_id", "left_semi").select("pasajero_id")
+        )
         since = F.when(F.col("_known"), F.lit(self.as_of)).otherwise(F.lit(self.epoch))
         updates = stage(
             rows.join(touched, "pasajero_id", "left_semi")

@@ -265,6 +265,26 @@ def test_stored_dimensions_are_joined_by_their_rows(spark, tmp_path, monkeypatch
     }
 
 
+def test_many_changed_passengers_are_not_broadcast(spark, tmp_path, monkeypatch):
+    root, applied = str(tmp_path), []
+    monkeypatch.setattr(incremental, "BROADCAST_KEYS", 0)
+    real = incremental.scd2_apply
+
+    def scd2_apply(*args, **options):
+        applied.append(joins_of(out := real(*args, **options)))
+        return out
+
+    monkeypatch.setattr(incremental, "scd2_apply", scd2_apply)
+    for n in range(3):
+        run.land(bookings.source(spark, states()[n]), root, "prueba", DAYS[n])
+        run.refresh_silver(spark, root, by_month=True)
+        run.refresh_changes(spark, root, version=f"v{n}")
+    assert [x["pasajero_id"] for x in applied] == ["SortMerge"] * 2
+    versions = run.read_gold(spark, root, "dim_pasajero")
+    want = segments(spark, 2).select("pasajero_id", "segmento", "valido_hasta", "activo")
+    assert rows_of(versions.select(*want.columns)) == rows_of(want)
+
+
 def test_changes_of_snapshots(spark):
     schema = "k string, v double, w string"
     old = spark.createDataFrame(
