@@ -59,11 +59,13 @@ SMALL_DIMS = ("tiempo", "ruta", "canal")
 
 
 def build_dim(
-    df: DataFrame, sk: str, natural_key: str, attributes: Sequence[str], small: bool = False
+    df: DataFrame, sk: str, natural_key: str, attributes: Sequence[str], small: bool = False,
+    keyed: bool = True,
 ) -> DataFrame:
-    """Type-1 dimension: chosen columns keyed in natural-key order. ``small`` declares a
-    catalogue table of a handful of rows."""
-    return surrogate_key(df.select(natural_key, *attributes), sk, [natural_key], small=small)
+    """Type-1 dimension: chosen columns keyed in natural-key order, or not ``keyed`` yet. ``small``
+    declares a catalogue table of a handful of rows."""
+    rows = df.select(natural_key, *attributes)
+    return surrogate_key(rows, sk, [natural_key], small=small) if keyed else rows
 
 
 def build_dim_tiempo(
@@ -76,24 +78,24 @@ def build_dim_tiempo(
     return calendar_dim(span, week_start)
 
 
-def build_dim_vuelo(vuelos: DataFrame) -> DataFrame:
+def build_dim_vuelo(vuelos: DataFrame, keyed: bool = True) -> DataFrame:
     attributes = [
         "numero_vuelo", "ruta_id", "fecha_vuelo", "aeronave", "capacidad_asientos", "aerolinea",
     ]
-    return build_dim(vuelos, "vuelo_sk", "vuelo_id", attributes)
+    return build_dim(vuelos, "vuelo_sk", "vuelo_id", attributes, keyed=keyed)
 
 
-def build_dim_ruta(rutas: DataFrame) -> DataFrame:
+def build_dim_ruta(rutas: DataFrame, keyed: bool = True) -> DataFrame:
     attributes = [
         "origen_iata", "origen_ciudad", "destino_iata", "destino_ciudad", "distancia_km",
         "internacional_flag",
     ]
-    return build_dim(rutas, "ruta_sk", "ruta_id", attributes, small=True)
+    return build_dim(rutas, "ruta_sk", "ruta_id", attributes, small=True, keyed=keyed)
 
 
-def build_dim_canal(canales: DataFrame) -> DataFrame:
+def build_dim_canal(canales: DataFrame, keyed: bool = True) -> DataFrame:
     attributes = ["nombre", "digital_flag", "categoria"]
-    return build_dim(canales, "canal_sk", "canal_id", attributes, small=True)
+    return build_dim(canales, "canal_sk", "canal_id", attributes, small=True, keyed=keyed)
 
 
 def build_dim_pasajero(
@@ -156,16 +158,19 @@ def build_dim_table(
     changes: DataFrame | None = None,
     epoch: date = DW_EPOCH,
     week_start: str = "monday",
+    keyed: bool = True,
 ) -> DataFrame:
-    """One dimension of the star from the silver tables it needs."""
+    """One dimension of the star from the silver tables it needs. Not ``keyed``, a type-1 dimension
+    has no surrogate key: a registry gives it one."""
     if name == "tiempo":
-        return build_dim_tiempo(silver["reservas"], silver["vuelos"], week_start)
+        calendar = build_dim_tiempo(silver["reservas"], silver["vuelos"], week_start)
+        return calendar if keyed else calendar.drop("tiempo_sk")
     if name == "vuelo":
-        return build_dim_vuelo(silver["vuelos"])
+        return build_dim_vuelo(silver["vuelos"], keyed)
     if name == "ruta":
-        return build_dim_ruta(silver["rutas"])
+        return build_dim_ruta(silver["rutas"], keyed)
     if name == "canal":
-        return build_dim_canal(silver["canales"])
+        return build_dim_canal(silver["canales"], keyed)
     if name == "pasajero":
         return build_dim_pasajero(silver["pasajeros"], changes, epoch)
     raise ValueError(f"no dimension called {name!r}")

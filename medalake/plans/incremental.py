@@ -194,7 +194,7 @@ class _Refresh:
             self.carry(registry)
             return self.carry(dim)
         sk, key = f"{name}_sk", [NATURAL_KEYS[name]]
-        built = build_dim_table(name, self.silver, week_start=self.week_start).drop(sk)
+        built = build_dim_table(name, self.silver, week_start=self.week_start, keyed=False)
         numbered = self.old(registry)
         numbered = None if numbered is None else by_rows(numbered)
         known = stable_keys(built, sk, key, numbered, small=name in SMALL_DIMS)

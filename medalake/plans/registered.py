@@ -588,8 +588,9 @@ def _grown_lake(spark, sf, states: int) -> str:
     root = scratch_folder(spark, "lake")
     now = fx.bronze(spark, sf)
     if states == 2:
-        # Bookings are joined from orders and their lines once for both states.
-        now["reservas"] = stage(now["reservas"], "zstd")
+        # Bookings and flights are made from orders and their lines once for both states.
+        for made in ("reservas", "vuelos"):
+            now[made] = stage(now[made], "zstd")
     days = (fx.SNAPSHOT_DAY - timedelta(days=1), fx.SNAPSHOT_DAY)
     for state, day in list(zip((fx.earlier_bronze(spark, sf, now), now), days))[:states]:
         run.land(state, root, "fixture", day)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from medalake.operators.checks import run_checks
 from medalake.operators.clean import quality_ledger, quality_summary
 from medalake.operators.scd import DW_EPOCH, scd2_stats
-from medalake.operators.star import MONTH, Star, orphan_measures, resolve_orphans
+from medalake.operators.star import MONTH, Star, by_rows, orphan_measures, resolve_orphans
 from medalake.plans import catalogue, silver as silver_plan
 from medalake.plans.gold import DIMS, FACT_KEYS, GOLD_CHECKS, build_dim_table, build_fact
 from medalake.plans.incremental import read_parts, refresh_changed, with_month
@@ -157,7 +157,11 @@ def read_gold(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 def read_star(spark: SparkSession, root: str) -> Star:
     version = current_version(spark, root, "gold")
-    dims = {name: read_parts(spark, root, version, f"dim_{name}") for name in DIMS}
+
+    def dim(name: str) -> DataFrame:
+        return by_rows(read_parts(spark, root, version, f"dim_{name}"))
+
+    dims = dict(zip(DIMS, concurrently([lambda n=n: dim(n) for n in DIMS])))
     return Star(read_parts(spark, root, version, "fact_reservas"), **dims)
 
 

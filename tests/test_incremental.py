@@ -11,9 +11,9 @@ import bookings
 from medalake.operators.changes import changed_keys, fingerprints, snapshot_changes
 from medalake.operators.keys import stable_keys, with_stable_key
 from medalake.operators.scd import scd2_build
-from medalake.operators import star as star_module
+from medalake.operators import keys, star as star_module
 from medalake.operators.star import wide_view
-from medalake.plans import incremental, run
+from medalake.plans import gold, incremental, run
 from medalake.sources.layers import complete_versions, current_version
 
 DAYS = [datetime(2024, 3, 1), datetime(2024, 6, 1), datetime(2024, 9, 1), datetime(2025, 3, 1)]
@@ -263,6 +263,29 @@ def test_stored_dimensions_are_joined_by_their_rows(spark, tmp_path, monkeypatch
         "pasajero_id": "SortMerge", "vuelo_id": "SortMerge",
         "canal_id": "BroadcastHash", "ruta_id": "BroadcastHash",
     }
+    wide = wide_view(run.read_star(spark, root))
+    assert joins_of(wide) == {
+        "pasajero_sk": "SortMerge", "vuelo_sk": "SortMerge", "tiempo_sk": "BroadcastHash",
+        "canal_sk": "BroadcastHash", "ruta_sk": "BroadcastHash",
+    }
+    assert wide.count() == len(bookings.fact_rows(data))
+
+
+def test_flights_are_numbered_once(spark, tmp_path, monkeypatch):
+    """Numbering reads its input several times, so a numbering of a numbering is a plan whose text
+    alone fills the driver."""
+    root, numbered = str(tmp_path), []
+    for module in (gold, keys):
+        def surrogate_key(df, name, *args, real=module.surrogate_key, **options):
+            numbered.append(name)
+            return real(df, name, *args, **options)
+
+        monkeypatch.setattr(module, "surrogate_key", surrogate_key)
+    run.land(bookings.source(spark, states()[0]), root, "prueba", DAYS[0])
+    run.refresh_silver(spark, root, by_month=True)
+    run.refresh_changes(spark, root, version="v0")
+    want = ["canal_sk", "pasajero_sk", "ruta_sk", "tiempo_sk", "vuelo_sk"]
+    assert sorted(numbered) == want
 
 
 def test_many_changed_passengers_are_not_broadcast(spark, tmp_path, monkeypatch):
